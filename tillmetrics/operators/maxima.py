@@ -1,0 +1,18 @@
+"""Attaching a group's maximum to its rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def with_group_max(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
+    """``max(value)`` over each ``group`` next to every row.
+
+    A window would bring each whole group into one task; there are few groups
+    and one may hold a third of the rows. Aggregating and joining the few maxima
+    back keeps the rows where they are. NULL groups match as a window matches them.
+    """
+    maxima = df.groupBy(F.col(group).alias("_group")).agg(F.max(value).alias(name))
+    joined = df.join(maxima, F.col(group).eqNullSafe(F.col("_group")), "left")
+    return joined.drop("_group")
