@@ -60,21 +60,41 @@ TABLE_SQL = {
                           ELSE 'completed' END AS payment_status
               FROM orders JOIN (VALUES (0), (1)) AS tries(attempt)
                 ON attempt = 0 OR o_orderkey % 20 = 0)""",
+    "orders_full": """
+        SELECT o.order_id, o.customer_id, o.order_date, o.status, c.country AS shipping_country,
+               c.city AS shipping_city, o.total_amount
+        FROM v_orders o LEFT JOIN v_customers c USING (customer_id)""",
 }
 
 
+def _tables_in(query: str) -> set[str]:
+    """The ``v_<table>`` views a query needs, directly or through another one."""
+    needed: set[str] = set()
+    texts = [query]
+    while texts:
+        text = texts.pop()
+        for name in TABLE_SQL:
+            if name not in needed and re.search(rf"\bv_{name}\b", text):
+                needed.add(name)
+                texts.append(TABLE_SQL[name])
+    return needed
+
+
 def with_tables(query: str) -> str:
-    """Put the definitions of the ``v_<table>`` views a query names in front of it."""
-    used = [t for t in TABLE_SQL if re.search(rf"\bv_{t}\b", query)]
-    definitions = [f"v_{t} AS ({TABLE_SQL[t]})" for t in used]
+    """Put the definitions of the tables a query names in front of it."""
+    needed = _tables_in(query)
+    definitions = [f"v_{name} AS ({text})" for name, text in TABLE_SQL.items() if name in needed]
     query = query.strip()
     if query.upper().startswith("WITH "):
-        definitions.append(query[5:].strip())
-        return "WITH " + ",\n".join(definitions)
+        return "WITH " + ",\n".join([*definitions, query[5:].strip()])
     return "WITH " + ",\n".join(definitions) + "\n" + query
 
 
 def all_sql() -> dict[str, str]:
+    from tillmetrics.oracle.files import FILE_SQL
+    from tillmetrics.oracle.operators import OPERATOR_SQL
+    from tillmetrics.oracle.quality import QUALITY_SQL
     from tillmetrics.oracle.reports import REPORT_SQL
 
-    return {name: with_tables(sql) for name, sql in REPORT_SQL.items()}
+    every = {**REPORT_SQL, **OPERATOR_SQL, **QUALITY_SQL, **FILE_SQL}
+    return {name: with_tables(sql) for name, sql in every.items()}

@@ -16,7 +16,6 @@ from tillmetrics.functions.amounts import (
     whole_division,
 )
 from tillmetrics.functions.labels import margin_category, stock_status
-from tillmetrics.operators.maxima import with_group_max
 from tillmetrics.operators.rollups import count_key, live, sales_by_product
 from tillmetrics.plans import REFERENCE, Tables, is_corrected
 
@@ -24,20 +23,41 @@ from tillmetrics.plans import REFERENCE, Tables, is_corrected
 SUPPLY_DAYS = 30
 
 
-def _sales_of_products(tables: Tables, mode: str) -> DataFrame:
-    """Every product, sold or not, with its sales in cents and its category's best seller."""
+def _sales(tables: Tables, mode: str) -> DataFrame:
     items = tables["order_items"]
     if is_corrected(mode):
         items = items.join(live(tables["orders"]).select("order_id"), "order_id", "left_semi")
-    sales = sales_by_product(items)
+    return sales_by_product(items)
+
+
+def _with_sales(products: DataFrame, sales: DataFrame) -> DataFrame:
+    """Every product, sold or not, with its sales and profit in cents."""
     # Every line of a product carries the same catalogue cost, so cost is units times cost.
-    sold = (
-        tables["products"]
-        .join(sales, "product_id", "left")
+    return (
+        products.join(sales, "product_id", "left")
         .withColumn("total_cost_cents", F.col("total_units_sold") * cents("cost_price"))
         .withColumn("profit_cents", F.col("revenue_cents") - F.col("total_cost_cents"))
     )
-    return with_group_max(sold, "category", "total_units_sold", "category_best")
+
+
+def _with_category_best(df: DataFrame, products: DataFrame, sales: DataFrame) -> DataFrame:
+    """Attach the units of the best seller of each row's category.
+
+    A window over a category would bring a third of all products into one task.
+    The few maxima are computed apart and joined back; ``df`` uses ``sales`` too,
+    and testing all its columns here keeps both uses alike, so that Spark
+    aggregates and shuffles the items once.
+    """
+    sold = F.coalesce("total_units_sold", "revenue_cents").isNotNull()
+    if "unique_orders" in sales.columns:
+        sold = sold | (F.col("unique_orders") > 0)
+    best = (
+        sales.filter(sold)
+        .join(products.select("product_id", F.col("category").alias("_category")), "product_id")
+        .groupBy("_category")
+        .agg(F.max("total_units_sold").alias("category_best"))
+    )
+    return df.join(best, F.col("category").eqNullSafe(F.col("_category")), "left")
 
 
 def _days_of_supply(mode: str) -> Column:
@@ -56,7 +76,9 @@ def product_metrics(tables: Tables, mode: str = REFERENCE) -> DataFrame:
     """
     revenue, profit = to_amount("revenue_cents"), to_amount("profit_cents")
     units = F.col("total_units_sold")
-    return _sales_of_products(tables, mode).select(
+    products, sales = tables["products"], _sales(tables, mode)
+    sold = _with_sales(products, sales)
+    return _with_category_best(sold, products, sales).select(
         "product_id",
         "product_name",
         "category",
@@ -86,10 +108,12 @@ def product_performance(tables: Tables, mode: str = REFERENCE, top_n: int = 20)
         )
     else:
         rounded_supply = supply
+    products, sales = tables["products"], _sales(tables, mode).drop("unique_orders")
+    by_revenue = (F.desc_nulls_last("revenue_cents"), F.asc("product_id"))
+    top = _with_sales(products, sales).orderBy(*by_revenue).limit(top_n)
     return (
-        _sales_of_products(tables, mode)
-        .orderBy(F.desc_nulls_last("revenue_cents"), "product_id")
-        .limit(top_n)
+        _with_category_best(top, products, sales)
+        .orderBy(*by_revenue)
         .select(
             "category",
             "product_name",

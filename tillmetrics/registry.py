@@ -6,8 +6,15 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tillmetrics import load, sql
+from tillmetrics.operators import aggregates, joins, ordering, predicates, scalars, windows
 from tillmetrics.plans import CORRECTED, cohorts, customers, kpi, payments, products, trends
+from tillmetrics.quality import keys, profile, reconcile, rows
+from tillmetrics.schemas import CUSTOMERS, ORDERS, PAYMENTS, PRODUCTS, Table
+from tillmetrics.session import shared_folder
+from tillmetrics.sources import csv_files, parquet_files
 from tillmetrics.sources.star_files import star_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,36 +23,172 @@ AS_OF = dt.date(2001, 8, 1)  # the day the key figures are taken at
 MIN_COHORT = "1995-01"  # the files' orders start then
 
 
-def _over_tables(report: Callable[..., DataFrame], **options) -> Query:
-    return lambda spark, folder: report(star_tables(spark, folder), **options)
+def _over(report: Callable[..., DataFrame], shipping: bool = False, **options) -> Query:
+    return lambda spark, folder: report(star_tables(spark, folder, shipping), **options)
 
 
 REPORTS: dict[str, Query] = {
-    "customer_ltv": _over_tables(customers.customer_ltv),
-    "customer_ltv_segments": _over_tables(customers.customer_ltv_segments),
-    "product_metrics": _over_tables(products.product_metrics),
-    "product_metrics_corrected": _over_tables(products.product_metrics, mode=CORRECTED),
-    "product_performance": _over_tables(products.product_performance),
-    "product_performance_corrected": _over_tables(products.product_performance, mode=CORRECTED),
-    "daily_rolling": _over_tables(trends.daily_rolling),
-    "daily_rolling_corrected": _over_tables(trends.daily_rolling, mode=CORRECTED),
-    "daily_trends": _over_tables(trends.daily_trends),
-    "daily_trends_corrected": _over_tables(trends.daily_trends, mode=CORRECTED),
-    "order_seasonality": _over_tables(trends.order_seasonality),
-    "customer_monthly_activity": _over_tables(cohorts.customer_monthly_activity),
-    "cohort_activity": _over_tables(cohorts.cohort_activity),
-    "cohort_retention": _over_tables(cohorts.cohort_retention, min_cohort=MIN_COHORT),
-    "payment_method_status": _over_tables(payments.payment_method_status),
-    "payment_risk": _over_tables(payments.payment_risk),
-    "payment_risk_corrected": _over_tables(payments.payment_risk, mode=CORRECTED),
-    "kpi_dashboard": _over_tables(kpi.kpi_dashboard, as_of=AS_OF),
-    "kpi_dashboard_corrected": _over_tables(kpi.kpi_dashboard, as_of=AS_OF, mode=CORRECTED),
-    "sales_by_category_tier": _over_tables(products.sales_by_category_tier),
-    "customer_geography": _over_tables(customers.customer_geography),
-    "top_products": _over_tables(products.top_products),
-    "tier_summary": _over_tables(customers.tier_summary),
+    "customer_ltv": _over(customers.customer_ltv),
+    "customer_ltv_segments": _over(customers.customer_ltv_segments),
+    "product_metrics": _over(products.product_metrics),
+    "product_metrics_corrected": _over(products.product_metrics, mode=CORRECTED),
+    "product_performance": _over(products.product_performance),
+    "product_performance_corrected": _over(products.product_performance, mode=CORRECTED),
+    "daily_rolling": _over(trends.daily_rolling),
+    "daily_rolling_corrected": _over(trends.daily_rolling, mode=CORRECTED),
+    "daily_trends": _over(trends.daily_trends),
+    "daily_trends_corrected": _over(trends.daily_trends, mode=CORRECTED),
+    "order_seasonality": _over(trends.order_seasonality),
+    "customer_monthly_activity": _over(cohorts.customer_monthly_activity),
+    "cohort_activity": _over(cohorts.cohort_activity),
+    "cohort_retention": _over(cohorts.cohort_retention, min_cohort=MIN_COHORT),
+    "payment_method_status": _over(payments.payment_method_status),
+    "payment_risk": _over(payments.payment_risk),
+    "payment_risk_corrected": _over(payments.payment_risk, mode=CORRECTED),
+    "kpi_dashboard": _over(kpi.kpi_dashboard, as_of=AS_OF),
+    "kpi_dashboard_corrected": _over(kpi.kpi_dashboard, as_of=AS_OF, mode=CORRECTED),
+    "sales_by_category_tier": _over(products.sales_by_category_tier),
+    "customer_geography": _over(customers.customer_geography),
+    "top_products": _over(products.top_products),
+    "tier_summary": _over(customers.tier_summary),
+}
+
+OPERATORS: dict[str, Query] = {
+    "filter_not_equal": _over(predicates.live_orders),
+    "filter_month_text": _over(predicates.orders_since_month, month="1998-06"),
+    "filter_recent_days": _over(predicates.orders_of_last_days, as_of=AS_OF, days=90),
+    "filter_not_null": _over(predicates.identified_orders),
+    "filter_compare": _over(predicates.risky_payments, threshold=0.5),
+    "filter_equal": _over(predicates.failed_payments),
+    "filter_flag_customers": _over(predicates.active_customers),
+    "filter_flag_products": _over(predicates.active_products),
+    "project_star_plus": _over(predicates.products_with_profit),
+    "lookup_by_key": _over(predicates.items_at_catalogue_price),
+    "join_inner": _over(joins.orders_of_customers),
+    "join_star": _over(joins.order_lines),
+    "join_left": _over(joins.orders_with_payments),
+    "join_left_on_filter": _over(joins.customers_with_live_orders),
+    "join_anti": _over(joins.orders_without_items),
+    "join_aligned": _over(joins.payments_beside_orders),
+    "agg_count": _over(aggregates.orders_per_status),
+    "agg_distinct": _over(aggregates.buyers_per_status),
+    "agg_distinct_case": _over(aggregates.buyers_by_recency, as_of=AS_OF, days=90),
+    "agg_sum_avg": _over(aggregates.amounts_per_method),
+    "agg_sum_expression": _over(aggregates.cost_and_profit_per_category),
+    "agg_conditional": _over(aggregates.failures_per_method),
+    "agg_pivot_case": _over(aggregates.amounts_by_outcome),
+    "agg_min_max": _over(aggregates.order_span_per_status),
+    "agg_global": _over(aggregates.order_totals),
+    "agg_two_keys": _over(aggregates.orders_per_country_tier),
+    "agg_expression_key": _over(aggregates.orders_per_month),
+    "agg_dependent_columns": _over(aggregates.orders_per_customer),
+    "agg_two_level": _over(aggregates.customers_per_order_count),
+    "agg_having": _over(aggregates.large_cities, min_customers=5),
+    "agg_arithmetic": _over(aggregates.revenue_per_buyer),
+    "agg_totals_to_parent": _over(reconcile.orders_with_item_totals),
+    "window_partition_max": _over(windows.price_beside_category_max),
+    "window_rolling_rows": _over(windows.rolling_week),
+    "window_lag": _over(windows.revenue_week_before),
+    "window_over_group": _over(windows.first_month_of_customers),
+    "window_first_value": _over(windows.orders_against_first_month),
+    "topk": _over(ordering.best_selling_products, n=20),
+    "sort_keys": _over(ordering.customers_by_place),
+    "scalar_concat": _over(scalars.customer_names),
+    "scalar_julianday": _over(scalars.payment_delay, since=dt.date(1995, 1, 1)),
+    "scalar_calendar": _over(scalars.order_calendar),
+    "scalar_date_offset": _over(scalars.date_offsets, as_of=AS_OF),
+    "scalar_nullif_round": _over(scalars.unit_prices),
+    "scalar_percent_label": _over(scalars.margins),
+    "scalar_case_label": _over(scalars.risk_labels),
+    "scalar_int_div": _over(scalars.stock_per_price),
+    "scalar_clamp": _over(scalars.status_for_age, as_of=AS_OF),
+    "scalar_text": _over(scalars.text_parts),
+    "scalar_lookup_default": _over(scalars.ranges_by_category),
+    "scalar_null_test": _over(scalars.missing_scores),
+    "scalar_format": _over(scalars.formatted_shares),
+}
+
+QUALITY: dict[str, Query] = {
+    "dq_nulls": _over(rows.check_nulls),
+    "dq_ranges": _over(rows.check_ranges),
+    "dq_declared": _over(rows.check_declared, shipping=True),
+    "dq_domains": _over(rows.check_domains),
+    "dq_line_amounts": _over(rows.check_lines),
+    "dq_unique": _over(keys.check_unique),
+    "dq_fk": _over(keys.check_references),
+    "dq_profile": _over(profile.profile_tables, shipping=True),
+    "dq_order_reconciliation": _over(reconcile.order_reconciliation),
+    "dq_order_reconciliation_summary": _over(reconcile.order_reconciliation_summary),
+    "dq_payment_reconciliation": _over(reconcile.check_payments),
+    "dq_pricing": _over(reconcile.check_pricing),
+    "table_schema_doc": _over(profile.schema_document, shipping=True),
+}
+
+
+def _as_doubles(df: DataFrame) -> DataFrame:
+    money = [c for c, t in df.dtypes if t.startswith("decimal")]
+    return df.withColumns({c: F.col(c).cast("double") for c in money}) if money else df
+
+
+def _csv_round_trip(table: Table) -> Query:
+    """Write a table as CSV and read it back with its declared types."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        path = f"{shared_folder(spark, 'csv')}/{table.name}.csv"
+        tables = star_tables(spark, folder, shipping=True)
+        csv_files.write_csv(parquet_files.declared_columns(tables[table.name], table), path)
+        return _as_doubles(csv_files.read_csv(spark, path, table))
+
+    return query
+
+
+def _stored(table: Table) -> Query:
+    """Store a table in its layout and read it back."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        root = shared_folder(spark, "stored")
+        parquet_files.write_table(star_tables(spark, folder, shipping=True)[table.name], root, table)
+        return _as_doubles(parquet_files.read_table(spark, root, table))
+
+    return query
+
+
+def _load_report(spark: SparkSession, folder: str) -> DataFrame:
+    root = shared_folder(spark, "load")
+    return load.status_frame(spark, load.load_tables(star_tables(spark, folder, True), root))
+
+
+def _load_then_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Load the tables a report needs, then run it on the stored ones."""
+    root = shared_folder(spark, "load")
+    names = [CUSTOMERS.name, ORDERS.name]
+    load.require_all(load.load_tables(star_tables(spark, folder, True), root, names=names))
+    return customers.customer_ltv_segments(parquet_files.stored_tables(spark, root))
+
+
+_SQL_TEXT = """
+SELECT c.customer_tier, count(*) AS order_count, CAST(sum(o.total_amount) AS DOUBLE) AS revenue
+FROM {customers} c JOIN {orders} o ON c.customer_id = o.customer_id
+WHERE o.status <> 'cancelled'
+GROUP BY c.customer_tier
+"""
+
+
+def _sql_text(spark: SparkSession, folder: str) -> DataFrame:
+    return sql.run_sql(spark, _SQL_TEXT, star_tables(spark, folder))
+
+
+FILES: dict[str, Query] = {
+    "csv_round_trip_customers": _csv_round_trip(CUSTOMERS),
+    "csv_round_trip_products": _csv_round_trip(PRODUCTS),
+    "csv_round_trip_orders": _csv_round_trip(ORDERS),
+    "stored_orders": _stored(ORDERS),
+    "stored_payments": _stored(PAYMENTS),
+    "load_report": _load_report,
+    "load_then_segments": _load_then_segments,
+    "sql_text": _sql_text,
 }
 
 
 def all_queries() -> dict[str, Query]:
-    return {**REPORTS}
+    return {**REPORTS, **OPERATORS, **QUALITY, **FILES}
