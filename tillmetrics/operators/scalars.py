@@ -117,14 +117,14 @@ def text_parts(tables: Tables) -> DataFrame:
 
 def ranges_by_category(tables: Tables) -> DataFrame:
     """Values from a fixed table by category, with a default."""
-    low, high = stock_range(F.col("category"), F.col("price"))
-    cheapest, dearest = price_range(F.col("category"))
-    return tables["products"].select(
+    least, below = stock_range()
+    lowest, highest = price_range()
+    return tables["products"].selectExpr(
         "product_id",
-        low.alias("least_stock"),
-        high.alias("stock_below"),
-        cheapest.alias("lowest_price_cents"),
-        dearest.alias("highest_price_cents"),
+        f"{least} AS least_stock",
+        f"{below} AS stock_below",
+        f"CAST({lowest} AS double) AS lowest_price",
+        f"CAST({highest} AS double) AS highest_price",
     )
 
 

@@ -215,8 +215,8 @@ SELECT p.product_id,
             ELSE coalesce(r.low, 10) END AS least_stock,
        CASE WHEN p.category = 'Electronics' AND p.price > 100 THEN 50
             ELSE coalesce(r.high, 100) END AS stock_below,
-       coalesce(r.tenths, 10) * 50 AS lowest_price_cents,
-       coalesce(r.tenths, 10) * 5000 AS highest_price_cents
+       CAST(coalesce(r.tenths, 10) AS DOUBLE) / 2 AS lowest_price,
+       CAST(coalesce(r.tenths, 10) AS DOUBLE) * 50 AS highest_price
 FROM v_products p LEFT JOIN rules r ON p.category = r.category""",
     "scalar_null_test": """
 SELECT customer_tier, count(*) FILTER (loyalty_score IS NULL OR isnan(loyalty_score)) AS missing,

@@ -1,27 +1,25 @@
-"""Checks of whole tables. Each returns rows: table, check, column, violations, passed."""
+"""Checks of whole tables. Each returns rows: table, check, column, violations, passed.
+
+Conditions are SQL text, which a table of many rules can be read from at a glance.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+CHECK_COLUMNS = "table_name, check_name, column_name, violations, passed"
 
 
-def check_row(table: str, check: str, column: str, violations: Column) -> Column:
-    return F.struct(
-        F.lit(table).alias("table_name"),
-        F.lit(check).alias("check_name"),
-        F.lit(column).alias("column_name"),
-        violations.cast("bigint").alias("violations"),
-        (violations == 0).alias("passed"),
-    )
+def stack(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
-def rows_of(one_row: DataFrame, structs: list[Column]) -> DataFrame:
-    """Turn the single row of ``one_row`` into one row per struct."""
-    return one_row.select(F.inline(F.array(*structs)))
+def unfold(one_row: DataFrame, rows: list[str], columns: str) -> DataFrame:
+    """Turn the single row of ``one_row`` into several, each a list of SQL expressions."""
+    return one_row.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS ({columns})")
 
 
-def stack(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def check_row(table: str, check: str, column: str, violations: str) -> str:
+    return f"'{table}', '{check}', '{column}', {violations}, {violations} = 0"

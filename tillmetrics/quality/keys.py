@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmetrics.plans import Tables
-from tillmetrics.quality import check_row, rows_of, stack
+from tillmetrics.quality import CHECK_COLUMNS, check_row, stack, unfold
 from tillmetrics.schemas import TABLES
 
 
@@ -22,9 +22,8 @@ def duplicates(df: DataFrame, column: str) -> DataFrame:
 
 def unique_violations(df: DataFrame, table_name: str, column: str) -> DataFrame:
     """Violations are the rows beyond the first of each value."""
-    surplus = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))
-    total = duplicates(df, column).agg(surplus.alias("surplus"))
-    return rows_of(total, [check_row(table_name, "unique", column, F.col("surplus"))])
+    total = duplicates(df, column).selectExpr("coalesce(sum(copies - 1), 0) AS surplus")
+    return unfold(total, [check_row(table_name, "unique", column, "surplus")], CHECK_COLUMNS)
 
 
 def orphans(child: DataFrame, parent: DataFrame, column: str, key: str) -> DataFrame:
@@ -41,9 +40,9 @@ def orphans(child: DataFrame, parent: DataFrame, column: str, key: str) -> DataF
 def reference_violations(
     child: DataFrame, parent: DataFrame, table_name: str, column: str, key: str
 ) -> DataFrame:
-    lost = F.coalesce(F.sum("child_rows"), F.lit(0))
-    total = orphans(child, parent, column, key).agg(lost.alias("lost"))
-    return rows_of(total, [check_row(table_name, "reference", column, F.col("lost"))])
+    lost = orphans(child, parent, column, key)
+    total = lost.selectExpr("coalesce(sum(child_rows), 0) AS lost")
+    return unfold(total, [check_row(table_name, "reference", column, "lost")], CHECK_COLUMNS)
 
 
 def check_unique(tables: Tables) -> DataFrame:

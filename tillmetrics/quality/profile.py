@@ -3,29 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tillmetrics.plans import Tables
-from tillmetrics.quality import rows_of, stack
+from tillmetrics.quality import stack, unfold
 from tillmetrics.schemas import TABLES
 
 
 def profile(df: DataFrame, table_name: str) -> DataFrame:
     """Rows, columns and NULLs per column, in one scan."""
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in df.columns]
-    counted = df.agg(F.count("*").alias("total_rows"), *nulls)
-    return rows_of(
+    nulls = [f"count_if({c} IS NULL) AS nulls_{c}" for c in df.columns]
+    counted = df.selectExpr("count(*) AS total_rows", *nulls)
+    width = len(df.columns)
+    return unfold(
         counted,
-        [
-            F.struct(
-                F.lit(table_name).alias("table_name"),
-                F.lit(c).alias("column_name"),
-                F.col("total_rows"),
-                F.lit(len(df.columns)).alias("total_columns"),
-                F.col(f"nulls_{c}").alias("null_count"),
-            )
-            for c in df.columns
-        ],
+        [f"'{table_name}', '{c}', total_rows, {width}, nulls_{c}" for c in df.columns],
+        "table_name, column_name, total_rows, total_columns, null_count",
     )
 
 
@@ -38,21 +30,10 @@ def schema_document(tables: Tables) -> DataFrame:
     frames = []
     for name, table in TABLES.items():
         df = tables[name]
-        counted = df.agg(F.count("*").alias("row_count"))
-        frames.append(
-            rows_of(
-                counted,
-                [
-                    F.struct(
-                        F.lit(name).alias("table_name"),
-                        F.lit(i + 1).alias("position"),
-                        F.lit(column).alias("column_name"),
-                        F.lit(data_type).alias("data_type"),
-                        F.col("row_count"),
-                        F.lit(table.description).alias("description"),
-                    )
-                    for i, (column, data_type) in enumerate(df.dtypes)
-                ],
-            )
-        )
+        lines = [
+            f"'{name}', {i}, '{column}', '{data_type}', row_count, '{table.description}'"
+            for i, (column, data_type) in enumerate(df.dtypes, 1)
+        ]
+        columns = "table_name, position, column_name, data_type, row_count, description"
+        frames.append(unfold(df.selectExpr("count(*) AS row_count"), lines, columns))
     return stack(frames)

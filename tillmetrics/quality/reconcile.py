@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmetrics.functions.amounts import cents, to_amount
-from tillmetrics.functions.dates import hours_after
 from tillmetrics.operators.rollups import CANCELLED, items_by_order
 from tillmetrics.plans import Tables
 from tillmetrics.quality import stack
@@ -41,12 +40,10 @@ PRICE_MULTIPLIERS = {
 DEFAULT_MULTIPLIER = 1.0
 
 
-def lookup(key: Column, values: dict[str, int], default: int) -> Column:
-    """The value a fixed table gives for ``key``, or the default."""
-    out = F
-    for name, value in values.items():
-        out = out.when(key == name, F.lit(value))
-    return out.otherwise(F.lit(default))
+def lookup(key: str, values: dict[str, float], default: float) -> str:
+    """SQL for the value a fixed table gives for ``key``, or the default."""
+    branches = " ".join(f"WHEN '{name}' THEN {value}" for name, value in values.items())
+    return f"CASE {key} {branches} ELSE {default} END"
 
 
 def order_reconciliation(tables: Tables) -> DataFrame:
@@ -106,22 +103,24 @@ def payments_with_orders(tables: Tables) -> DataFrame:
     return tables["payments"].join(orders, "order_id", "left")
 
 
+def _among(values: tuple[str, ...]) -> str:
+    return f"({', '.join(repr(v) for v in values)})"
+
+
 def payment_rules() -> list[Rule]:
-    paid, ordered = F.col("payment_date"), F.col("order_date")
-    outcome, status = F.col("payment_status"), F.col("order_status")
-    cancelled = status == CANCELLED
     return [
-        Rule("order_amount", "amount", F.col("amount") != F.col("order_amount")),
+        Rule("order_amount", "amount", "amount <> order_amount"),
         Rule(
             "payment_window",
             "payment_date",
-            (paid <= ordered) | (paid >= hours_after(ordered, PAID_WITHIN_HOURS)),
+            "payment_date <= order_date OR "
+            f"payment_date >= order_date + INTERVAL {PAID_WITHIN_HOURS} HOURS",
         ),
         Rule(
             "order_status",
             "payment_status",
-            (cancelled & ~outcome.isin(*CANCELLED_OUTCOMES))
-            | (~cancelled & ~outcome.isin(*LIVE_OUTCOMES)),
+            f"payment_status NOT IN {_among(CANCELLED_OUTCOMES)} AND order_status = '{CANCELLED}' "
+            f"OR payment_status NOT IN {_among(LIVE_OUTCOMES)} AND order_status <> '{CANCELLED}'",
         ),
     ]
 
@@ -130,47 +129,49 @@ def check_payments(tables: Tables) -> DataFrame:
     return count_violations(payments_with_orders(tables), "payments", payment_rules())
 
 
-def _outside(part: Column, whole: Column, percents: tuple[int, int]) -> Column:
+def _outside(part: str, whole: str, percents: tuple[int, int]) -> str:
     """``part`` is not within ``percents`` of ``whole``, half a cent of rounding allowed."""
     low, high = percents
-    part_x200, whole_x2 = cents(part) * 200, cents(whole) * 2
-    return (part_x200 < whole_x2 * low - 100) | (part_x200 > whole_x2 * high + 100)
+    return (
+        f"{part} < {whole} * {low / 100:.2f} - 0.005 OR {part} > {whole} * {high / 100:.2f} + 0.005"
+    )
 
 
-def stock_range(category: Column, price: Column) -> tuple[Column, Column]:
-    """Least stock, and the stock it stays below, by category; dear electronics have their own."""
-    dear = (category == "Electronics") & (price > EXPENSIVE)
+def stock_range() -> tuple[str, str]:
+    """SQL for the least stock of a product and the stock it stays below."""
     low, high = (
-        F.when(dear, F.lit(EXPENSIVE_ELECTRONICS_STOCK[end])).otherwise(
-            lookup(category, {c: r[end] for c, r in STOCK_RANGES.items()}, DEFAULT_STOCK[end])
-        )
+        f"IF(category = 'Electronics' AND price > {EXPENSIVE}, "
+        f"{EXPENSIVE_ELECTRONICS_STOCK[end]}, "
+        + lookup("category", {c: r[end] for c, r in STOCK_RANGES.items()}, DEFAULT_STOCK[end])
+        + ")"
         for end in (0, 1)
     )
     return low, high
 
 
-def price_range(category: Column) -> tuple[Column, Column]:
-    """Lowest and highest catalogue price of a category, in cents."""
-    tenths = {c: round(m * 10) for c, m in PRICE_MULTIPLIERS.items()}
-    multiplier = lookup(category, tenths, round(DEFAULT_MULTIPLIER * 10))
+def price_range() -> tuple[str, str]:
+    """SQL for the lowest and highest catalogue price of a product."""
+    multiplier = lookup("category", PRICE_MULTIPLIERS, DEFAULT_MULTIPLIER)
     low, high = PRICE_RANGE
-    return multiplier * (low * 10), multiplier * (high * 10)
+    return f"{low} * {multiplier}", f"{high} * {multiplier}"
 
 
 def product_rules() -> list[Rule]:
-    low, high = stock_range(F.col("category"), F.col("price"))
-    cheapest, dearest = price_range(F.col("category"))
-    stock, price = F.col("stock_quantity"), cents("price")
+    least, below = stock_range()
+    lowest, highest = price_range()
     return [
-        Rule("price_range", "price", (price < cheapest) | (price > dearest)),
-        Rule("cost_range", "cost_price", _outside(F.col("cost_price"), F.col("price"), COST_RANGE)),
-        Rule("stock_range", "stock_quantity", (stock < low) | (stock >= high)),
+        Rule("price_range", "price", f"price < {lowest} OR price > {highest}"),
+        Rule("cost_range", "cost_price", _outside("cost_price", "price", COST_RANGE)),
+        Rule(
+            "stock_range",
+            "stock_quantity",
+            f"stock_quantity < {least} OR stock_quantity >= {below}",
+        ),
     ]
 
 
 def item_price_rules() -> list[Rule]:
-    charged = _outside(F.col("unit_price"), F.col("price"), DISCOUNT_RANGE)
-    return [Rule("discount_range", "unit_price", charged)]
+    return [Rule("discount_range", "unit_price", _outside("unit_price", "price", DISCOUNT_RANGE))]
 
 
 def check_pricing(tables: Tables) -> DataFrame:
