@@ -151,9 +151,10 @@ def _document(table: str) -> list[str]:
 
 _RECONCILED = """
 totals AS (
-  SELECT o.order_id, o.total_amount, sum(i.subtotal) AS items_total,
-         count(i.subtotal) AS line_count
-  FROM v_orders o LEFT JOIN v_order_items i USING (order_id) GROUP BY ALL),
+  SELECT o.order_id, o.total_amount, i.items_total, coalesce(i.line_count, 0) AS line_count
+  FROM v_orders o LEFT JOIN (
+    SELECT order_id, sum(subtotal) AS items_total, count(*) AS line_count
+    FROM v_order_items GROUP BY order_id) i USING (order_id)),
 reconciled AS (
   SELECT order_id, CAST(total_amount AS DOUBLE) AS total_amount,
          CAST(items_total AS DOUBLE) AS items_total, line_count,

@@ -107,8 +107,8 @@ calendar AS (
   FROM live),
 daily AS (
   SELECT order_day, coalesce(n_orders, 0) AS daily_orders,
-         coalesce(n_customers, 0) AS daily_customers, coalesce(revenue, 0) AS revenue, priced,
-         paid, coalesce(failed, 0) AS failed_payments
+         coalesce(n_customers, 0) AS daily_customers,
+         CASE WHEN n_orders IS NULL THEN 0 ELSE revenue END AS revenue, priced, paid, coalesce(failed, 0) AS failed_payments
   FROM calendar LEFT JOIN sold USING (order_day) LEFT JOIN paid USING (order_day))
 """
 
@@ -122,8 +122,8 @@ weeks AS (
   WINDOW week AS (ORDER BY order_day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)),
 rolling AS (
   SELECT order_day, daily_orders, daily_customers, daily_revenue,
-         daily_revenue / priced AS avg_order_value, CAST(paid AS DOUBLE) AS daily_payments,
-         failed_payments, CAST(week_revenue AS DOUBLE) / week_days AS weekly_avg_revenue,
+         daily_revenue / NULLIF(priced, 0) AS avg_order_value, CAST(paid AS DOUBLE) AS daily_payments,
+         failed_payments, CAST(week_revenue AS DOUBLE) / NULLIF(week_days, 0) AS weekly_avg_revenue,
          weekly_avg_orders, CAST(previous AS DOUBLE) AS revenue_previous_week
   FROM weeks)
 """
@@ -160,7 +160,8 @@ cohorts AS (
 def _payment_risk(risk: str) -> str:
     return f"""WITH outcome AS (
   SELECT payment_method, payment_status, count(*) AS n, sum(amount) AS amount,
-         avg(risk_score) AS mean_risk, sum(risk_score) AS risk_sum
+         avg(risk_score) AS mean_risk, sum(risk_score) AS risk_sum,
+         count(risk_score) AS risk_n
   FROM v_payments GROUP BY ALL),
 method AS (
   SELECT payment_method,
@@ -270,7 +271,7 @@ SELECT payment_method, payment_status, count(*) AS transaction_count,
        count(*) FILTER (risk_score > 0.5) AS high_risk_count
 FROM v_payments GROUP BY payment_method, payment_status""",
     "payment_risk": _payment_risk("avg(mean_risk)"),
-    "payment_risk_corrected": _payment_risk("sum(risk_sum) / sum(n)"),
+    "payment_risk_corrected": _payment_risk("sum(risk_sum) / sum(risk_n)"),
     "kpi_dashboard": _kpi(
         _KPI_PAIRED,
         _round_large("total_revenue / NULLIF(total_orders, 0)"),
