@@ -20,7 +20,8 @@ from tillmetrics.quality.rows import (
     load_ranges,
 )
 from tillmetrics.schemas import TABLES, Table
-from tillmetrics.sources import csv_files, parquet_files
+from tillmetrics.session import shared_folder
+from tillmetrics.sources import TableSet, csv_files, parquet_files
 
 REPLACE = "overwrite"
 APPEND = "append"
@@ -58,7 +59,9 @@ def validate(df: DataFrame, table: Table, stored: DataFrame | None = None) -> Da
     return stack(frames)
 
 
-def load_table(df: DataFrame, table: Table, root: str, mode: str = REPLACE) -> LoadStatus:
+def load_table(
+    df: DataFrame, table: Table, root: str, mode: str = REPLACE, partitions: int | None = None
+) -> LoadStatus:
     """Store ``df`` under ``root`` if every check holds, else nothing of it.
 
     Spark moves the files of a write in place only when all its tasks have
@@ -76,7 +79,7 @@ def load_table(df: DataFrame, table: Table, root: str, mode: str = REPLACE) -> L
     ]
     if failed:
         return LoadStatus(table.name, False, rows, ", ".join(sorted(failed)))
-    parquet_files.write_table(df, root, table, mode)
+    parquet_files.write_table(df, root, table, mode, partitions)
     return LoadStatus(table.name, True, rows, "")
 
 
@@ -85,6 +88,7 @@ def load_tables(
     root: str,
     mode: str = REPLACE,
     names: list[str] | None = None,
+    partitions: int | None = None,
 ) -> list[LoadStatus]:
     """Load every table; one that fails or cannot be read does not stop the others."""
     statuses = []
@@ -93,7 +97,7 @@ def load_tables(
             statuses.append(LoadStatus(name, False, None, "unknown table"))
             continue
         try:
-            statuses.append(load_table(tables[name], TABLES[name], root, mode))
+            statuses.append(load_table(tables[name], TABLES[name], root, mode, partitions))
         except AnalysisException as e:
             reason = "missing file" if e.getCondition() == "PATH_NOT_FOUND" else str(e)
             statuses.append(LoadStatus(name, False, None, reason))
@@ -103,10 +107,23 @@ def load_tables(
 
 
 def load_csv_folder(
-    spark: SparkSession, folder: str, root: str, mode: str = REPLACE
+    spark: SparkSession,
+    folder: str,
+    root: str,
+    mode: str = REPLACE,
+    partitions: int | None = None,
 ) -> list[LoadStatus]:
-    """Load ``folder/<table>.csv`` of every declared table."""
-    return load_tables(csv_files.csv_tables(spark, folder, keep_malformed=True), root, mode)
+    """Load ``folder/<table>.csv`` of every declared table.
+
+    Text is parsed once, into the shared folder; the checks then read only the
+    columns they need of it, and the final write its typed rows.
+    """
+    staging = shared_folder(spark, "staging")
+    texts = csv_files.csv_tables(spark, folder, keep_malformed=True)
+    parsed = TableSet(
+        {name: lambda n=name: parquet_files.staged(texts[n], f"{staging}/{n}") for name in texts}
+    )
+    return load_tables(parsed, root, mode, partitions=partitions)
 
 
 def status_frame(spark: SparkSession, statuses: list[LoadStatus]) -> DataFrame:

@@ -34,11 +34,14 @@ def declared_columns(df: DataFrame, table: Table) -> DataFrame:
     return df.select(*columns)
 
 
-def write_table(df: DataFrame, root: str, table: Table, mode: str = "overwrite") -> None:
+def write_table(
+    df: DataFrame, root: str, table: Table, mode: str = "overwrite", partitions: int | None = None
+) -> None:
     """Write the declared columns in the table's layout.
 
     Range partitioning on a key that ends in a unique column splits a hot month
-    or customer over many tasks and still gives each month few files.
+    or customer over many tasks and still gives each month few files. Without
+    ``partitions`` the session's number of shuffle partitions applies.
     """
     out = declared_columns(df, table)
     order = ORDERED_BY[table.name]
@@ -47,12 +50,19 @@ def write_table(df: DataFrame, root: str, table: Table, mode: str = "overwrite")
         folder_column, moment = MONTH[table.name]
         out = out.withColumn(folder_column, year_month(moment))
         order = [folder_column, *order]
-    writer = out.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode)
+    keys = order if partitions is None else [partitions, *order]
+    writer = out.repartitionByRange(*keys).sortWithinPartitions(*order).write.mode(mode)
     if folder_column:
         writer = writer.partitionBy(folder_column)
     writer.parquet(f"{root}/{table.name}")
 
 
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """``df`` by way of Parquet files, for a source that is slow to read and read repeatedly."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
     schema = T.StructType(list(table.schema.fields))
     if table.name in MONTH:
