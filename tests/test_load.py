@@ -116,6 +116,19 @@ def test_a_failed_check_keeps_the_whole_table_out_and_no_other(spark, tmp_path,
         load.require_all(statuses)
 
 
+def test_replacing_drops_months_that_are_gone(spark, tmp_path):
+    root = str(tmp_path / "db")
+    load.load_tables(small_shop(spark), root)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        load.load_tables(small_shop(spark, orders=[{}]), root, names=["orders"])
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r["order_month"] for r in rows(parquet_files.read_table(spark, root, ORDERS))] == [
+        "2023-03"
+    ]
+
+
 def test_a_failed_replacement_keeps_the_stored_rows(spark, tmp_path):
     root = str(tmp_path / "db")
     load.load_tables(small_shop(spark), root)
@@ -233,6 +246,6 @@ def test_shared_folder_follows_the_session(spark):
         assert folder.startswith(base)
 
 
-def test_shuffle_partitions_follow_the_input():
+def test_shuffle_partitions_follow_the_bytes():
     assert session.shuffle_partitions(1) == 8
-    assert session.shuffle_partitions(10 * 1024**4) == 81920
+    assert session.shuffle_partitions(10 * 1024**4) == 40960

@@ -26,13 +26,13 @@ def profile_tables(tables: Tables) -> DataFrame:
 
 
 def schema_document(tables: Tables) -> DataFrame:
-    """Per column: position, type, and the table's row count and description."""
+    """Per declared column: position, type, and the table's row count and description."""
     frames = []
     for name, table in TABLES.items():
         df = tables[name]
         lines = [
             f"'{name}', {i}, '{column}', '{data_type}', row_count, '{table.description}'"
-            for i, (column, data_type) in enumerate(df.dtypes, 1)
+            for i, (column, data_type) in enumerate(df.select(*table.columns).dtypes, 1)
         ]
         columns = "table_name, position, column_name, data_type, row_count, description"
         frames.append(unfold(df.selectExpr("count(*) AS row_count"), lines, columns))

@@ -23,23 +23,29 @@ SETTINGS = {
 def build_session(
     app_name: str = "tillmetrics",
     master: str | None = None,
-    input_bytes: int | None = None,
+    shuffle_bytes: int | None = None,
     **conf: str,
 ) -> SparkSession:
-    """A session with the settings above; ``input_bytes`` sizes the shuffles."""
+    """A session with the settings above.
+
+    ``shuffle_bytes`` is about the most that one shuffle moves; the reports
+    shuffle few columns, a tenth of their input or less.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = dict(SETTINGS)
-    if input_bytes:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+    if shuffle_bytes:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffle_bytes))
+        # Scans read few columns of a split, so larger splits give tasks of a useful size.
+        settings["spark.sql.files.maxPartitionBytes"] = "512m"
     for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def shuffle_partitions(
-    shuffle_bytes: int, partition_bytes: int = 128 * 1024**2, minimum: int = 8
+    shuffle_bytes: int, partition_bytes: int = 256 * 1024**2, minimum: int = 8
 ) -> int:
     """Partitions that keep each reduce task near ``partition_bytes``.
 

@@ -52,6 +52,7 @@ def write_table(
         order = [folder_column, *order]
     keys = order if partitions is None else [partitions, *order]
     writer = out.repartitionByRange(*keys).sortWithinPartitions(*order).write.mode(mode)
+    writer = writer.option("partitionOverwriteMode", "static")  # replace every folder
     if folder_column:
         writer = writer.partitionBy(folder_column)
     writer.parquet(f"{root}/{table.name}")
