@@ -28,7 +28,7 @@ def customer_names(tables: Tables) -> DataFrame:
 
 def payment_delay(tables: Tables, since: dt.date) -> DataFrame:
     """Days with their fraction."""
-    start = F.lit(dt.datetime(since.year, since.month, since.day)).cast("timestamp_ntz")
+    start = F.lit(since.isoformat()).cast("timestamp_ntz")
     days = days_between(start, F.col("payment_date"))
     return tables["payments"].select("payment_id", days.alias("days_since"))
 
