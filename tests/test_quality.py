@@ -3,10 +3,13 @@
 import datetime as dt
 from collections import Counter
 
+import pytest
+
 from tests.shop import by, frame, rows, shop
-from tillmetrics.quality import keys, profile, reconcile, stack
+from tillmetrics import load
+from tillmetrics.quality import integrity, keys, profile, reconcile, stack
 from tillmetrics.quality import rows as row_checks
-from tillmetrics.schemas import ORDERS
+from tillmetrics.schemas import CUSTOMERS, ORDERS
 
 # What is changed in one customer, product, order, line or payment, and the checks that must
 # then count one violation more.
@@ -186,6 +189,29 @@ def test_stock_and_price_ranges_depend_on_category_and_price(spark):
     }
 
 
+def test_integrity_raises_with_every_finding(spark):
+    tables = shop(spark, customers=[{}], products=[{}], orders=[{}], order_items=[{}], payments=[{}])
+    integrity.require_integrity(tables)
+    tables = shop(spark, customers=[{}], products=[{"price": 0}], orders=[{}],
+                  order_items=[{}, {"order_id": 7}], payments=[{}])
+    with pytest.raises(
+        ValueError,
+        match="order_items.order_id reference: 1; products.price integrity_range: 1",
+    ):
+        integrity.require_integrity(tables)
+
+
+def test_validation_result_has_verdict_issues_and_summary(spark):
+    customers = frame(spark, "customers", [{"email": None}, {"city": None}, {}])
+    (result,) = rows(load.validation_result(customers, CUSTOMERS))
+    assert result["is_valid"] is False
+    assert result["issues"] == ["null(email)=1", "required(city)=1", "required(email)=1"]
+    assert result["summary"]["total_rows"] == 3 and result["summary"]["total_columns"] == 10
+    assert result["summary"]["null_count"]["city"] == 1
+    (result,) = rows(load.validation_result(frame(spark, "customers", [{}]), CUSTOMERS))
+    assert result["is_valid"] is True and result["issues"] == []
+
+
 def test_profile_counts_rows_columns_and_nulls(spark):
     customers = frame(spark, "customers", [{"city": None}, {}])
     described = by(profile.profile(customers, "customers"), "column_name")

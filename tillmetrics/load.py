@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillmetrics.quality import stack
 from tillmetrics.quality.keys import unique_violations
+from tillmetrics.quality.profile import profile
 from tillmetrics.quality.rows import (
     Rule,
     count_violations,
@@ -59,6 +60,31 @@ def validate(df: DataFrame, table: Table, stored: DataFrame | None = None) -> Da
     return stack(frames)
 
 
+def validation_result(df: DataFrame, table: Table) -> DataFrame:
+    """One row: whether the table may be loaded, what is wrong, and its size and NULLs."""
+    name = F.format_string("%s(%s)=%d", "check_name", "column_name", "violations")
+    checks = validate(df, table).filter("check_name <> 'rows'")
+    verdict = checks.agg(
+        F.min("passed").alias("is_valid"),
+        F.sort_array(F.collect_list(F.when(~F.col("passed"), name))).alias("issues"),
+    )  # a few dozen checks
+    summary = profile(df, table.name).agg(
+        F.struct(
+            F.max("total_rows").alias("total_rows"),
+            F.max("total_columns").alias("total_columns"),
+            F.map_from_entries(F.collect_list(F.struct("column_name", "null_count"))).alias(
+                "null_count"
+            ),  # one entry per column
+        ).alias("summary")
+    )
+    return verdict.select(
+        F.lit(table.name).alias("table_name"),
+        "is_valid",
+        "issues",
+        summary.scalar().alias("summary"),
+    )
+
+
 def load_table(
     df: DataFrame, table: Table, root: str, mode: str = REPLACE, partitions: int | None = None
 ) -> LoadStatus:

@@ -201,6 +201,19 @@ _PRICING = [
     ),
 ]
 
+def _validation(table: str) -> str:
+    """Every load check holds in the files, except that line ids repeat."""
+    columns = [c for c, _ in _columns(table)]
+    nulls = " + ".join(f"count(*) FILTER ({c} IS NULL)" for c in columns)
+    repeated = "(count(*) - count(DISTINCT order_item_id))" if table == "order_items" else "0"
+    return (
+        f"SELECT '{table}' AS table_name, {repeated} = 0 AS is_valid, "
+        f"CASE WHEN {repeated} > 0 THEN 'unique(order_item_id)=' || {repeated} ELSE '' END "
+        f"AS issues, count(*) AS total_rows, {len(columns)} AS total_columns, "
+        f"CAST({nulls} AS BIGINT) AS null_values FROM {_view(table)}"
+    )
+
+
 QUALITY_SQL: dict[str, str] = {
     "dq_nulls": _all(_nulls(_CRITICAL, "null")),
     "dq_ranges": _all([_count(*r) for r in _RANGES]),
@@ -251,5 +264,10 @@ SELECT verdict, count(*) AS order_count FROM reconciled GROUP BY verdict""",
         ]
     ),
     "dq_pricing": _all(_PRICING),
+    "dq_integrity": _all(
+        [_reference(*r) for r in _REFERENCES]
+        + [_count(*r) for r in _RANGES if r[1] == "integrity_range"]
+    ),
+    "dq_validation": _all([_validation(t) for t in _TYPES]),
     "table_schema_doc": _all([part for t in _TYPES for part in _document(t)]),
 }

@@ -10,9 +10,18 @@ from pyspark.sql import functions as F
 
 from tillmetrics import load, sql
 from tillmetrics.operators import aggregates, joins, ordering, predicates, scalars, windows
-from tillmetrics.plans import CORRECTED, cohorts, customers, kpi, payments, products, trends
-from tillmetrics.quality import keys, profile, reconcile, rows
-from tillmetrics.schemas import CUSTOMERS, ORDERS, PAYMENTS, PRODUCTS, Table
+from tillmetrics.plans import (
+    CORRECTED,
+    Tables,
+    cohorts,
+    customers,
+    kpi,
+    payments,
+    products,
+    trends,
+)
+from tillmetrics.quality import integrity, keys, profile, reconcile, rows, stack
+from tillmetrics.schemas import CUSTOMERS, ORDERS, PAYMENTS, PRODUCTS, TABLES, Table
 from tillmetrics.session import shared_folder
 from tillmetrics.sources import csv_files, parquet_files
 from tillmetrics.sources.star_files import star_tables
@@ -108,6 +117,23 @@ OPERATORS: dict[str, Query] = {
     "scalar_format": _over(scalars.formatted_shares),
 }
 
+
+
+def _validation(tables: Tables) -> DataFrame:
+    """The validation result of every table, its parts as plain columns."""
+    results = stack([load.validation_result(tables[t.name], t) for t in TABLES.values()])
+    return results.select(
+        "table_name",
+        "is_valid",
+        F.array_join("issues", ", ").alias("issues"),
+        "summary.total_rows",
+        "summary.total_columns",
+        F.aggregate(
+            F.map_values("summary.null_count"), F.lit(0).cast("bigint"), lambda a, b: a + b
+        ).alias("null_values"),
+    )
+
+
 QUALITY: dict[str, Query] = {
     "dq_nulls": _over(rows.check_nulls),
     "dq_ranges": _over(rows.check_ranges),
@@ -121,6 +147,8 @@ QUALITY: dict[str, Query] = {
     "dq_order_reconciliation_summary": _over(reconcile.order_reconciliation_summary),
     "dq_payment_reconciliation": _over(reconcile.check_payments),
     "dq_pricing": _over(reconcile.check_pricing),
+    "dq_integrity": _over(integrity.check_integrity),
+    "dq_validation": _over(_validation, shipping=True),
     "table_schema_doc": _over(profile.schema_document, shipping=True),
 }
 

@@ -53,6 +53,8 @@ def write_table(
     keys = order if partitions is None else [partitions, *order]
     writer = out.repartitionByRange(*keys).sortWithinPartitions(*order).write.mode(mode)
     writer = writer.option("partitionOverwriteMode", "static")  # replace every folder
+    # Files appear when the whole job commits, not task by task.
+    writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "1")
     if folder_column:
         writer = writer.partitionBy(folder_column)
     writer.parquet(f"{root}/{table.name}")
