@@ -106,7 +106,7 @@ def test_loading_again_replaces(spark, tmp_path):
         ("payments", [{}, {"payment_id": 1}], "unique(payment_id)=1"),
     ],
 )
-def test_a_failed_check_keeps_the_whole_table_out_and_no_other(spark, tmp_path, table, data, reason):
+def test_a_failed_check_keeps_its_table_out(spark, tmp_path, table, data, reason):
     root = str(tmp_path / "db")
     statuses = load.load_tables(small_shop(spark, **{table: data}), root)
     assert {s.table_name: s.ok for s in statuses} == {t: t != table for t in TABLES}

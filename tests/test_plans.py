@@ -5,7 +5,12 @@ import pytest
 from tillmetrics import registry
 
 FOLDER = "/root/testdata/sf0.001"
-PLANNED = {**registry.REPORTS, **registry.OPERATORS, **registry.QUALITY, "sql_text": registry.FILES["sql_text"]}
+PLANNED = {
+    **registry.REPORTS,
+    **registry.OPERATORS,
+    **registry.QUALITY,
+    "sql_text": registry.FILES["sql_text"],
+}
 
 
 def plan_of(spark, name, final=False):

@@ -9,7 +9,7 @@ from tests.shop import by, frame, rows, shop
 from tillmetrics import load
 from tillmetrics.quality import integrity, keys, profile, reconcile, stack
 from tillmetrics.quality import rows as row_checks
-from tillmetrics.schemas import CUSTOMERS, ORDERS
+from tillmetrics.schemas import CUSTOMERS, ORDERS, TABLES
 
 # What is changed in one customer, product, order, line or payment, and the checks that must
 # then count one violation more.
@@ -157,8 +157,8 @@ def test_orders_are_reconciled_within_a_cent_per_line(spark):
         orders=[{"total_amount": "20.02"}, {"total_amount": "10.02"}, {"total_amount": 5}],
         order_items=[{}, {}, {"order_id": 2}],
     )
-    verdicts = {k: v["verdict"] for k, v in by(reconcile.order_reconciliation(tables), "order_id").items()}
-    assert verdicts == {1: "match", 2: "mismatch", 3: "no_items"}
+    orders = by(reconcile.order_reconciliation(tables), "order_id")
+    assert {k: v["verdict"] for k, v in orders.items()} == {1: "match", 2: "mismatch", 3: "no_items"}
 
 
 def test_item_totals_replace_order_totals(spark):
@@ -190,7 +190,7 @@ def test_stock_and_price_ranges_depend_on_category_and_price(spark):
 
 
 def test_integrity_raises_with_every_finding(spark):
-    tables = shop(spark, customers=[{}], products=[{}], orders=[{}], order_items=[{}], payments=[{}])
+    tables = shop(spark, **{t: [{}] for t in TABLES})
     integrity.require_integrity(tables)
     tables = shop(spark, customers=[{}], products=[{"price": 0}], orders=[{}],
                   order_items=[{}, {"order_id": 7}], payments=[{}])

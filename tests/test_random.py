@@ -1,4 +1,4 @@
-"""Reports over random tables with NULLs, gaps, unsold goods and keys that own a third of all rows."""
+"""Reports over random tables with NULLs, gaps, unsold goods and keys with a third of all rows."""
 
 import datetime as dt
 import random

@@ -68,7 +68,7 @@ def customers_with_live_orders(tables: Tables) -> DataFrame:
 
 
 def orders_without_items(tables: Tables) -> DataFrame:
-    """Lines are reduced to their orders first, so an order with many lines arrives once per task."""
+    """Lines are reduced to their orders first: a large order arrives as one row per task."""
     with_items = tables["order_items"].select("order_id").distinct()
     return (
         tables["orders"]

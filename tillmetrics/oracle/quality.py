@@ -168,6 +168,26 @@ reconciled AS (
 _PAID = "v_payments p LEFT JOIN v_orders o USING (order_id)"
 
 
+_PAYMENT_RULES = {
+    ("order_amount", "amount"): "amount <> total_amount",
+    ("payment_window", "payment_date"): "payment_date <= order_date OR "
+    "payment_date >= order_date + INTERVAL 24 HOUR",
+    ("order_status", "payment_status"): "(status = 'cancelled' AND payment_status NOT IN "
+    "('refunded', 'failed')) OR (status <> 'cancelled' AND payment_status NOT IN "
+    "('completed', 'failed'))",
+}
+
+
+def _violating_payments() -> str:
+    names = ", ".join(
+        f"CASE WHEN {condition} THEN '{check}:{column}' END"
+        for (check, column), condition in _PAYMENT_RULES.items()
+    )
+    return f"""
+SELECT payment_id, concat_ws(', ', {names}) AS violated_rules FROM {_PAID}
+WHERE {" OR ".join(f"({c})" for c in _PAYMENT_RULES.values())}"""
+
+
 def _payment(check: str, column: str, condition: str) -> str:
     return _check("payments", check, column, f"count(*) FILTER ({condition})", _PAID)
 
@@ -248,22 +268,13 @@ QUALITY_SQL: dict[str, str] = {
     "dq_order_reconciliation_summary": f"""WITH {_RECONCILED}
 SELECT verdict, count(*) AS order_count FROM reconciled GROUP BY verdict""",
     "dq_payment_reconciliation": _all(
-        [
-            _payment("order_amount", "amount", "amount <> total_amount"),
-            _payment(
-                "payment_window",
-                "payment_date",
-                "payment_date <= order_date OR payment_date >= order_date + INTERVAL 24 HOUR",
-            ),
-            _payment(
-                "order_status",
-                "payment_status",
-                "(status = 'cancelled' AND payment_status NOT IN ('refunded', 'failed')) OR "
-                "(status <> 'cancelled' AND payment_status NOT IN ('completed', 'failed'))",
-            ),
-        ]
+        [_payment(check, column, c) for (check, column), c in _PAYMENT_RULES.items()]
     ),
     "dq_pricing": _all(_PRICING),
+    "dq_violating_payments": _violating_payments(),
+    "dq_duplicate_keys": """
+SELECT order_item_id, count(*) AS copies FROM v_order_items
+GROUP BY order_item_id HAVING count(*) > 1""",
     "dq_integrity": _all(
         [_reference(*r) for r in _REFERENCES]
         + [_count(*r) for r in _RANGES if r[1] == "integrity_range"]

@@ -108,7 +108,8 @@ calendar AS (
 daily AS (
   SELECT order_day, coalesce(n_orders, 0) AS daily_orders,
          coalesce(n_customers, 0) AS daily_customers,
-         CASE WHEN n_orders IS NULL THEN 0 ELSE revenue END AS revenue, priced, paid, coalesce(failed, 0) AS failed_payments
+         CASE WHEN n_orders IS NULL THEN 0 ELSE revenue END AS revenue, priced, paid,
+         coalesce(failed, 0) AS failed_payments
   FROM calendar LEFT JOIN sold USING (order_day) LEFT JOIN paid USING (order_day))
 """
 
@@ -122,8 +123,9 @@ weeks AS (
   WINDOW week AS (ORDER BY order_day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)),
 rolling AS (
   SELECT order_day, daily_orders, daily_customers, daily_revenue,
-         daily_revenue / NULLIF(priced, 0) AS avg_order_value, CAST(paid AS DOUBLE) AS daily_payments,
-         failed_payments, CAST(week_revenue AS DOUBLE) / NULLIF(week_days, 0) AS weekly_avg_revenue,
+         daily_revenue / NULLIF(priced, 0) AS avg_order_value,
+         CAST(paid AS DOUBLE) AS daily_payments, failed_payments,
+         CAST(week_revenue AS DOUBLE) / NULLIF(week_days, 0) AS weekly_avg_revenue,
          weekly_avg_orders, CAST(previous AS DOUBLE) AS revenue_previous_week
   FROM weeks)
 """
@@ -262,7 +264,8 @@ SELECT customer_id, customer_name, signup_date, order_month, monthly_orders,
 SELECT cohort_month, activity_month, active_customers, cohort_revenue,
        {half_up("active_customers", "started", times=100)} AS retention_rate_percent
 FROM (SELECT *, first_value(active_customers) OVER (
-                  PARTITION BY cohort_month ORDER BY activity_month) AS started FROM cohorts) WHERE cohort_month >= {MIN_COHORT} ORDER BY cohort_month, activity_month""",
+                  PARTITION BY cohort_month ORDER BY activity_month) AS started FROM cohorts)
+WHERE cohort_month >= {MIN_COHORT} ORDER BY cohort_month, activity_month""",
     "payment_method_status": """
 SELECT payment_method, payment_status, count(*) AS transaction_count,
        CAST(sum(amount) AS DOUBLE) AS total_amount,

@@ -134,6 +134,17 @@ def _validation(tables: Tables) -> DataFrame:
     )
 
 
+def _violating_payments(tables: Tables) -> DataFrame:
+    """Payments that do not fit their order, each with the rules it breaks."""
+    together = reconcile.payments_with_orders(tables)
+    bad = rows.violating_rows(together, reconcile.payment_rules())
+    return bad.select("payment_id", F.array_join("violated_rules", ", ").alias("violated_rules"))
+
+
+def _repeated_line_ids(tables: Tables) -> DataFrame:
+    return keys.duplicates(tables["order_items"], "order_item_id")
+
+
 QUALITY: dict[str, Query] = {
     "dq_nulls": _over(rows.check_nulls),
     "dq_ranges": _over(rows.check_ranges),
@@ -147,6 +158,8 @@ QUALITY: dict[str, Query] = {
     "dq_order_reconciliation_summary": _over(reconcile.order_reconciliation_summary),
     "dq_payment_reconciliation": _over(reconcile.check_payments),
     "dq_pricing": _over(reconcile.check_pricing),
+    "dq_violating_payments": _over(_violating_payments),
+    "dq_duplicate_keys": _over(_repeated_line_ids),
     "dq_integrity": _over(integrity.check_integrity),
     "dq_validation": _over(_validation, shipping=True),
     "table_schema_doc": _over(profile.schema_document, shipping=True),
@@ -175,7 +188,8 @@ def _stored(table: Table) -> Query:
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         root = shared_folder(spark, "stored")
-        parquet_files.write_table(star_tables(spark, folder, shipping=True)[table.name], root, table)
+        tables = star_tables(spark, folder, shipping=True)
+        parquet_files.write_table(tables[table.name], root, table)
         return _as_doubles(parquet_files.read_table(spark, root, table))
 
     return query
