@@ -8,12 +8,20 @@ from tests import comparing
 from tillmetrics.session import build_session
 
 
-def main(folder: str, *names: str) -> int:
-    spark = build_session(
-        "compare", "local[8]", **{"spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8"}
-    )
+def local_session(name: str, **conf: str):
+    settings = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "8g",
+    }
+    spark = build_session(name, "local[8]", **{**settings, **conf})
     spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
+def main(folder: str, *names: str) -> int:
+    spark = local_session("compare")
     con, queries, sql = comparing.connect(folder), entry.queries(), entry.oracle_sql()
     bad = 0
     for name in names or queries:

@@ -85,3 +85,32 @@ def test_rows_are_reduced_before_they_are_shuffled(spark):
             if "Exchange hashpartitioning" in l and keys in l and "category" in l
         )
         assert "partial_" in lines[at + 1]
+
+
+def _depth(line):
+    return len(line) - len(line.lstrip(" :+-"))
+
+
+def test_joined_rows_are_only_partially_aggregated_in_place(spark):
+    """An aggregate that relied on a join's partitioning would keep Spark from splitting hot keys."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = {name: plan_of(spark, name).splitlines() for name in PLANNED}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    found = set()
+    for name, lines in plans.items():
+        for i, line in enumerate(lines):
+            if "SortMergeJoin" not in line:
+                continue
+            depth, merged = _depth(line), 0
+            for above in reversed(lines[:i]):
+                if _depth(above) >= depth:
+                    continue
+                depth = _depth(above)
+                if "Exchange" in above:
+                    break
+                merged += "HashAggregate" in above and "partial_" not in above
+            if merged:
+                found.add(name)
+    assert found == set()

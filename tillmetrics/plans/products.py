@@ -16,7 +16,12 @@ from tillmetrics.functions.amounts import (
     whole_division,
 )
 from tillmetrics.functions.labels import margin_category, stock_status
-from tillmetrics.operators.rollups import count_key, live, sales_by_product
+from tillmetrics.operators.rollups import (
+    count_key,
+    live,
+    live_sales_by_product,
+    sales_by_product,
+)
 from tillmetrics.plans import REFERENCE, Tables, is_corrected
 
 
@@ -24,10 +29,9 @@ SUPPLY_DAYS = 30
 
 
 def _sales(tables: Tables, mode: str) -> DataFrame:
-    items = tables["order_items"]
     if is_corrected(mode):
-        items = items.join(live(tables["orders"]).select("order_id"), "order_id", "left_semi")
-    return sales_by_product(items)
+        return live_sales_by_product(tables["order_items"], tables["orders"])
+    return sales_by_product(tables["order_items"])
 
 
 def _with_sales(products: DataFrame, sales: DataFrame) -> DataFrame:
