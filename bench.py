@@ -35,6 +35,14 @@ HEADLINE = [
 ]
 
 
+def scale_of(folder: str) -> float | str:
+    name = os.path.basename(folder.rstrip("/")).removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -64,7 +72,7 @@ def main() -> None:
         "value": round(sum(seconds.values()), 4),
         "unit": "sec",
         "queries": seconds,
-        "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+        "sf": scale_of(folder),
     }
     print(json.dumps(result))
 
