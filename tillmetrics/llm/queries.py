@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmetrics.llm import decontaminate, language, warc
+from tillmetrics.llm import decontaminate, jaccard_join, language, warc
 from tillmetrics.llm.tables import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose sets of 3-word shingles overlap by nine tenths."""
+    return jaccard_join.groups_of(table(spark, folder, "documents"), jaccard_join.Rule(words=3, percent=90))
+
+
 _PAYLOADS = """
 WITH p AS (
   SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
@@ -55,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_warc": op2_warc,
     "op6_language": op6_language,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
