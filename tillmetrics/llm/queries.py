@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmetrics.llm import decontaminate, jaccard_join, language, warc
+from tillmetrics.llm import decontaminate, jaccard_join, language, suffix_pieces, token_counts, warc
 from tillmetrics.llm.tables import in_fold, table
+from tillmetrics.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +40,37 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer's file lies on the driver; tasks get its content."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of each document, counted by way of a cache of its own."""
+    with open(tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    counts = token_counts.token_counts(
+        table(spark, folder, "documents"), definition, shared_folder(spark, "token-cache")
+    )
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """The piece ids of each document, and whether they decode to its text."""
+    vocabulary = suffix_pieces.shared(spark, tokenizer_file("piece_bpe_32k.model"))
+    found = table(spark, folder, "documents").select(
+        "doc_id", suffix_pieces.round_trip(vocabulary, F.col("text")).alias("found")
+    )
+    return found.select(
+        "doc_id",
+        F.size("found.ids").cast("bigint").alias("n_tokens"),
+        F.col("found.ids").alias("ids"),
+        F.col("found.same").alias("round_trip"),
+    )
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose sets of 3-word shingles overlap by nine tenths."""
     return jaccard_join.groups_of(table(spark, folder, "documents"), jaccard_join.Rule(words=3, percent=90))
@@ -60,7 +92,9 @@ QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_warc": op2_warc,
     "op6_language": op6_language,
+    "op7_token_counts": op7_token_counts,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLE_SQL: dict[str, str] = {
