@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmetrics.llm import decontaminate, jaccard_join, language, suffix_pieces, token_counts, warc
+from tillmetrics.llm import decontaminate, jaccard_join, language, secrets, suffix_pieces, token_counts, warc
 from tillmetrics.llm.tables import in_fold, table
 from tillmetrics.session import shared_folder
 
@@ -30,6 +30,18 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in each document, by pattern and by the Markov models."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.fit(secrets.samples(docs)))
+    return found.select(
+        "doc_id",
+        *[secrets.count_of(F.col("base"), k).alias(f"n_{k}") for k in secrets.BASE_KINDS],
+        F.sha2(secrets.as_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.as_text(F.array_sort(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     """The predicted language of each document, learned from two folds of three."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -91,6 +103,7 @@ FROM f
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_warc": op2_warc,
+    "op3_secrets": op3_secrets,
     "op6_language": op6_language,
     "op7_token_counts": op7_token_counts,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,

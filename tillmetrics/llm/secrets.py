@@ -1,0 +1,218 @@
+"""Secret scans: patterns, and a pair of character Markov models.
+
+Besides what patterns find, a token of ``TOKEN_CHARS`` or more is a secret if a first-order
+Markov model of random strings explains its characters better than one of ordinary
+identifiers, by the logarithm of their likelihoods' ratio. Both models are counted from
+labelled samples with Spark: the random ones are digests in several spellings and what the
+patterns found, the ordinary ones words, identifiers and numbers. Their ratio of each pair of
+characters becomes a constant table in a column expression, so scanning is one pass of
+built-in functions without shuffle or Python.
+
+Places are counted in code points, ends are exclusive. Spans of one kind do not overlap;
+a span that the models add overlaps no span of a pattern.
+
+Defined results: null and empty texts have no spans. Characters outside the table end a
+token. Without any sample text the ordinary words are those of a fixed list of
+identifiers alone. Repeated rows are each scanned; other columns are not looked at.
+"""
+
+from __future__ import annotations
+
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# The patterns of the kinds, in the order in which equal starts are listed.
+ASSIGN = (
+    "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
+    "|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+)
+ASSIGN_VALUE = 6  # characters at least
+ACCESS = "AKIA[A-Z0-9]{16,}"
+HEX = "[0-9a-f]{24,}"
+BASE_KINDS = ("assign", "access", "hex")
+MODEL_KIND = "random"
+
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+TOKEN_CHARS = 16
+TOKEN = "[A-Za-z0-9+/_=-]{16,}"
+MIN_RATIO = 10.0  # natural logarithm of the likelihoods' ratio of a token
+MIN_RATIO_PER_CHAR = 0.6
+
+SAMPLE_TEXTS = 500  # about as many texts are taken as samples of ordinary words
+SAMPLE_RANDOM = 400  # digests, each in several spellings
+SMOOTHING = 0.5
+PLACEHOLDER = "[SECRET]"
+
+# Identifiers as they stand in code and settings.
+IDENTIFIERS = (
+    "get_user_by_name max_retry_count connection-timeout-seconds HttpRequestHandler parseJsonDocument "
+    "application/x-www-form-urlencoded content-security-policy spark_sql_shuffle_partitions "
+    "XMLHttpRequest OutOfMemoryError testShouldReturnEmptyList README_first_before_install "
+    "background-color font-family border-radius organization/repository/branch-name usr/local/share/doc "
+    "2024-05-17T12-30-00 release-2-14-1 build_20240517_1230 IMAGE_FORMAT_VERSION_2 MAX_BUFFER_LENGTH"
+)
+
+_SPAN = "array<struct<start:int,place:int,end:int,kind:string>>"
+
+
+@dataclass(frozen=True)
+class Model:
+    """Log ratio, random to ordinary, of each character after each other one."""
+
+    ratios: list[float]  # by 'first * len(ALPHABET) + second'
+
+
+def _spans(text: Column, pattern: str, kind: str, value_chars: int = 0) -> Column:
+    """Every match of a pattern as start, place in the kinds' order, end and kind.
+
+    Text between matches and the matches themselves alternate, so their lengths give
+    the places. ``value_chars``: a match counts if its second group has as many.
+    """
+    place = (*BASE_KINDS, MODEL_KIND).index(kind)
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if value_chars else found
+    parts = F.arrays_zip(
+        F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
+        F.transform(found, F.length).alias("size"),
+        F.transform(value, F.length).alias("value"),
+    )
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+
+    def step(acc: Column, part: Column) -> Column:
+        start = acc["at"] + part["gap"]
+        end = start + F.coalesce(part["size"], F.lit(0))
+        span = F.struct(start.alias("start"), F.lit(place).alias("place"), end.alias("end"), F.lit(kind).alias("kind"))
+        counts = part["size"].isNotNull() & (part["value"] >= value_chars)
+        return F.struct(
+            end.alias("at"), F.when(counts, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out")
+        )
+
+    all_of_them = F.aggregate(parts, begin, step, lambda acc: acc["out"])
+    return F.when(text.rlike(pattern), all_of_them).otherwise(F.array().cast(_SPAN))
+
+
+def base_spans(text: Column) -> Column:
+    """What the patterns find, by start, then kind."""
+    text = F.coalesce(text, F.lit(""))
+    return F.array_sort(
+        F.concat(
+            _spans(text, ASSIGN, "assign", ASSIGN_VALUE), _spans(text, ACCESS, "access"), _spans(text, HEX, "hex")
+        )
+    )
+
+
+def _ratio_of(model: Model, token: Column) -> Column:
+    """The log ratio of a token's characters."""
+    table = F.split(F.lit(",".join(repr(r) for r in model.ratios)), ",").cast("array<double>")
+    codes = F.transform(F.filter(F.split(token, ""), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    n = F.size(codes) - 1
+    pairs = F.zip_with(F.slice(codes, F.lit(1), n), F.slice(codes, F.lit(2), n), lambda a, b: a * len(ALPHABET) + b)
+    return F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + F.get(table, p))
+
+
+def model_spans(text: Column, base: Column, model: Model) -> Column:
+    """Tokens that look random and touch no span of ``base``."""
+    text = F.coalesce(text, F.lit(""))
+
+    def random(s: Column) -> Column:
+        token = F.substring(text, s["start"] + 1, s["end"] - s["start"])
+        ratio = _ratio_of(model, token)
+        return (ratio >= MIN_RATIO) & (ratio >= MIN_RATIO_PER_CHAR * (s["end"] - s["start"]))
+
+    def free(s: Column) -> Column:
+        return ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+
+    return F.filter(_spans(text, TOKEN, MODEL_KIND), lambda s: free(s) & random(s))
+
+
+def count_of(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
+def as_text(spans: Column) -> Column:
+    one = F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    )
+    return F.array_join(one, ",")
+
+
+def samples(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Labelled tokens: rows (random boolean, token)."""
+    spark = docs.sparkSession
+    rows = max(1, docs.count())
+    draw = F.pmod(F.xxhash64(key), F.lit(1_000_003)) / 1_000_003
+    drawn = docs.filter(draw < SAMPLE_TEXTS / rows).select(F.coalesce(text, F.lit("")).alias("text"))
+    drawn = drawn.limit(2 * SAMPLE_TEXTS)
+    base = drawn.withColumn("base", base_spans(F.col("text")))
+    found = base.select(F.explode("base").alias("s"), "text").select(
+        F.lit(True).alias("random"), F.expr("substring(text, s.start + 1, s.end - s.start)").alias("token")
+    )
+    found = found.withColumn("token", F.regexp_extract("token", "[A-Za-z0-9+/_=-]+$", 0))
+    words = F.filter(F.split("text", "[^A-Za-z0-9]+"), lambda w: F.length(w) >= 3)
+    letters = drawn.select(F.filter(words, lambda w: ~w.rlike("[0-9]")).alias("w"))
+    # A word by itself and, as identifiers are made, joined to the next one.
+    joined = F.array(
+        *[F.lit(x) for x in ("", "_", "-", "/")]
+    )
+    pair = "transform(sequence(0, greatest(size(w) - 2, 0), 5), i -> struct(get(w, i) as a, get(w, i + 1) as b, i))"
+    pairs = letters.select(F.explode(F.expr(pair)).alias("p"), joined.alias("j")).filter("p.b is not null")
+    named = pairs.select(
+        F.concat("p.a", F.get("j", F.pmod(F.col("p.i") / 5, F.lit(4)).cast("int")), F.initcap("p.b")).alias("token")
+    )
+    spread = spark.range(SAMPLE_RANDOM).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    packed = F.base64(F.unhex("h"))
+    digits = F.regexp_replace(F.col("h"), "[a-f]", "")
+    made_random = spread.select(
+        F.explode(
+            F.array("h", packed, F.reverse(packed), F.translate(packed, "+/", "-_"), F.upper(F.regexp_replace(packed, "[+/=]", "")))
+        ).alias("token")
+    )
+    fixed = spark.range(20).select(F.explode(F.split(F.lit(IDENTIFIERS), " ")).alias("token"))
+    ordinary = [letters.select(F.explode("w").alias("token")), named, spread.select(digits.alias("token")), fixed]
+    out = made_random.select(F.lit(True).alias("random"), "token").union(found)
+    for tokens in ordinary:
+        out = out.union(tokens.select(F.lit(False).alias("random"), "token"))
+    return out.filter("length(token) >= 2")
+
+
+def fit(labelled: DataFrame) -> Model:
+    """The models' ratio from tokens labelled random or not; at most one row per pair of
+    characters and label reaches the driver."""
+    places = F.sequence(F.lit(1), F.length("token") - 1)
+    pairs = labelled.select("random", F.explode(F.transform(places, lambda i: F.substring("token", i, F.lit(2)))).alias("pair"))
+    known = pairs.filter(F.col("pair").rlike("^[A-Za-z0-9+/_=-]{2}$"))
+    counts = {(r["random"], r["pair"]): r["count"] for r in known.groupBy("random", "pair").count().collect()}
+    n = len(ALPHABET)
+    logs = []
+    for kind in (True, False):
+        rows = []
+        for a in ALPHABET:
+            row = [counts.get((kind, a + b), 0) + SMOOTHING for b in ALPHABET]
+            rows += [math.log(x / sum(row)) for x in row]
+        logs.append(rows)
+    return Model([round(logs[0][i] - logs[1][i], 6) for i in range(n * n)])
+
+
+def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``docs`` with two more columns, ``base`` and ``added``: the patterns' and the models' spans."""
+    found = docs.withColumn("base", base_spans(F.col(text)))
+    return found.withColumn("added", model_spans(F.col(text), F.col("base"), model))
+
+
+def redacted(text: Column, spans: Column) -> Column:
+    """``text`` with every span replaced by a placeholder, overlapping ones by one."""
+    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        new = s["start"] >= acc["at"]
+        kept = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(PLACEHOLDER))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(new, kept).otherwise(acc["out"]).alias("out"))
+
+    whole = F.aggregate(
+        F.array_sort(spans), begin, step,
+        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
+    )
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
