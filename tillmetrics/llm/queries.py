@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmetrics.llm import decontaminate, jaccard_join, language, secrets, suffix_pieces, token_counts, warc
+from tillmetrics.llm import (
+    decontaminate,
+    host_rules,
+    jaccard_join,
+    language,
+    licenses,
+    secrets,
+    suffix_pieces,
+    token_counts,
+    warc,
+)
 from tillmetrics.llm.tables import in_fold, table
 from tillmetrics.session import shared_folder
 
@@ -42,6 +52,19 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_host_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Measures of each document, and whether it is kept given its host."""
+    found = host_rules.judged(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and templates found in each document."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     """The predicted language of each document, learned from two folds of three."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -100,10 +123,91 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+_HOST_RULES = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+u AS (SELECT r, unnest(words) AS word, unnest(range(len(words))) AS i FROM w),
+g AS (SELECT r, i, word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o AS gram
+      FROM u WINDOW o AS (PARTITION BY r ORDER BY i)),
+d AS (SELECT r, i FROM g WHERE gram IS NOT NULL QUALIFY count(*) OVER (PARTITION BY r, gram) > 1),
+c AS (SELECT r, count(DISTINCT i + k) AS n FROM d, range(3) AS x(k) GROUP BY r),
+m AS (SELECT t.doc_id, t.source, len(w.words) AS n_words,
+             CAST(length(array_to_string(w.words, '')) AS BIGINT) AS word_chars,
+             CAST(length(t.text) - length(regexp_replace(t.text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             len(w.lines) AS n_lines, len(w.lines) - len(list_distinct(w.lines)) AS n_dup_lines,
+             coalesce(c.n, 0) AS n_repeat_words
+      FROM t JOIN w USING (r) LEFT JOIN c USING (r)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+             10 * n_symbols > n_words AS s1, 3 * n_symbols > n_words AS l1,
+             100 * n_dup_lines > 15 * n_lines AS s2, 100 * n_dup_lines > 30 * n_lines AS l2,
+             100 * n_repeat_words > 35 * n_words AS s3, 100 * n_repeat_words > 50 * n_words AS l3,
+             word_chars > 14 * n_words AS s4, word_chars > 20 * n_words AS l4 FROM m),
+h AS (SELECT source, count(*) AS n, count_if(s1) AS f1, count_if(s2) AS f2, count_if(s3) AS f3, count_if(s4) AS f4
+      FROM b GROUP BY source),
+p AS (SELECT avg(f1 / n) AS m1, var_pop(f1 / n) AS v1, avg(f2 / n) AS m2, var_pop(f2 / n) AS v2,
+             avg(f3 / n) AS m3, var_pop(f3 / n) AS v3, avg(f4 / n) AS m4, var_pop(f4 / n) AS v4 FROM h),
+k AS (SELECT *, CASE WHEN v1 = 0 THEN 1000 ELSE least(greatest(m1 * (1 - m1) / v1 - 1, 1), 1000) END AS k1,
+                CASE WHEN v2 = 0 THEN 1000 ELSE least(greatest(m2 * (1 - m2) / v2 - 1, 1), 1000) END AS k2,
+                CASE WHEN v3 = 0 THEN 1000 ELSE least(greatest(m3 * (1 - m3) / v3 - 1, 1), 1000) END AS k3,
+                CASE WHEN v4 = 0 THEN 1000 ELSE least(greatest(m4 * (1 - m4) / v4 - 1, 1), 1000) END AS k4 FROM p),
+z AS (SELECT source, (f1 + m1 * k1) / (n + k1) > 0.3 AS z1, (f2 + m2 * k2) / (n + k2) > 0.3 AS z2,
+             (f3 + m3 * k3) / (n + k3) > 0.3 AS z3, (f4 + m4 * k4) / (n + k4) > 0.3 AS z4 FROM h, k)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR if(z1, s1, l1) OR if(z2, s2, l2) OR if(z3, s3, l3) OR if(z4, s4, l4)) AS kept
+FROM b JOIN z ON b.source IS NOT DISTINCT FROM z.source
+"""
+
+
+def _license_sql() -> str:
+    """Every template against every line, without any filter."""
+    templates = ",\n    ".join(f"({i}, '{label}', '{t}')" for i, (label, t) in enumerate(licenses.TEMPLATES))
+    phrases = ",\n    ".join(f"('{label}', '{p}')" for p, label in licenses.PHRASES.items())
+    words = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, {low} AS text FROM
+           (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+w AS (SELECT r, doc_id, {words.format("text")} AS words FROM t),
+phrases(label, phrase) AS (VALUES
+    {phrases}),
+j AS (SELECT r, ' ' || array_to_string(words, ' ') || ' ' AS joined FROM w),
+s AS (SELECT r, label, len(string_split(phrase, ' ')) AS size, string_split(replace(joined, ' ', '  '),
+             ' ' || replace(phrase, ' ', '  ') || ' ') AS parts FROM j, phrases
+      WHERE contains(joined, ' ' || phrase || ' ')),
+x AS (SELECT r, label, len(parts) - 1 AS n,
+             len(list_filter(string_split(parts[1], ' '), lambda y: y <> '')) AS first_word,
+             size, len(list_filter(string_split(parts[-1], ' '), lambda y: y <> '')) AS behind FROM s),
+base AS (SELECT x.r, CAST(sum(n) AS BIGINT) AS n_base, min(first_word) AS first_word,
+                max(len(w.words) - behind - size) AS last_word, list_sort(list_distinct(list(label))) AS labels
+         FROM x JOIN w USING (r) GROUP BY x.r),
+l AS (SELECT r, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS b FROM t),
+lw AS (SELECT r, b, list_distinct({words.format("line")}) AS words FROM l),
+templates(id, label, template) AS (VALUES
+    {templates}),
+tw AS (SELECT id, label, list_distinct(string_split(template, ' ')) AS own FROM templates),
+f AS (SELECT r, b, id, label, list_intersect(own, words) AS shared,
+             len(list_intersect(own, words)) / len(own) AS containment
+      FROM lw, tw WHERE len(list_intersect(own, words)) >= ceil(round({licenses.THRESHOLD} * len(own), 9))),
+best AS (SELECT f.r, f.label, f.containment FROM f WHERE NOT EXISTS (
+           SELECT 1 FROM f AS o WHERE o.r = f.r AND o.b = f.b AND len(list_intersect(f.shared, o.shared)) = len(f.shared)
+           AND (o.containment > f.containment OR (o.containment = f.containment AND len(o.shared) > len(f.shared))))),
+m AS (SELECT r, list_distinct(list(label)) AS labels, max(containment) AS containment FROM best GROUP BY r)
+SELECT w.doc_id, len(w.words) AS n_words, coalesce(base.n_base, 0) AS n_base, base.first_word, base.last_word,
+       coalesce(array_to_string(base.labels, ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(
+         list_concat(coalesce(base.labels, []), coalesce(m.labels, [])))), ','), '') AS labels,
+       CAST(CASE WHEN base.n_base > 0 THEN 1.0 ELSE coalesce(m.containment, 0.0) END AS DOUBLE) AS score
+FROM w LEFT JOIN base USING (r) LEFT JOIN m USING (r)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_warc": op2_warc,
     "op3_secrets": op3_secrets,
+    "op4_host_rules": op4_host_rules,
+    "op5_licenses": op5_licenses,
     "op6_language": op6_language,
     "op7_token_counts": op7_token_counts,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
@@ -112,4 +216,6 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": _PAYLOADS,
+    "op4_host_rules": _HOST_RULES,
+    "op5_licenses": _license_sql(),
 }
