@@ -13,12 +13,13 @@ from tillmetrics.llm import (
     jaccard_join,
     language,
     licenses,
+    rule_ensemble,
     secrets,
     suffix_pieces,
     token_counts,
     warc,
 )
-from tillmetrics.llm.tables import in_fold, table
+from tillmetrics.llm.tables import in_fold, stored, table
 from tillmetrics.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +93,17 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality score of each document, learned from three folds of four."""
+    measures = stored(rule_ensemble.measured(table(spark, folder, "documents")), "statistics")
+    labels = table(spark, folder, "labels").filter(~in_fold(F.col("doc_id"), 4, 2))
+    model = rule_ensemble.fit(measures, labels)
+    scored = measures.select(
+        F.col("key").alias("doc_id"), in_fold(F.col("key"), 4, 2).alias("held_out"), model.score().alias("score")
+    )
+    return scored.withColumn("predicted", F.when(F.col("score") >= rule_ensemble.THRESHOLD, 1).otherwise(0))
+
+
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """The piece ids of each document, and whether they decode to its text."""
     vocabulary = suffix_pieces.shared(spark, tokenizer_file("piece_bpe_32k.model"))
@@ -211,6 +223,7 @@ QUERIES: dict[str, Query] = {
     "op6_language": op6_language,
     "op7_token_counts": op7_token_counts,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op9_quality": op9_quality,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
