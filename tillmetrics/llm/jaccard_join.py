@@ -3,22 +3,22 @@
 Two documents link when ``100 * |A and B| >= percent * |A or B|`` over their sets of
 distinct word n-grams. No link between different sets is lost:
 
-1.  Sets are ordered into bands by size. A link joins sets whose sizes differ little, and
-    its two sets differ in at most ``K`` n-grams, a number that their band fixes. Within a
-    band n-grams are dealt by hash into more than ``K`` parts. ``K`` differing n-grams can
-    touch ``K`` parts only, so linked sets agree in a whole part. A set therefore gives
-    one key for each of its parts. (A part that is empty is no key, unless so many are
-    empty that the parts in agreement might all be; then they are keys as well.)
-2.  Sets that share a key are brought together star-wise, never in pairs: each points to
-    the least one with that key. Within a task this happens before the shuffle, so that
-    a key of millions of copies is a row per task there. Connected stars are clusters,
-    which hold all links but may also hold sets that do not link.
-3.  Clusters are cut into tiles of bounded size, ordered by size. In a tile a set is held
-    against those of a size that may link. Bitmap signatures give, by a bit count, an
-    upper bound of the overlap; what passes is decided by intersecting the sorted n-gram
-    arrays. Sets already connected are not compared again, and a tile returns only the
-    links that connect. A cluster larger than a tile is cut into blocks: neighbouring
-    blocks first, then only what its largest group has not taken in against all blocks.
+1.  All n-grams are put in one order: by a hash, those that a sample shows to be frequent
+    last. (Any order is right; this one keeps common passages out of the way.) Two linked
+    sets share one of the first ``n - ceil(percent * n / 100) + 1`` n-grams of either; these
+    are a set's keys. Documents that share a key may link.
+2.  Sets that share three neighbouring keys are joined star-wise, each to the least such
+    document, never in pairs. Where a key is still shared by several of the groups that
+    result, its sets are held against each other across groups: by size, then by the bit
+    count of their bitmap signatures, which bounds the overlap from above. What passes
+    joins groups; only edges that join are returned. Groups that are joined in the end are
+    clusters: every link lies within one, though not all their sets need link.
+3.  Clusters are cut into tiles of bounded size, ordered by size bands. In a tile a set is held
+    against those of a size that may link, again signatures first; what passes is decided
+    by intersecting the sorted n-gram arrays. Sets already connected are not compared
+    again, and a tile returns only the links that connect. A cluster larger than a tile is
+    cut into blocks: neighbouring blocks first, then only what its largest group has not
+    taken in against all blocks.
 
 Equal sets share a class and are compared once. Component ids are the least doc_id that
 links reach. n-grams are compared as 64-bit hashes of their words.
@@ -44,13 +44,17 @@ from tillmetrics.llm.components import components
 from tillmetrics.llm.tables import stored
 
 BAND_GROWTH = 5 / 4  # sizes of a band, from the least to the next band's least
-LARGEST = 1 << 40
-SPARE_PARTS = 3
-KEYS_AT_ONCE = 2_000_000  # grouped before they leave a task
+HOT_SAMPLE = 4000  # about as many documents show which n-grams are frequent ...
+HOT_COPIES = 3  # ... those that as many of them have
+HOT_GRAMS = 1 << 16  # at most, the most frequent ones
+STARS = 8  # runs of three keys of a set that are looked up
+ROWS_AT_ONCE = 20_000  # documents among which a task drops repeated sets
+KEY_TILE = 4096  # sets of a key compared at once
+KEY_ROWS = 50_000  # rows of less frequent keys handled together
 CHARS_AT_ONCE = 1_500_000
 TILE_SETS = 4096
 TILE_GRAMS = 4_000_000
-SIGNATURE_BITS = 1024
+SIGNATURE_BITS = 256  # at least; a set has twice as many bits as n-grams, or more
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xBF58476D1CE4E5B9)
@@ -130,42 +134,27 @@ def _gram_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     return out
 
 
-def band_floors(longest: int) -> list[int]:
-    """The least size of each band, up to one beyond ``longest``."""
-    floors = [1]
-    while floors[-1] <= longest:
-        floors.append(max(floors[-1] + 1, math.ceil(floors[-1] * BAND_GROWTH)))
-    return floors
-
-
-def differing(a: int, b: int, percent: int) -> int:
-    """n-grams in which sets of these sizes differ at most if they link."""
-    return (a + b) * (100 - percent) // (100 + percent)
-
-
-def part_keys(grams: np.ndarray, percent: int) -> np.ndarray:
-    """The keys of a set: it shares one with every different set it links with."""
+def prefix_keys(grams: np.ndarray, percent: int, hot: np.ndarray) -> np.ndarray:
+    """The first n-grams of a set in the common order: two sets that link share one."""
     size = len(grams)
-    floors = band_floors(size)
-    top = len(floors) - 2  # its own band
-    keys = []
-    for band in range(top, -1, -1):
-        greatest = floors[band + 1] - 1  # of the smaller set of a link in this band
-        partner = greatest * 100 // percent  # of the larger
-        if band < top and size > partner:
-            break
-        most = differing(greatest, partner, percent)
-        if not most:
-            continue  # only equal sets would link
-        parts = most + 1 + SPARE_PARTS
-        part = (_mix(grams * _A) >> np.uint64(20)) % np.uint64(parts)
-        total = np.zeros(parts, np.uint64)
-        np.add.at(total, part, _mix(grams + _C))
-        filled = np.bincount(part.astype(np.int64), minlength=parts) > 0
-        chosen = np.arange(parts) if (~filled).sum() >= parts - most else np.flatnonzero(filled)
-        name = _mix(np.uint64((band + 1) << 32) + chosen.astype(np.uint64))
-        keys.append(_mix(total[chosen] ^ name))
-    return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+    wanted = size - (percent * size + 99) // 100 + 1
+    order = _mix(grams * _A)
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, grams), len(hot) - 1)
+        order = (order >> np.uint64(1)) | ((hot[at] == grams).astype(np.uint64) << np.uint64(63))
+    if wanted < size:
+        first = np.argpartition(order, wanted - 1)[:wanted]
+    else:
+        first = np.arange(size)
+    return grams[first[np.argsort(order[first], kind="stable")]]
+
+
+def star_keys(keys: np.ndarray) -> np.ndarray:
+    """A hash of each of the first runs of three keys."""
+    if len(keys) < 3:
+        return _mix(_mix(keys[:1] * _B) + keys[-1:])
+    a = keys[: STARS + 2]
+    return _mix(_mix(_mix(a[:-2] * _B) + a[1:-1]) * _C + a[2:])
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -180,15 +169,35 @@ def _digest(grams: np.ndarray) -> tuple[int, int]:
     return int(np.int64(a.view(np.int64))), int(np.int64(b.view(np.int64)))
 
 
-SET_SCHEMA = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, keys array<bigint>, near array<bigint>"
+SET_SCHEMA = (
+    "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, stars array<bigint>, keys array<bigint>, mark binary"
+)
+
+
+def hot_grams(docs: DataFrame, rule: Rule) -> np.ndarray:
+    """The n-grams that are frequent in a sample of documents, sorted; HOT_GRAMS at most."""
+    rows = max(1, docs.count())
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003
+
+    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                sets = gram_sets(batch["text"].iloc[at : at + 500].tolist(), rule.words)
+                yield pd.DataFrame({"gram": _signed(np.concatenate(sets))})
+
+    sample = docs.filter(draw < HOT_SAMPLE / rows).select("text").mapInPandas(grams, "gram bigint")
+    counts = sample.groupBy("gram").count().filter(F.col("count") >= HOT_COPIES)
+    found = counts.orderBy(F.desc("count"), "gram").limit(HOT_GRAMS).collect()
+    return np.sort(np.array([r["gram"] for r in found], np.int64).view(np.uint64))
 
 
 def describe(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Of each document the size and digest of its set, the keys it stands for, and ``near``:
-    documents of the same task that stand for the rest of its keys."""
+    """Of each document the size and digest of its set; of one document for each set of a
+    task also its keys and signature."""
+    hot = docs.sparkSession.sparkContext.broadcast(hot_grams(docs, rule))  # HOT_GRAMS numbers at most
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple] = []
-        waiting = 0
+        waiting: list[tuple] = []
         for batch in batches:
             at = 0
             ids = [None if x is None else int(x) for x in batch["doc_id"]]
@@ -199,60 +208,162 @@ def describe(docs: DataFrame, rule: Rule) -> DataFrame:
                     size += len(texts[stop] or "")
                     stop += 1
                 for i, grams in zip(ids[at:stop], gram_sets(texts[at:stop], rule.words)):
-                    keys = part_keys(grams, rule.percent) if len(grams) and i is not None else np.zeros(0, np.uint64)
-                    rows.append((i, len(grams), *_digest(grams), keys))
-                    waiting += len(keys) + 1
+                    keys = prefix_keys(grams, rule.percent, hot.value) if len(grams) else grams
+                    mark = signature(grams).tobytes() if len(grams) else None
+                    waiting.append((i, len(grams), *_digest(grams), _signed(star_keys(keys)), _signed(keys), mark))
                 at = stop
-                if waiting >= KEYS_AT_ONCE:
-                    yield _gathered(rows)
-                    rows, waiting = [], 0
-        if rows:
-            yield _gathered(rows)
+                if len(waiting) >= ROWS_AT_ONCE:
+                    yield _gathered(waiting)
+                    waiting = []
+        if waiting:
+            yield _gathered(waiting)
 
     wanted = docs.select(F.col("doc_id").cast("bigint").cast("string").alias("doc_id"), "text")
     return wanted.mapInPandas(run, SET_SCHEMA)
 
 
 def _gathered(rows: list[tuple]) -> pd.DataFrame:
-    """Let one document stand for each key, and one for each set."""
-    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
-    rows = [rows[i] for i in order]  # the least doc_id stands
-    seen: set = set()
-    lengths = np.zeros(len(rows), np.int64)
-    for i, (doc, n, d1, d2, keys) in enumerate(rows):
-        if doc is not None and n and (n, d1, d2) not in seen:
-            seen.add((n, d1, d2))
-            lengths[i] = len(keys)
-    flat = np.concatenate([r[4][:n] for r, n in zip(rows, lengths)] or [np.zeros(0, np.uint64)])
-    owner = np.repeat(np.arange(len(rows)), lengths)
-    _, first, which = np.unique(flat, return_index=True, return_inverse=True)
-    stands = np.zeros(len(flat), bool)
-    stands[first] = True
-    leader = owner[first][which]  # of each key the first row that has it
-    cut = np.cumsum(lengths)[:-1]
-    docs = [r[0] for r in rows]
-    near = [sorted({docs[j] for j in np.unique(x)} - {docs[i]}) if n else [] for i, (x, n) in enumerate(zip(np.split(leader, cut), lengths))]
-    kept = [_signed(k[s]) for k, s in zip(np.split(flat, cut), np.split(stands, cut))]
+    """Let the least document stand for each set; the others have no keys."""
+    stands: dict = {}
+    for row in rows:
+        if row[0] is not None and row[1]:
+            name = row[1:4]
+            stands[name] = min(row[0], stands.get(name, row[0]))
+    none = np.zeros(0, np.int64)
+    kept = [row[0] is not None and stands.get(row[1:4]) == row[0] for row in rows]
     return pd.DataFrame(
         {
-            "doc_id": pd.array(docs, dtype="Int64"),
+            "doc_id": pd.array([r[0] for r in rows], dtype="Int64"),
             "n_shingles": [r[1] for r in rows],
             "d1": [r[2] for r in rows],
             "d2": [r[3] for r in rows],
-            "keys": kept,
-            "near": near,
+            "stars": [r[4] if k else none for r, k in zip(rows, kept)],
+            "keys": [r[5] if k else none for r, k in zip(rows, kept)],
+            "mark": [r[6] if k else None for r, k in zip(rows, kept)],
         }
     )
 
 
-def candidate_edges(sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of documents that share a key, star-wise: connected wherever a link is."""
-    keys = sets.filter("size(keys) > 0").select("doc_id", F.explode("keys").alias("key"))
-    # A key is held once by a task's group of documents, so rows per key are as many as groups.
+def _sharing(sets: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, doc_id), and the keys that several documents have, with the least."""
+    keys = sets.filter(F.size(column) > 0).select("doc_id", F.explode(column).alias("key"))
     least = keys.groupBy("key").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("c")).filter("b < c")
-    across = keys.join(least.select("key", "b"), "key").select(F.col("doc_id").alias("a"), "b")
-    within = sets.filter("size(near) > 0").select(F.col("doc_id").alias("a"), F.explode("near").alias("b"))
-    return across.filter("a <> b").union(within).distinct()
+    return keys, least.select("key", "b")
+
+
+def star_edges(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each document and the least one that has the same run of keys."""
+    keys, least = _sharing(sets, "stars")
+    return keys.join(least, "key").select(F.col("doc_id").alias("a"), "b").filter("a <> b").distinct()
+
+
+def key_edges(sets: DataFrame, stars: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) that share a key and pass the signatures, enough to connect all such
+    pairs of documents that ``stars`` (node, label) leaves apart."""
+    keys, least = _sharing(sets, "keys")
+    rows = keys.join(least.select("key"), "key")
+    rows = rows.join(stars, rows["doc_id"] == stars["node"], "left").select(
+        "key", "doc_id", F.coalesce("label", "doc_id").alias("label")
+    )
+    rows = stored(rows, "shared-keys")
+    buckets = 1 + rows.count() // KEY_ROWS
+    apart = rows.groupBy("key").agg(
+        F.min("label").alias("x"), F.max("label").alias("y"), F.expr(f"cast(ceil(count(*) / {KEY_TILE}) as int)").alias("blocks")
+    )
+    rows = rows.join(apart.filter("x < y").select("key", "blocks"), "key")
+    marks = sets.filter("mark is not null").select(F.col("doc_id").alias("of"), F.col("n_shingles").alias("n"), "mark")
+    rows = rows.join(marks, rows["doc_id"] == marks["of"]).drop("of")
+    # Keys of few documents share tiles; one of many is cut into blocks, every two of which meet.
+    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    other = F.explode(F.expr("sequence(0, blocks - 1)"))
+    rows = rows.withColumn("block", block).select("*", other.alias("other"))
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets))
+    tile = F.when(F.col("blocks") == 1, F.concat(F.lit("s"), bucket)).otherwise(
+        F.concat_ws("/", F.col("key"), F.least("block", "other"), F.greatest("block", "other"))
+    )
+    rows = rows.select(tile.alias("tile"), "key", "doc_id", "label", "n", "mark")
+
+    def run(name: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        part = part.drop_duplicates(["key", "doc_id"]).reset_index(drop=True)
+        marks = [np.frombuffer(m, np.uint64) for m in part["mark"]]
+        docs, labels, sizes = (part[c].to_numpy(np.int64) for c in ("doc_id", "label", "n"))
+        done: set = set()
+        for places in part.groupby("key", sort=False).indices.values():
+            found = _joining(sizes[places], [marks[i] for i in places], labels[places], rule.percent)
+            out += [e for x, y in found if (e := (int(docs[places[x]]), int(docs[places[y]]))) not in done]
+            done.update(out)
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return rows.groupBy("tile").applyInPandas(run, LINK_SCHEMA).distinct()
+
+
+def _groups(labels: np.ndarray) -> np.ndarray:
+    """Of each place the first place with its label."""
+    _, at, which = np.unique(labels, return_index=True, return_inverse=True)
+    return at[which]
+
+
+def signature(grams: np.ndarray) -> np.ndarray:
+    """For each bit, whether an odd number of n-grams falls on it, as numbers of 64 bits.
+
+    Two sets differ in at least as many n-grams as their signatures do in bits. The bits
+    are a power of two, so that a longer signature folds to a shorter one.
+    """
+    bits = max(SIGNATURE_BITS, 1 << (2 * len(grams) - 1).bit_length())
+    odd = np.bincount(((grams >> np.uint64(20)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+class Signatures:
+    """Signatures of sets in order of size, folded to that of the smaller one in a pair."""
+
+    def __init__(self, sizes: np.ndarray, marks: list[np.ndarray], percent: int):
+        self.sizes, self.percent = sizes, percent
+        lengths = np.array([len(m) for m in marks])
+        self.levels = lengths
+        self.tables: dict[int, tuple[int, np.ndarray]] = {}
+        reach = np.searchsorted(sizes, sizes * 100 // percent, side="right")
+        for level in np.unique(lengths):
+            own = np.flatnonzero(lengths == level)
+            rows = [self._folded(marks[i], int(level)) for i in range(own[0], max(own[-1] + 1, reach[own[-1]]))]
+            self.tables[int(level)] = (int(own[0]), np.stack(rows))
+
+    @staticmethod
+    def _folded(mark: np.ndarray, level: int) -> np.ndarray:
+        while len(mark) > level:
+            half = len(mark) // 2
+            mark = mark[:half] ^ mark[half:]
+        return mark
+
+    def may_link(self, i: int, j: np.ndarray) -> np.ndarray:
+        """Those of places j behind i that may link with it, by the bound on the overlap.
+
+        |A and B| = (|A| + |B| - differing) / 2, and as many n-grams differ as bits do, or more.
+        """
+        first, rows = self.tables[int(self.levels[i])]
+        apart = np.bitwise_count(rows[j - first] ^ rows[i - first]).sum(axis=1, dtype=np.int64)
+        both = self.sizes[j] + self.sizes[i]
+        return j[apart <= both * (100 - self.percent) // (100 + self.percent)]
+
+
+def _joining(sizes: np.ndarray, marks: list[np.ndarray], labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of places that may link, enough of them to join all groups that may."""
+    order = np.argsort(sizes, kind="stable")
+    sizes, up = sizes[order], _groups(labels[order])
+    stop = np.searchsorted(sizes, sizes * 100 // percent, side="right")
+    marks = Signatures(sizes, [marks[i] for i in order], percent)
+    out = []
+    for i in range(len(order)):
+        j = np.arange(i + 1, stop[i])
+        j = j[up[j] != up[i]]
+        if not len(j):
+            continue
+        for k in marks.may_link(i, j):
+            if up[k] != up[i]:
+                up[up == max(up[k], up[i])] = min(up[k], up[i])
+                out.append((int(order[i]), int(order[k])))
+    return out
 
 
 def _find(up: np.ndarray, i: int) -> int:
@@ -262,17 +373,6 @@ def _find(up: np.ndarray, i: int) -> int:
     return i
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """Per set, for each bit, whether an odd number of its n-grams falls on it.
-
-    Two sets differ in at least as many n-grams as their signatures do in bits.
-    """
-    out = np.zeros((len(sets), SIGNATURE_BITS), np.uint8)
-    for i, s in enumerate(sets):
-        out[i] = np.bincount((s >> np.uint64(40)) % np.uint64(SIGNATURE_BITS), minlength=SIGNATURE_BITS) & 1
-    return np.packbits(out, axis=1).view(np.uint64)
-
-
 def _links(sets: list[np.ndarray], left: np.ndarray, percent: int, same: np.ndarray) -> list[tuple[int, int]]:
     """Pairs of places that link, enough of them to connect what links connect.
 
@@ -280,11 +380,10 @@ def _links(sets: list[np.ndarray], left: np.ndarray, percent: int, same: np.ndar
     """
     sizes = np.array([len(s) for s in sets])
     order = np.argsort(sizes, kind="stable")
-    marks, sizes = signatures([sets[i] for i in order]), sizes[order]
+    sizes = sizes[order]
+    marks = Signatures(sizes, [signature(sets[i]) for i in order], percent)
     left, same = left[order], same[order]
-    _, at, which = np.unique(same, return_index=True, return_inverse=True)
-    up = np.arange(len(order))
-    up[:] = at[which]
+    up = _groups(same)
     out = []
     stop = np.searchsorted(sizes, sizes * 100 // percent, side="right")
     for i in range(len(order)):
@@ -293,9 +392,7 @@ def _links(sets: list[np.ndarray], left: np.ndarray, percent: int, same: np.ndar
             j = j[left[j]]
         if not len(j):
             continue
-        apart = np.bitwise_count(marks[j] ^ marks[i]).sum(axis=1, dtype=np.int64)
-        # |A and B| = (|A| + |B| - differing) / 2, and `apart` is at most what differs.
-        j = j[apart <= (sizes[j] + sizes[i]) * (100 - percent) // (100 + percent)]
+        j = marks.may_link(i, j)
         a = sets[order[i]]
         for k in j:
             x, y = _find(up, i), _find(up, int(k))
@@ -411,7 +508,9 @@ def groups_of(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     full = sets.filter("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("d1", "d2", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("doc_id"))
     classes = stored(classes, "classes")
-    clusters = stored(components(candidate_edges(sets), "candidates"), "candidate-labels")
+    stars = stored(components(star_edges(sets), "stars"), "star-labels")
+    joined = stars.select(F.col("node").alias("a"), F.col("label").alias("b")).union(key_edges(sets, stars, rule))
+    clusters = stored(components(joined, "clusters"), "cluster-labels")
     found = links(docs, classes.select("doc_id", "n").distinct(), clusters, rule)
     # Rows that share a doc_id but not a set connect their classes.
     several = full.groupBy("doc_id").agg(F.min("d1").alias("x"), F.max("d1").alias("y")).filter("x <> y")
@@ -425,3 +524,14 @@ def groups_of(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
     )
     return out
+
+
+def one_of_each_group(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """The rows of ``docs`` whose document has the least doc_id of its group.
+
+    Rows without a doc_id stay. Of rows equal in doc_id and text one stays.
+    """
+    groups = groups_of(docs.select("doc_id", "text"), rule)
+    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(stored(kept, "kept"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return named.unionByName(docs.filter("doc_id is null")).select(*docs.columns)

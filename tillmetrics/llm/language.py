@@ -28,6 +28,8 @@ VECTOR = 8  # numbers that stand for a byte
 WIDEST = max(WIDTHS)
 BLOCK = 256  # windows computed at once
 
+MIN_SCORE = 0.3  # below it a text is of no learned language
+
 MAX_LANGUAGES = 256  # learned: the most frequent ones
 TEXTS_PER_LANGUAGE = 600  # about as many texts of each are trained on
 WINDOWS_PER_TEXT = 4
@@ -195,3 +197,21 @@ def predict(net: Network | None, text: Column) -> Column:
             yield _predict_batch(net, texts)
 
     return run(text)
+
+
+def accepted(net: Network | None, text: Column) -> Column:
+    """Whether a text is of a learned language: it has letters and a score of MIN_SCORE.
+
+    Without a network every text that has letters is.
+    """
+
+    @F.pandas_udf("boolean")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            if net is None:
+                yield pd.Series([t is not None and any(map(str.isalpha, t)) for t in texts], dtype=bool)
+            else:
+                found = _predict_batch(net, texts)
+                yield (found["lang"] != UNKNOWN) & (found["score"] >= MIN_SCORE)
+
+    return run(text)

@@ -14,7 +14,7 @@ from tillmetrics.llm import (
     language,
     licenses,
     rule_ensemble,
-    secrets,
+    secret_scan,
     suffix_pieces,
     token_counts,
     warc,
@@ -44,12 +44,12 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
 def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in each document, by pattern and by the Markov models."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    found = secrets.scan(docs, secrets.fit(secrets.samples(docs)))
+    found = secret_scan.scan(docs, secret_scan.fit(secret_scan.samples(docs)))
     return found.select(
         "doc_id",
-        *[secrets.count_of(F.col("base"), k).alias(f"n_{k}") for k in secrets.BASE_KINDS],
-        F.sha2(secrets.as_text(F.col("base")), 256).alias("base_sha256"),
-        secrets.as_text(F.array_sort(F.concat("base", "added"))).alias("spans"),
+        *[secret_scan.count_of(F.col("base"), k).alias(f"n_{k}") for k in secret_scan.BASE_KINDS],
+        F.sha2(secret_scan.as_text(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.as_text(F.array_sort(F.concat("base", "added"))).alias("spans"),
     )
 
 
