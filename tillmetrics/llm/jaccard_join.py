@@ -44,9 +44,9 @@ from tillmetrics.llm.components import components
 from tillmetrics.llm.tables import stored
 
 BAND_GROWTH = 5 / 4  # sizes of a band, from the least to the next band's least
-HOT_SAMPLE = 4000  # about as many documents show which n-grams are frequent ...
+HOT_SAMPLE = 20_000  # about as many documents show which n-grams are frequent ...
 HOT_COPIES = 3  # ... those that as many of them have
-HOT_GRAMS = 1 << 16  # at most, the most frequent ones
+HOT_GRAMS = 1 << 18  # at most, the most frequent ones
 STARS = 8  # runs of three keys of a set that are looked up
 ROWS_AT_ONCE = 20_000  # documents among which a task drops repeated sets
 KEY_TILE = 4096  # sets of a key compared at once
@@ -54,7 +54,8 @@ KEY_ROWS = 50_000  # rows of less frequent keys handled together
 CHARS_AT_ONCE = 1_500_000
 TILE_SETS = 4096
 TILE_GRAMS = 4_000_000
-SIGNATURE_BITS = 256  # at least; a set has twice as many bits as n-grams, or more
+SIGNATURE_BITS = 64  # at least
+BITS_PER_DIFFERENCE = 4.5  # bits for each n-gram in which linked sets may differ, or more
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xBF58476D1CE4E5B9)
@@ -134,6 +135,11 @@ def _gram_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     return out
 
 
+def differing(a: int, b: int, percent: int) -> int:
+    """n-grams in which sets of these sizes differ at most if they link."""
+    return (a + b) * (100 - percent) // (100 + percent)
+
+
 def prefix_keys(grams: np.ndarray, percent: int, hot: np.ndarray) -> np.ndarray:
     """The first n-grams of a set in the common order: two sets that link share one."""
     size = len(grams)
@@ -209,7 +215,7 @@ def describe(docs: DataFrame, rule: Rule) -> DataFrame:
                     stop += 1
                 for i, grams in zip(ids[at:stop], gram_sets(texts[at:stop], rule.words)):
                     keys = prefix_keys(grams, rule.percent, hot.value) if len(grams) else grams
-                    mark = signature(grams).tobytes() if len(grams) else None
+                    mark = signature(grams, rule.percent).tobytes() if len(grams) else None
                     waiting.append((i, len(grams), *_digest(grams), _signed(star_keys(keys)), _signed(keys), mark))
                 at = stop
                 if len(waiting) >= ROWS_AT_ONCE:
@@ -304,13 +310,14 @@ def _groups(labels: np.ndarray) -> np.ndarray:
     return at[which]
 
 
-def signature(grams: np.ndarray) -> np.ndarray:
+def signature(grams: np.ndarray, percent: int) -> np.ndarray:
     """For each bit, whether an odd number of n-grams falls on it, as numbers of 64 bits.
 
     Two sets differ in at least as many n-grams as their signatures do in bits. The bits
     are a power of two, so that a longer signature folds to a shorter one.
     """
-    bits = max(SIGNATURE_BITS, 1 << (2 * len(grams) - 1).bit_length())
+    wanted = int(BITS_PER_DIFFERENCE * differing(len(grams), len(grams), percent))
+    bits = max(SIGNATURE_BITS, 1 << wanted.bit_length())
     odd = np.bincount(((grams >> np.uint64(20)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
@@ -381,7 +388,7 @@ def _links(sets: list[np.ndarray], left: np.ndarray, percent: int, same: np.ndar
     sizes = np.array([len(s) for s in sets])
     order = np.argsort(sizes, kind="stable")
     sizes = sizes[order]
-    marks = Signatures(sizes, [signature(sets[i]) for i in order], percent)
+    marks = Signatures(sizes, [signature(sets[i], percent) for i in order], percent)
     left, same = left[order], same[order]
     up = _groups(same)
     out = []
