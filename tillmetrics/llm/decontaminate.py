@@ -173,7 +173,7 @@ def _candidates(index: Index, seq: np.ndarray, breaks: np.ndarray) -> tuple[np.n
     hits = np.flatnonzero(index.bitmap[_slot(grams)])
     least = int(index.bounds.min())
     reach = WINDOW + int(index.budgets.max()) - Q
-    near = hits[least - 1 :] - hits[: len(hits) - least + 1] <= reach
+    near = hits[least - 1 :] - hits[: max(0, len(hits) - least + 1)] <= reach
     dense = np.zeros(len(hits) + 1, np.int64)  # +1 where a dense stretch begins, -1 behind it
     np.add.at(dense, np.flatnonzero(near), 1)
     np.add.at(dense, np.flatnonzero(near) + least, -1)
