@@ -249,3 +249,36 @@ def test_shared_folder_follows_the_session(spark):
 def test_shuffle_partitions_follow_the_bytes():
     assert session.shuffle_partitions(1) == 8
     assert session.shuffle_partitions(10 * 1024**4) == 40960
+
+
+def test_a_corrupt_table_does_not_stop_the_others(spark, tmp_path):
+    tables = dict(small_shop(spark))
+    folder = tmp_path / "broken"
+    folder.mkdir()
+    (folder / "part-0.parquet").write_bytes(b"PAR1 this is no table PAR1")
+    tables["products"] = spark.read.schema(tables["products"].schema).parquet(str(folder))
+    statuses = {s.table_name: s for s in load.load_tables(tables, str(tmp_path / "db"))}
+    assert not statuses["products"].ok and statuses["products"].reason
+    assert all(s.ok for n, s in statuses.items() if n != "products")
+
+
+def test_profile_of_a_stored_table_has_its_declared_columns(spark, tmp_path):
+    from tillmetrics.quality.profile import profile
+
+    root = str(tmp_path / "db")
+    load.load_tables(small_shop(spark), root)
+    described = rows(profile(parquet_files.read_table(spark, root, ORDERS), "orders"))
+    assert {r["column_name"] for r in described} == set(ORDERS.columns)
+    assert {r["total_columns"] for r in described} == {len(ORDERS.columns)}
+
+
+def test_money_beyond_two_places_is_malformed(spark, tmp_path):
+    from tillmetrics.schemas import TABLES
+    from tillmetrics.sources import csv_files
+
+    table = TABLES["order_items"]
+    money = [f.name for f in table.schema.fields if f.dataType.typeName() == "decimal"][0]
+    (tmp_path / "x.csv").write_text(f"{money}\n1.239\n1.230\n2\n")
+    read = csv_files.read_csv(spark, str(tmp_path / "x.csv"), table, keep_malformed=True)
+    found = [(r[money], r[csv_files.MALFORMED]) for r in read.select(money, csv_files.MALFORMED).collect()]
+    assert [(None if v is None else float(v), m) for v, m in found] == [(None, 1), (1.23, 0), (2.0, 0)]

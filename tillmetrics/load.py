@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,9 +130,18 @@ def load_tables(
             statuses.append(LoadStatus(name, False, None, reason))
         except PySparkException as e:
             statuses.append(LoadStatus(name, False, None, str(e)))
+        except Py4JJavaError as e:  # a corrupt file, a target that cannot be written
+            statuses.append(LoadStatus(name, False, None, _root_cause(e)))
     return statuses
 
 
+def _root_cause(error: Py4JJavaError) -> str:
+    cause = error.java_exception
+    while cause.getCause() is not None:
+        cause = cause.getCause()
+    return str(cause.toString())
+
+
 def load_csv_folder(
     spark: SparkSession,
     folder: str,

@@ -10,13 +10,18 @@ from tillmetrics.schemas import TABLES
 
 
 def profile(df: DataFrame, table_name: str) -> DataFrame:
-    """Rows, columns and NULLs per column, in one scan."""
-    nulls = [f"count_if({c} IS NULL) AS nulls_{c}" for c in df.columns]
+    """Rows, columns and NULLs per declared column, in one scan.
+
+    Columns that storing or parsing add, as the month folder, are not the table's.
+    """
+    declared = TABLES[table_name].columns if table_name in TABLES else df.columns
+    columns = [c for c in df.columns if c in declared]
+    nulls = [f"count_if({c} IS NULL) AS nulls_{c}" for c in columns]
     counted = df.selectExpr("count(*) AS total_rows", *nulls)
-    width = len(df.columns)
+    width = len(columns)
     return unfold(
         counted,
-        [f"'{table_name}', '{c}', total_rows, {width}, nulls_{c}" for c in df.columns],
+        [f"'{table_name}', '{c}', total_rows, {width}, nulls_{c}" for c in columns],
         "table_name, column_name, total_rows, total_columns, null_count",
     )
 

@@ -62,6 +62,9 @@ def _parse(text: Column, data_type: T.DataType) -> Column:
     value = text.try_cast(data_type)
     if isinstance(data_type, T.DoubleType):
         value = F.when(~F.isnan(value), value)
+    if isinstance(data_type, T.DecimalType):
+        exact = text.try_cast(T.DecimalType(38, 18))
+        value = F.when(value == exact, value)  # more places than the column keeps do not fit it
     return value
 
 
