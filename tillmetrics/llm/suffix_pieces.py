@@ -37,9 +37,9 @@ SPACE = "▁"
 LINE = "\n"
 CUT = "\ud800"  # stands in no text
 LONGEST = 16  # characters of a piece
-CHARS_AT_ONCE = 3_000_000  # of text
-WORD_CHARS_AT_ONCE = 400_000  # of distinct words in a suffix array
-WORDS_KEPT = 300_000  # in a task, before its table of known words starts anew
+CHARS_AT_ONCE = 1_000_000  # of text
+WORD_CHARS_AT_ONCE = 200_000  # of distinct words in a suffix array
+WORDS_KEPT = 200_000  # in a task, before its table of known words starts anew
 _NEVER = np.int64(1) << 40
 
 
