@@ -37,9 +37,10 @@ SPACE = "▁"
 LINE = "\n"
 CUT = "\ud800"  # stands in no text
 LONGEST = 16  # characters of a piece
-CHARS_AT_ONCE = 1_000_000  # of text
-WORD_CHARS_AT_ONCE = 200_000  # of distinct words in a suffix array
-WORDS_KEPT = 200_000  # in a task, before its table of known words starts anew
+CHARS_AT_ONCE = 250_000  # of text, though always one whole text
+TEXTS_AT_ONCE = 1000
+WORD_CHARS_AT_ONCE = 100_000  # of distinct words in a suffix array
+WORDS_KEPT = 100_000  # in a task, before its table of known words starts anew
 _NEVER = np.int64(1) << 40
 
 
@@ -109,6 +110,7 @@ def load(model_file: str) -> Vocabulary:
     codes = np.zeros((len(kept), LONGEST), np.int64)
     for row, i in enumerate(kept):
         codes[row, : len(pieces[i])] = [alphabet[c] for c in pieces[i]]
+    by_codes = np.lexsort(codes.T[::-1])  # neighbours are searched for near each other
     byte_ids = [0] * 256
     surface = [b""] * n
     for i in range(n):
@@ -125,8 +127,8 @@ def load(model_file: str) -> Vocabulary:
         byte_ids,
         alphabet,
         np.array([0] + [words[c] for c in chars], np.int64),
-        codes,
-        np.array(kept, np.int64),
+        codes[by_codes],
+        np.array(kept, np.int64)[by_codes],
         np.array([len(p) for p in pieces], np.int64),
         rank,
         left,
@@ -222,6 +224,19 @@ def occurrences(v: Vocabulary, text: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return suffixes[at], np.repeat(v.ids, n)
 
 
+def portions(texts: list[str | None]) -> Iterator[list[str]]:
+    """Whole texts in order, some at a time, so that their words and ids take bounded memory."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text or "")
+        size += len(part[-1])
+        if size >= CHARS_AT_ONCE or len(part) >= TEXTS_AT_ONCE:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 class Encoder:
     """Encodes texts with a vocabulary, keeping what it learned about words and borders."""
 
@@ -360,16 +375,7 @@ class Encoder:
         self.word_at.update(zip(words, range(base, need)))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
-        at = 0
-        while at < len(texts):
-            part, size = [], 0
-            while at < len(texts) and size < CHARS_AT_ONCE:
-                part.append(texts[at] or "")
-                size += len(part[-1])
-                at += 1
-            out += self._encode(part)
-        return out
+        return [ids for part in portions(texts) for ids in self._encode(part)]
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         words: list[str] = []
@@ -449,7 +455,8 @@ def encoded(vocabulary: Broadcast, text: Column) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(Vocabulary(**vocabulary.value))
         for texts in batches:
-            yield pd.Series(encoder.encode(texts.tolist()), dtype=object)
+            for part in portions(texts.tolist()):
+                yield pd.Series(encoder.encode(part), dtype=object)
 
     return run(text)
 
@@ -474,8 +481,9 @@ def round_trip(vocabulary: Broadcast, text: Column) -> Column:
         v = Vocabulary(**vocabulary.value)
         encoder = Encoder(v)
         for texts in batches:
-            rows = encoder.encode(texts.tolist())
-            same = [decode(v, x.tolist()) == (t or "").replace(SPACE, " ") for x, t in zip(rows, texts)]
-            yield pd.DataFrame({"ids": rows, "same": same})
+            for part in portions(texts.tolist()):
+                rows = encoder.encode(part)
+                same = [decode(v, x.tolist()) == t.replace(SPACE, " ") for x, t in zip(rows, part)]
+                yield pd.DataFrame({"ids": rows, "same": same})
 
     return run(text)
