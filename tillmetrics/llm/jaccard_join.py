@@ -51,7 +51,8 @@ STARS = 8  # runs of three keys of a set that are looked up
 ROWS_AT_ONCE = 20_000  # documents among which a task drops repeated sets
 KEY_TILE = 4096  # sets of a key compared at once
 KEY_ROWS = 50_000  # rows of less frequent keys handled together
-CHARS_AT_ONCE = 1_500_000
+CHARS_AT_ONCE = 400_000  # of text; smaller arrays are given back to the system when freed
+ROWS_OUT = 2000  # in a batch that a task hands on
 TILE_SETS = 4096
 TILE_GRAMS = 4_000_000
 SIGNATURE_BITS = 64  # at least
@@ -219,16 +220,16 @@ def describe(docs: DataFrame, rule: Rule) -> DataFrame:
                     waiting.append((i, len(grams), *_digest(grams), _signed(star_keys(keys)), _signed(keys), mark))
                 at = stop
                 if len(waiting) >= ROWS_AT_ONCE:
-                    yield _gathered(waiting)
+                    yield from _gathered(waiting)
                     waiting = []
         if waiting:
-            yield _gathered(waiting)
+            yield from _gathered(waiting)
 
     wanted = docs.select(F.col("doc_id").cast("bigint").cast("string").alias("doc_id"), "text")
     return wanted.mapInPandas(run, SET_SCHEMA)
 
 
-def _gathered(rows: list[tuple]) -> pd.DataFrame:
+def _gathered(rows: list[tuple]) -> Iterator[pd.DataFrame]:
     """Let the least document stand for each set; the others have no keys."""
     stands: dict = {}
     for row in rows:
@@ -236,18 +237,20 @@ def _gathered(rows: list[tuple]) -> pd.DataFrame:
             name = row[1:4]
             stands[name] = min(row[0], stands.get(name, row[0]))
     none = np.zeros(0, np.int64)
-    kept = [row[0] is not None and stands.get(row[1:4]) == row[0] for row in rows]
-    return pd.DataFrame(
-        {
-            "doc_id": pd.array([r[0] for r in rows], dtype="Int64"),
-            "n_shingles": [r[1] for r in rows],
-            "d1": [r[2] for r in rows],
-            "d2": [r[3] for r in rows],
-            "stars": [r[4] if k else none for r, k in zip(rows, kept)],
-            "keys": [r[5] if k else none for r, k in zip(rows, kept)],
-            "mark": [r[6] if k else None for r, k in zip(rows, kept)],
-        }
-    )
+    for at in range(0, len(rows), ROWS_OUT):
+        some = rows[at : at + ROWS_OUT]
+        kept = [row[0] is not None and stands.get(row[1:4]) == row[0] for row in some]
+        yield pd.DataFrame(
+            {
+                "doc_id": pd.array([r[0] for r in some], dtype="Int64"),
+                "n_shingles": [r[1] for r in some],
+                "d1": [r[2] for r in some],
+                "d2": [r[3] for r in some],
+                "stars": [r[4] if k else none for r, k in zip(some, kept)],
+                "keys": [r[5] if k else none for r, k in zip(some, kept)],
+                "mark": [r[6] if k else None for r, k in zip(some, kept)],
+            }
+        )
 
 
 def _sharing(sets: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
