@@ -27,6 +27,7 @@ FILTERS = 16  # of each width
 VECTOR = 8  # numbers that stand for a byte
 WIDEST = max(WIDTHS)
 BLOCK = 256  # windows computed at once
+BYTES_AT_ONCE = 1_000_000  # of windows, though always one whole text
 
 MIN_SCORE = 0.3  # below it a text is of no learned language
 
@@ -172,9 +173,9 @@ def _predict_batch(net: Network | None, texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame({"lang": names, "score": scores})
     rows = [i for i, t in enumerate(texts) if t is not None and any(map(str.isalpha, t))]
     at = 0
-    while at < len(rows):  # some megabytes of text at a time
+    while at < len(rows):  # some texts at a time
         part, size = [], 0
-        while at < len(rows) and size < 4_000_000:
+        while at < len(rows) and size < BYTES_AT_ONCE:
             part.append((rows[at], windows_of(texts.iloc[rows[at]].encode("utf-8", "replace"))))
             size += part[-1][1].size
             at += 1
