@@ -34,7 +34,7 @@ STRIDE = 40
 Q = 10
 EDIT_SHARE = 0.075  # edits a window may have, as a share of its length
 WINDOWS_AT_ONCE = 20_000
-CHARS_AT_ONCE = 1_500_000
+CHARS_AT_ONCE = 400_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BITS = np.uint64(22)
