@@ -282,3 +282,65 @@ def test_money_beyond_two_places_is_malformed(spark, tmp_path):
     read = csv_files.read_csv(spark, str(tmp_path / "x.csv"), table, keep_malformed=True)
     found = [(r[money], r[csv_files.MALFORMED]) for r in read.select(money, csv_files.MALFORMED).collect()]
     assert [(None if v is None else float(v), m) for v, m in found] == [(None, 1), (1.23, 0), (2.0, 0)]
+
+
+ITEMS = "order_item_id,order_id,product_id,quantity,unit_price,subtotal\n"
+
+
+def items_status(spark, tmp_path, **options):
+    statuses = load.load_csv_folder(spark, str(tmp_path), str(tmp_path / "db"), **options)
+    return next(s for s in statuses if s.table_name == "order_items")
+
+
+def test_rows_with_surplus_or_missing_fields_are_refused(spark, tmp_path):
+    write(tmp_path, "order_items", ITEMS + "1,1,1,1,2.5,2.5\n2,1,1,1,2.5,2.5,9,9\n3,1,1,1\n")
+    assert "malformed(*)=2" in items_status(spark, tmp_path).reason
+
+
+def test_parts_with_differing_headers_are_refused(spark, tmp_path):
+    folder = tmp_path / "order_items.csv"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text(ITEMS + "1,7,1,1,2.5,2.5\n")
+    swapped = ITEMS.replace("order_item_id,order_id", "order_id,order_item_id")
+    (folder / "part-1.csv").write_text(swapped + "8,2,1,1,2.5,2.5\n")
+    status = items_status(spark, tmp_path)
+    assert not status.ok and "header" in status.reason.lower()
+
+
+def test_line_breaks_inside_quotes_load_where_asked_for(spark, tmp_path):
+    write(tmp_path, "customers", CUSTOMER_CSV.replace("Lima", '"Li\nma"'))
+    root = str(tmp_path / "db")
+    assert not load.load_csv_folder(spark, str(tmp_path), root)[0].ok
+    assert load.load_csv_folder(spark, str(tmp_path), root, multi_line=True)[0].ok
+    found = by(parquet_files.read_table(spark, root, CUSTOMERS), "customer_id")
+    assert found[2]["city"] == "Li\nma"
+
+
+def test_an_unnamed_or_empty_csv_still_reads(spark, tmp_path):
+    write(tmp_path, "a", "," + ITEMS + "0,1,7,1,1,2.5,2.5\n")
+    found = rows(csv_files.read_csv(spark, f"{tmp_path}/a.csv", ORDER_ITEMS, keep_malformed=True))
+    assert found[0]["order_id"] == 7 and found[0][csv_files.MALFORMED] == 0
+    write(tmp_path, "b", "")
+    assert rows(csv_files.read_csv(spark, f"{tmp_path}/b.csv", ORDER_ITEMS, True)) == []
+
+
+def test_a_write_that_fails_in_a_task_keeps_the_stored_rows(spark, tmp_path):
+    root = str(tmp_path / "db")
+    load.load_tables(small_shop(spark), root)
+    ancient = frame(spark, "customers", [{"signup_date": dt.date(1500, 1, 1)}])
+    spark.conf.set("spark.sql.parquet.datetimeRebaseModeInWrite", "EXCEPTION")
+    try:
+        (status,) = load.load_tables({"customers": ancient}, root, names=["customers"])
+    finally:
+        spark.conf.unset("spark.sql.parquet.datetimeRebaseModeInWrite")
+    assert not status.ok and status.reason
+    stored = rows(parquet_files.read_table(spark, root, CUSTOMERS))
+    assert [r["signup_date"] for r in stored] == [dt.date(2023, 1, 1)]
+    assert {p.name for p in Path(root).iterdir()} == set(TABLES)
+
+
+def test_staged_rows_are_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(load, "shared_folder", lambda _, purpose: str(tmp_path / purpose))
+    write(tmp_path, "customers", CUSTOMER_CSV)
+    assert load.load_csv_folder(spark, str(tmp_path), str(tmp_path / "db"))[0].ok
+    assert not (tmp_path / "staging").exists()

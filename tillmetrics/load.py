@@ -91,8 +91,8 @@ def load_table(
 ) -> LoadStatus:
     """Store ``df`` under ``root`` if every check holds, else nothing of it.
 
-    Spark moves the files of a write in place only when all its tasks have
-    finished, so a failed write leaves no partial rows behind.
+    Rows appear only when all tasks of a write have finished, and a replacement
+    only then takes the place of the stored table.
     """
     spark = df.sparkSession
     appending = mode == APPEND and parquet_files.is_stored(spark, root, table)
@@ -130,6 +130,8 @@ def load_tables(
             statuses.append(LoadStatus(name, False, None, reason))
         except PySparkException as e:
             statuses.append(LoadStatus(name, False, None, str(e)))
+        except OSError as e:  # a table that cannot be moved
+            statuses.append(LoadStatus(name, False, None, str(e)))
         except Py4JJavaError as e:  # a corrupt file, a target that cannot be written
             statuses.append(LoadStatus(name, False, None, _root_cause(e)))
     return statuses
@@ -148,18 +150,23 @@ def load_csv_folder(
     root: str,
     mode: str = REPLACE,
     partitions: int | None = None,
+    multi_line: bool = False,
 ) -> list[LoadStatus]:
     """Load ``folder/<table>.csv`` of every declared table.
 
     Text is parsed once, into the shared folder; the checks then read only the
-    columns they need of it, and the final write its typed rows.
+    columns they need of it, and the final write its typed rows. These staged
+    rows are removed in the end. ``multi_line`` is for line breaks inside quotes.
     """
     staging = shared_folder(spark, "staging")
-    texts = csv_files.csv_tables(spark, folder, keep_malformed=True)
+    texts = csv_files.csv_tables(spark, folder, keep_malformed=True, multi_line=multi_line)
     parsed = TableSet(
         {name: lambda n=name: parquet_files.staged(texts[n], f"{staging}/{n}") for name in texts}
     )
-    return load_tables(parsed, root, mode, partitions=partitions)
+    try:
+        return load_tables(parsed, root, mode, partitions=partitions)
+    finally:
+        parquet_files.remove(spark, staging)
 
 
 def status_frame(spark: SparkSession, statuses: list[LoadStatus]) -> DataFrame:

@@ -49,9 +49,10 @@ def run(
     report_folder: str,
     as_of: dt.date,
     mode: str = load.REPLACE,
+    multi_line: bool = False,
 ) -> list[load.LoadStatus]:
     """Load, then report; raises when a table was refused, after writing the load report."""
-    statuses = load.load_csv_folder(spark, csv_folder, root, mode)
+    statuses = load.load_csv_folder(spark, csv_folder, root, mode, multi_line=multi_line)
     load.write_report(spark, statuses, root, f"{report_folder}/load")
     load.require_all(statuses)
     tables = stored_tables(spark, root)

@@ -15,7 +15,8 @@ MISSING = (
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-MALFORMED = "_malformed"  # number of fields in the row whose text does not fit the type
+MALFORMED = "_malformed"  # fields of the row that do not fit the type; one more if their number is wrong
+_BROKEN = "_broken_row"  # text of a row with more or fewer fields than the header
 
 _FORMAT = {"header": True, "quote": '"', "escape": '"'}
 
@@ -30,11 +31,17 @@ def read_csv(
     """The declared columns of ``table``; other columns of the file are dropped.
 
     A declared column the file lacks is NULL, and so is a field that does not fit
-    its type; ``keep_malformed`` adds a count of the latter for validation.
+    its type; ``keep_malformed`` adds a count of the latter for validation, in which a
+    row with more or fewer fields than the header counts as well. All files of a folder
+    must have the same header; reading fails at one that differs.
     ``multi_line`` accepts line breaks inside quotes but makes files unsplittable.
     """
     raw = spark.read.options(**_FORMAT, multiLine=multi_line).csv(path)
     present = set(raw.columns)
+    if present:  # the first header found holds for every file
+        schema = raw.schema.add(_BROKEN, T.StringType()) if keep_malformed else raw.schema
+        options = {**_FORMAT, "multiLine": multi_line, "columnNameOfCorruptRecord": _BROKEN}
+        raw = spark.read.schema(schema).options(**options, enforceSchema=False).csv(path)
     typed, bad = [], []
     for f in table.schema.fields:
         if f.name not in present:
@@ -46,7 +53,7 @@ def read_csv(
         if not isinstance(f.dataType, T.StringType):
             bad.append((text.isNotNull() & value.isNull()).cast("int"))
     if keep_malformed:
-        total = F.lit(0)
+        total = F.col(_BROKEN).isNotNull().cast("int") if present else F.lit(0)
         for b in bad:
             total = total + b
         typed.append(total.alias(MALFORMED))

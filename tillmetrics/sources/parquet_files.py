@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +44,9 @@ def write_table(
     Range partitioning on a key that ends in a unique column splits a hot month
     or customer over many tasks and still gives each month few files. Without
     ``partitions`` the session's number of shuffle partitions applies.
+
+    A replacement is written beside the table and takes its place when it is complete,
+    so a failed one leaves the stored rows as they were.
     """
     out = declared_columns(df, table)
     order = ORDERED_BY[table.name]
@@ -52,12 +57,51 @@ def write_table(
         order = [folder_column, *order]
     keys = order if partitions is None else [partitions, *order]
     writer = out.repartitionByRange(*keys).sortWithinPartitions(*order).write.mode(mode)
-    writer = writer.option("partitionOverwriteMode", "static")  # replace every folder
     # Files appear when the whole job commits, not task by task.
     writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "1")
     if folder_column:
         writer = writer.partitionBy(folder_column)
-    writer.parquet(f"{root}/{table.name}")
+    target = f"{root}/{table.name}"
+    if mode != "overwrite":
+        writer.parquet(target)
+        return
+    version = f"{root}/.{table.name}-{uuid.uuid4().hex}"
+    try:
+        writer.parquet(version)
+        _take_place(df.sparkSession, version, target)
+    finally:
+        remove(df.sparkSession, version)  # gone already, unless something failed
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def _take_place(spark: SparkSession, version: str, target: str) -> None:
+    """Rename ``version`` to ``target``, whose former folder is removed afterwards.
+
+    Should the driver be lost between the two renames, the former folder is
+    ``<version>-former`` and needs renaming back by hand.
+    """
+    files, new = _file_system(spark, version)
+    _, place = _file_system(spark, target)
+    _, former = _file_system(spark, f"{version}-former")
+    replaces = files.exists(place)
+    if replaces and not files.rename(place, former):
+        raise OSError(f"{target} cannot be replaced")
+    if not files.rename(new, place):
+        if replaces:
+            files.rename(former, place)
+        raise OSError(f"{version} cannot be renamed to {target}")
+    if replaces:
+        files.delete(former, True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files, if it exists."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
 
 
 def staged(df: DataFrame, path: str) -> DataFrame:
