@@ -95,6 +95,46 @@ def test_decontamination_in_blocks_is_the_same(docs, bench, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(28, 1), (28, 4)}
 
 
+def plain_windows(item, text):
+    """How many windows of an item a text holds, by alignment of each with the whole text."""
+    item, text = ("".join(c for c in t.lower() if c.isalnum()) for t in (item, text))
+    width = min(len(item), decontaminate.WINDOW)
+    found = 0
+    for at in range(len(item) - width + 1):
+        row = [0] * (len(text) + 1)
+        for i, c in enumerate(item[at : at + width], 1):
+            former, row = row, [i]
+            for j, d in enumerate(text):
+                row.append(min(former[j] + (c != d), former[j + 1] + 1, row[j] + 1))
+        found += min(row) <= decontaminate.edit_budget(width)
+    return found
+
+
+def test_decontamination_finds_middle_parts_and_reworded_copies(spark):
+    rng = random.Random(5)
+    items = [prose(25, 2000), prose(22, 2001), prose(11, 2002), "again and again " * 8]
+    texts = []
+    for item in items:
+        places = [i for i, c in enumerate(item) if c.isalnum()]
+        for at in range(0, len(places) - decontaminate.WINDOW, 9):
+            for n in (decontaminate.WINDOW, decontaminate.WINDOW - 4, 30):
+                texts.append(prose(6, at) + " " + item[places[at] : places[at + n - 1] + 1] + " " + prose(6, at + 1))
+        words = item.split()
+        for first in range(0, 10, 3):
+            reworded = ["".join(rng.choices("qvxyz", k=len(w))) if i % 10 == first else w for i, w in enumerate(words)]
+            texts.append(prose(6, first) + " " + " ".join(reworded) + " " + prose(6, first + 1))
+        for edits in (3, 6, 10, 20):
+            letters = list(item)
+            for _ in range(edits):
+                letters[rng.randrange(len(letters))] = rng.choice(["", "q", "xe"])
+            texts.append("".join(letters))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    index = decontaminate.build_index([tuple(r) for r in decontaminate.benchmark_windows(bench).collect()])
+    expected = [{k: n for k, item in enumerate(items) if (n := plain_windows(item, t))} for t in texts]
+    assert [{x[0]: x[4] for x in row} for row in decontaminate.scan(index, texts)] == expected
+    assert sum(map(len, expected)) > 60 and not all(expected)
+
+
 def test_no_benchmark_no_leaks(spark, docs):
     empty = spark.createDataFrame([], "item_id int, text string")
     assert decontaminate.leaked_rows(docs, empty).count() == 0

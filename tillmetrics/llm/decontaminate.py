@@ -1,18 +1,22 @@
 """Benchmark decontamination by the q-gram lemma and banded alignment.
 
-Texts are compared on their letters and digits alone, in lower case. Each benchmark
-item is cut into overlapping windows. If a stretch of a text is within ``k`` edits of a
-window of ``m`` characters, the two share at least ``m - q + 1 - q * k`` q-grams, and
-these lie on diagonals (place in the text less place in the window) at most ``2 * k``
-apart. Bands of twice that many diagonals that overlap by half hold every such group
-whole. So q-grams are counted per window and band, the bands that reach the bound are
-kept, and each is verified by alignment within the band.
+Texts are compared on their letters and digits alone, in lower case. A window is any
+stretch of ``WINDOW`` characters of a benchmark item, from every place of it, or a shorter
+item whole. A text holds an item if a stretch of it is within ``edit_budget`` edits of one
+of the item's windows: so any copied part of ``WINDOW`` characters counts, wherever it begins.
 
-Every text is read whole and against every window. Items are handled in blocks of
-``WINDOWS_AT_ONCE`` windows, so what a task holds of the benchmark is bounded.
+If a stretch of a text is within ``k`` edits of a window of ``m`` characters, the two share
+at least ``m - q + 1 - q * k`` q-grams, and these lie on diagonals (place in the text less
+place in the item) at most ``k`` apart. Bands of ``2 * (k + 1)`` diagonals that overlap by
+half hold every such group whole. So an item's q-grams are counted per band, the windows
+whose own q-grams reach the bound are kept, and each is verified by alignment within the band.
+
+Items are cut into pieces of at most ``STARTS`` windows, so that each window is in one
+piece. Every text is read whole and against every piece, in blocks of about
+``WINDOWS_AT_ONCE`` pieces.
 
 Defined results: a null or empty text has no leaks, and neither have items of fewer
-than ``Q`` letters and digits. Repeated items and rows are each reported. Of equally
+than ``LEAST`` letters and digits. Repeated items and rows are each reported. Of equally
 good places in a text the first is reported. Other columns are not looked at.
 """
 
@@ -29,15 +33,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WINDOW = 80  # letters and digits
-STRIDE = 40
-Q = 10
-EDIT_SHARE = 0.075  # edits a window may have, as a share of its length
-WINDOWS_AT_ONCE = 20_000
+WINDOW = 50  # letters and digits
+STARTS = 207  # windows that begin in a piece
+Q = 6
+LEAST = 10  # letters and digits of an item
+EDIT_SHARE = 0.12  # edits a window may have, as a share of its length
+WINDOWS_AT_ONCE = 20_000  # pieces
 CHARS_AT_ONCE = 400_000
+ALIGNED_AT_ONCE = 2048
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BITS = np.uint64(22)
+_SLOTS = 1 << 20
+_MIX = 0x9E3779B1  # spreads pieces over the slots of a count
 _BREAK = "￿"  # stands between texts; equals nothing in an item
 
 
@@ -100,22 +108,24 @@ def _slot(h: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Index:
-    """The q-grams of some benchmark windows."""
+    """The q-grams of some pieces of benchmark items."""
 
     table: np.ndarray
-    items: list[list]  # of each window
-    patterns: list[np.ndarray]
+    items: list[list]  # of each piece
+    codes: np.ndarray  # all pieces, one behind the other
+    offsets: np.ndarray  # of each piece in `codes`, and the end
+    widths: np.ndarray  # of each piece's windows
     budgets: np.ndarray
     bounds: np.ndarray  # q-grams a match shares at least
     bitmap: np.ndarray
     grams: np.ndarray  # sorted, distinct
-    starts: np.ndarray  # of each gram's places in `window` and `place`
-    window: np.ndarray
+    starts: np.ndarray  # of each gram's places in `piece` and `place`
+    piece: np.ndarray
     place: np.ndarray
 
 
 def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """The windows of every item, as rows of item and folded text."""
+    """The pieces of every item that hold its windows, as rows of item and folded text."""
     rows = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text"))
     schema = T.StructType([rows.schema["item"], T.StructField("pattern", T.StringType())])
 
@@ -125,11 +135,10 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
             out = []
             for name, value in zip(batch["item"], batch["text"]):
                 seq, _ = folded((value or "").replace(_BREAK, " "), table)
-                last = len(seq) - WINDOW
-                if len(seq) < Q:
+                if len(seq) < LEAST:
                     continue
-                for at in sorted({*range(0, max(1, last + 1), STRIDE), max(0, last)}):
-                    part = seq[at : at + WINDOW]
+                for at in range(0, max(1, len(seq) - WINDOW + 1), STARTS):
+                    part = seq[at : at + STARTS + WINDOW - 1]
                     out.append((name, part.tobytes().decode("utf-32-le", "surrogatepass")))
             yield pd.DataFrame(out, columns=["item", "pattern"])
 
@@ -140,15 +149,16 @@ def build_index(rows: list) -> Index:
     by_pattern: dict[str, list] = {}
     for item, pattern in rows:
         by_pattern.setdefault(pattern, []).append(item)
-    patterns = [
+    pieces = [
         np.frombuffer(p.encode("utf-32-le", "surrogatepass"), np.uint32) for p in sorted(by_pattern)
     ]
-    lengths = np.array([len(p) for p in patterns], np.int64)
-    budgets = np.array([edit_budget(int(m)) for m in lengths], np.int64)
-    hashes = [_grams(p) for p in patterns]
+    lengths = np.array([len(p) for p in pieces], np.int64)
+    widths = np.minimum(lengths, WINDOW)
+    budgets = np.array([edit_budget(int(m)) for m in widths], np.int64)
+    hashes = [_grams(p) for p in pieces]
     flat = np.concatenate(hashes)
-    window = np.repeat(np.arange(len(patterns)), [len(h) for h in hashes])
-    place = np.concatenate([np.arange(len(h)) for h in hashes])
+    piece = np.repeat(np.arange(len(pieces), dtype=np.int32), [len(h) for h in hashes])
+    place = np.concatenate([np.arange(len(h), dtype=np.int32) for h in hashes])
     order = np.argsort(flat, kind="stable")
     grams, starts = np.unique(flat[order], return_index=True)
     bitmap = np.zeros(1 << int(_BITS), np.bool_)
@@ -156,48 +166,70 @@ def build_index(rows: list) -> Index:
     return Index(
         _fold_table(),
         [by_pattern[p] for p in sorted(by_pattern)],
-        patterns,
+        np.concatenate(pieces),
+        np.concatenate([[0], np.cumsum(lengths)]),
+        widths,
         budgets,
-        lengths - Q + 1 - Q * budgets,
+        widths - Q + 1 - Q * budgets,
         bitmap,
         grams,
         np.append(starts, len(flat)),
-        window[order],
+        piece[order],
         place[order],
     )
 
 
+def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ..., n[0] of them, then those of first[1], ..."""
+    return np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+
+
 def _candidates(index: Index, seq: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Window, band and text of each band that reaches its window's bound."""
+    """Piece, start in the piece, band and text of each window that reaches its bound."""
     grams = _grams(seq)
     hits = np.flatnonzero(index.bitmap[_slot(grams)])
-    least = int(index.bounds.min())
-    reach = WINDOW + int(index.budgets.max()) - Q
-    near = hits[least - 1 :] - hits[: max(0, len(hits) - least + 1)] <= reach
-    dense = np.zeros(len(hits) + 1, np.int64)  # +1 where a dense stretch begins, -1 behind it
-    np.add.at(dense, np.flatnonzero(near), 1)
-    np.add.at(dense, np.flatnonzero(near) + least, -1)
-    hits = hits[np.cumsum(dense)[:-1] > 0]
     at = np.searchsorted(index.grams, grams[hits])
     at = np.minimum(at, len(index.grams) - 1)
     true = index.grams[at] == grams[hits]
     hits, at = hits[true], at[true]
     n = index.starts[at + 1] - index.starts[at]
-    first = np.repeat(index.starts[at] - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
-    post = first + np.arange(n.sum())
-    window, hit = index.window[post], np.repeat(hits, n)
-    text = np.searchsorted(breaks, hit)
-    step = 2 * index.budgets[window] + 1
-    band = (hit - index.place[post]) // step
-    bands = len(seq) + 2 * WINDOW
-    key = ((window * bands + band + WINDOW) * (len(breaks) + 1)) + text
-    key = np.concatenate([key, key - (len(breaks) + 1)])  # also the band that begins a step before
-    key, count = np.unique(key, return_counts=True)
-    text = key % (len(breaks) + 1)
-    key //= len(breaks) + 1
-    window = key // bands
-    keep = count >= index.bounds[window]
-    return window[keep], (key % bands - WINDOW)[keep], text[keep]
+    post = _ranges(index.starts[at], n)
+    piece, place, hit = index.piece[post].astype(np.int64), index.place[post], np.repeat(hits, n)
+    band = (hit - place) // (index.budgets[piece] + 1)
+    # Counts of bands that may share a slot: never less than the band's own.
+    mask = _SLOTS - 1
+    slot = (piece * _MIX + band) & mask
+    count = np.bincount(slot, minlength=mask + 1)
+    both = np.maximum(count[slot] + count[(slot + 1) & mask], count[(slot - 1) & mask] + count[slot])
+    keep = both >= index.bounds[piece]
+    piece, place, band = piece[keep], place[keep].astype(np.int64), band[keep]
+    text = np.searchsorted(breaks, hit[keep])
+
+    # Each hit is in the band that begins with its diagonals and in the one a step before.
+    piece, place, text = (np.concatenate([x, x]) for x in (piece, place, text))
+    band = np.concatenate([band, band - 1])
+    order = np.lexsort((place, text, band, piece))
+    piece, place, text, band = piece[order], place[order], text[order], band[order]
+    new = np.ones(len(piece), np.bool_)
+    new[1:] = (piece[1:] != piece[:-1]) | (text[1:] != text[:-1]) | (band[1:] != band[:-1])
+    # A place counts once for a band, on however many of its diagonals its q-gram lies.
+    once = new.copy()
+    once[1:] |= place[1:] != place[:-1]
+    piece, place, text, band, new = piece[once], place[once], text[once], band[once], new[once]
+    group = np.cumsum(new) - 1
+    # From one hit to the one that completes the bound, if a window holds both.
+    last = np.arange(len(piece)) + index.bounds[piece] - 1
+    end = np.minimum(last, max(0, len(piece) - 1))
+    reach = index.widths[piece] - Q
+    full = np.flatnonzero((last == end) & (group[end] == group) & (place[end] - place <= reach))
+    windows = np.diff(index.offsets)[piece] - index.widths[piece] + 1
+    low = np.maximum(place[end] - reach, 0)[full]
+    high = np.minimum(place, windows - 1)[full]
+    if len(full):  # each window once
+        again = group[full[1:]] == group[full[:-1]]
+        low[1:] = np.where(again, np.maximum(low[1:], high[:-1] + 1), low[1:])
+    n = np.maximum(high - low + 1, 0)
+    return np.repeat(piece[full], n), _ranges(low, n), np.repeat(band[full], n), np.repeat(text[full], n)
 
 
 def _align(
@@ -208,33 +240,33 @@ def _align(
     ``first`` is the band's first diagonal; only places from ``low`` up to ``high`` count.
     """
     n, m = patterns.shape
-    column = np.arange(width)
-    cost = np.zeros((n, width), np.int32)
-    start = first[:, None] + column
-    cost[(start < low[:, None]) | (start > high[:, None])] = 1 << 20
+    column = np.arange(width)[:, None]  # a row per diagonal, a column per pattern
+    far = np.int32(1 << 20)
+    cost = np.zeros((width, n), np.int32)
+    start = first + column
+    cost[(start < low) | (start > high)] = far
     for i in range(1, m + 1):
-        end = first[:, None] + i + column  # behind the last character used
-        at = end - 1
-        inside = (at >= low[:, None]) & (at < high[:, None])
-        same = seq[np.clip(at, 0, len(seq) - 1)] == patterns[:, i - 1 : i]
-        take = cost + np.where(inside, np.where(same, 0, 1), 1 << 20)
-        skip = np.full((n, width), 1 << 20, np.int32)
-        skip[:, :-1] = cost[:, 1:] + 1
+        at = first + (i - 1) + column  # the last character used
+        inside = (at >= low) & (at < high)
+        same = seq[np.clip(at, 0, len(seq) - 1)] == patterns[:, i - 1]
+        take = cost + np.where(inside, np.where(same, np.int32(0), np.int32(1)), far)
+        skip = np.full((width, n), far, np.int32)
+        skip[:-1] = cost[1:] + 1
         better = skip < take
-        moved = np.concatenate([start[:, 1:], start[:, -1:]], axis=1)
+        moved = np.concatenate([start[1:], start[-1:]])
         start = np.where(better, moved, start)
         cost = np.where(better, skip, take)
         for c in range(1, width):  # a character of the text that the pattern lacks
-            better = (cost[:, c - 1] + 1 < cost[:, c]) & inside[:, c]
-            cost[:, c] = np.where(better, cost[:, c - 1] + 1, cost[:, c])
-            start[:, c] = np.where(better, start[:, c - 1], start[:, c])
-    best = cost.argmin(axis=1)
+            better = (cost[c - 1] + 1 < cost[c]) & inside[c]
+            cost[c] = np.where(better, cost[c - 1] + 1, cost[c])
+            start[c] = np.where(better, start[c - 1], start[c])
+    best = cost.argmin(axis=0)
     row = np.arange(n)
-    return cost[row, best], start[row, best], first + m + best
+    return cost[best, row], start[best, row], first + m + best
 
 
 def _find(index: Index, texts: list[str]) -> list[dict]:
-    """Of each text, window -> (edits, start, end) of its best place."""
+    """Of each text, piece -> (edits, start, end) of its best window, and windows found."""
     found: list[dict] = [{} for _ in texts]
     joined = _BREAK.join(t.replace(_BREAK, " ") for t in texts)
     seq, places = folded(joined, index.table)
@@ -244,25 +276,33 @@ def _find(index: Index, texts: list[str]) -> list[dict]:
     offset = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
     if len(seq) < Q:
         return found
-    window, band, text = _candidates(index, seq, breaks)
-    lengths = np.array([len(index.patterns[w]) for w in window], np.int64)
-    for m in np.unique(lengths):
-        for part in np.array_split(np.flatnonzero(lengths == m), math.ceil((lengths == m).sum() / 2048)):
+    piece, at, band, text = _candidates(index, seq, breaks)
+    rows = []
+    for m in np.unique(index.widths[piece]):
+        own = np.flatnonzero(index.widths[piece] == m)
+        for part in np.array_split(own, math.ceil(len(own) / ALIGNED_AT_ONCE)):
             k = edit_budget(int(m))
-            step = 2 * k + 1
             edits, start, end = _align(
-                np.stack([index.patterns[w] for w in window[part]]),
+                index.codes[(index.offsets[piece[part]] + at[part])[:, None] + np.arange(m)],
                 seq,
-                band[part] * step,
+                band[part] * (k + 1) + at[part],
                 begin[text[part]],
                 stop[text[part]],
-                2 * step,
+                2 * (k + 1),
             )
-            for i in np.flatnonzero(edits <= k):
-                w, t = int(window[part[i]]), int(text[part[i]])
-                place = (int(edits[i]), int(places[start[i]] - offset[t]), int(places[end[i] - 1] - offset[t] + 1))
-                if w not in found[t] or place < found[t][w]:
-                    found[t][w] = place
+            good = edits <= k
+            hit = part[good]
+            rows.append((text[hit], piece[hit], at[hit], edits[good], start[good], end[good]))
+    if not rows:
+        return found
+    text, piece, at, edits, start, end = (np.concatenate(x) for x in zip(*rows))
+    order = np.lexsort((end, start, edits, piece, text))
+    text, piece, at, edits, start, end = (x[order] for x in (text, piece, at, edits, start, end))
+    groups = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(piece, prepend=-1) != 0))
+    for i, j in zip(groups, np.append(groups[1:], len(text))):
+        t = int(text[i])
+        place = (int(edits[i]), int(places[start[i]] - offset[t]), int(places[end[i] - 1] - offset[t] + 1))
+        found[t][int(piece[i])] = (place, len(np.unique(at[i:j])))
     return found
 
 
@@ -284,10 +324,10 @@ def scan(index: Index, texts: list[str | None]) -> list[list[tuple]]:
             continue
         for i, found in zip(part, _find(index, [texts[i] for i in part])):
             by_item: dict = {}
-            for w, place in found.items():
-                for item in index.items[w]:
+            for p, (place, windows) in found.items():
+                for item in index.items[p]:
                     best, n = by_item.get(item, (place, 0))
-                    by_item[item] = (min(best, place), n + 1)
+                    by_item[item] = (min(best, place), n + windows)
             out[i] = sorted(
                 ((item, p[1], p[2], p[0], n) for item, (p, n) in by_item.items()), key=lambda x: x[1:] + (str(x[0]),)
             )
@@ -295,7 +335,7 @@ def scan(index: Index, texts: list[str | None]) -> list[list[tuple]]:
 
 
 def indexes(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> tuple[list[Broadcast], T.DataType]:
-    """Indexes over all items, each of about WINDOWS_AT_ONCE windows, and the items' type."""
+    """Indexes over all items, each of about WINDOWS_AT_ONCE pieces, and the items' type."""
     windows = benchmark_windows(benchmark, item, text)
     blocks = max(1, math.ceil(windows.count() / WINDOWS_AT_ONCE))
     share = windows.sparkSession.sparkContext.broadcast
