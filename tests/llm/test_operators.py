@@ -95,6 +95,18 @@ def test_decontamination_in_blocks_is_the_same(docs, bench, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(28, 1), (28, 4)}
 
 
+def test_decontamination_in_blocks_gives_the_same_rows(spark, monkeypatch):
+    items = [prose(500, 3000 + i) for i in range(3)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    texts = [items[0], prose(20, 1) + items[1][40:-30], items[2][900:] + " " + items[0][:700], prose(90, 2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    whole = sorted(decontaminate.leaked_rows(docs, bench).collect())
+    monkeypatch.setattr(decontaminate, "WINDOWS_AT_ONCE", 2)
+    assert len(decontaminate.indexes(bench)[0]) > 3
+    assert sorted(decontaminate.leaked_rows(docs, bench).collect()) == whole
+    assert [(r["doc_id"], r["item_id"]) for r in whole] == [(0, 0), (1, 1), (2, 0), (2, 2)]
+
+
 def plain_windows(item, text):
     """How many windows of an item a text holds, by alignment of each with the whole text."""
     item, text = ("".join(c for c in t.lower() if c.isalnum()) for t in (item, text))

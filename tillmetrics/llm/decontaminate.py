@@ -22,8 +22,9 @@ good places in a text the first is reported. Other columns are not looked at.
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -328,12 +329,24 @@ def scan(index: Index, texts: list[str | None]) -> list[list[tuple]]:
                 for item in index.items[p]:
                     best, n = by_item.get(item, (place, 0))
                     by_item[item] = (min(best, place), n + windows)
-            out[i] = sorted(
-                ((item, p[1], p[2], p[0], n) for item, (p, n) in by_item.items()), key=lambda x: x[1:] + (str(x[0]),)
-            )
+            out[i] = _in_order((item, p[1], p[2], p[0], n) for item, (p, n) in by_item.items())
     return out
 
 
+def _in_order(rows: Iterable[tuple]) -> list[tuple]:
+    return sorted(rows, key=lambda x: x[1:] + (str(x[0]),))
+
+
+def _merged(parts: Iterable[list[tuple]]) -> list[tuple]:
+    """What several blocks found in one text: an item's best place, and all its windows."""
+    by_item: dict = {}
+    for item, start, end, edits, n in itertools.chain.from_iterable(parts):
+        place = (edits, start, end)
+        best, m = by_item.get(item, (place, 0))
+        by_item[item] = (min(best, place), m + n)
+    return _in_order((item, p[1], p[2], p[0], n) for item, (p, n) in by_item.items())
+
+
 def indexes(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> tuple[list[Broadcast], T.DataType]:
     """Indexes over all items, each of about WINDOWS_AT_ONCE pieces, and the items' type."""
     windows = benchmark_windows(benchmark, item, text)
@@ -356,26 +369,23 @@ def leaks(blocks: tuple[list[Broadcast], T.DataType], text: Column) -> Column:
     )
     kind = T.ArrayType(one)
 
-    def against(block: Broadcast) -> Column:
-        @F.pandas_udf(kind)
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            names = [f.name for f in one.fields]
-            index = Index(**block.value)
-            for texts in batches:
-                found = scan(index, texts.tolist())
-                yield pd.Series([[dict(zip(names, x)) for x in row] for row in found], dtype=object)
+    if not shared:
+        return F.array().cast(kind)
 
-        return run(text)
+    @F.pandas_udf(kind)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        names = [f.name for f in one.fields]
+        blocks = [Index(**block.value) for block in shared]
+        for texts in batches:
+            rows = texts.tolist()
+            found = map(_merged, zip(*[scan(index, rows) for index in blocks]))
+            yield pd.Series([[dict(zip(names, x)) for x in row] for row in found], dtype=object)
 
-    parts = [against(b) for b in shared]
-    if not parts:
-        return F.array().cast(kind)
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
+    return run(text)
 
 
 def leaked_rows(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per text and item found in it. An item may be named twice when its
-    windows fall into several blocks; the places then differ."""
+    """One row per text and item found in it."""
     found = leaks(indexes(benchmark), F.col("text"))
     rows = docs.select(F.col(key).alias(key), F.col(text).alias("text")).select(key, found.alias("leaks"))
     return rows.select(key, F.inline("leaks"))
