@@ -221,6 +221,40 @@ def test_licenses(docs, plain):
     assert last["score"] == 1.0 and found[20]["n_words"] == 0 and found[20]["labels"] == ""
 
 
+def test_licenses_in_wrapped_and_long_lines(spark):
+    def plain(text):
+        words = [w for w in re.split(licenses.BETWEEN, text.lower()) if w]
+        found = []
+        for label, t in licenses.TEMPLATES:
+            own = set(t.split())
+            for at in range(len(words)):
+                shared = own & set(words[at : at + licenses.width_of(t)])
+                if len(shared) >= licenses.THRESHOLD * len(own) - 1e-9:
+                    found.append((len(shared) / len(own), len(shared), label, shared, at, at + licenses.width_of(t)))
+        best = [
+            a for a in found
+            if not any(b[:2] > a[:2] and a[3] <= b[3] and a[4] < b[5] and b[4] < a[5] for b in found)
+        ]
+        return {a[2] for a in best}, max((a[0] for a in best), default=0.0)
+
+    mit = (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+        'of this software and associated documentation files (the "Software"), to deal\n'
+        "in the Software without restriction, including"
+    )
+    gpl = "This work is licensed under the GNU General\nPublic License, version {}."
+    scattered = " ".join(prose(9, i) + " " + w for i, w in enumerate(mit.split()))
+    texts = [
+        mit, gpl.format(3), scattered, prose(300, 1) + " " + mit.replace("\n", " ") + " " + prose(300, 2),
+        gpl.format(2) + "\n" + prose(40, 3) + " Licensed under\nCC BY-SA 4.0", (gpl.format(2) + " ") * 9 + mit,
+        "Licensed\nunder CC BY 4.0 and " + prose(30, 4), prose(50, 5), None, "",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: (set(r["labels"].split(",")) - {""}, r["score"]) for r in licenses.scan(docs).collect()}
+    assert got == {i: plain(t or "") for i, t in enumerate(texts)}
+    assert got[0] == ({"mit"}, 1.0) and got[1] == ({"gpl-3"}, 1.0) and got[2] == (set(), 0.0)
+
+
 def test_language(spark, docs):
     net = language.fit(docs)
     got = {r["doc_id"]: r["p"] for r in docs.select("doc_id", language.predict(net, F.col("text")).alias("p")).collect()}

@@ -1,18 +1,20 @@
 """License scans: fixed phrases, and an exact containment join of text blocks with templates.
 
-A block is a line of a text; blocks and templates are sets of words. A block matches a
-template if it has at least ``THRESHOLD`` of the template's words. The join finds every
-such pair:
+A block is a window of a text's words, whatever its line breaks: as many as a template's
+words make up ``THRESHOLD`` of, from every place (``width_of``). Blocks and templates are sets of
+words. A block matches a template if it has at least ``THRESHOLD`` of the template's words.
+The join finds every such pair; it first compares whole texts, which hold their blocks:
 
 * All words of all templates are put in one order, from the word that the fewest texts
   of the corpus have to the one that the most have.
 * Prefix: of a template of ``n`` words of which ``k`` must be found, one of the first
-  ``n - k + 1`` is in every matching block. Texts and blocks without such a word go first.
-* Length: of a block's words those in some template count; it needs ``k`` of them.
-* Position: when a word stands at place ``i`` of the template and at place ``j`` of the block, both
-  in the common order, at most ``min(i, j) + 1 + min(words behind i, words behind j)``
+  ``n - k + 1`` is in every matching text. Texts without such a word go first.
+* Length: of a text's words those in some template count; it needs ``k`` of them.
+* Position: when a word stands at place ``i`` of the template and at place ``j`` of the text's words,
+  both in the common order, at most ``min(i, j) + 1 + min(words behind i, words behind j)``
   words are shared; fewer than ``k`` cannot match.
-* What is left is decided by intersecting both.
+* What is left is decided by intersecting the template with each block that begins with
+  one of its words; no other block holds more.
 
 The index of prefix words is as large as the templates, whatever the data. Matches are
 brought back to texts by the digest of the text, so equal texts are matched alike.
@@ -105,11 +107,16 @@ def word_order(docs: DataFrame, templates: list[tuple[str, str]], text: str = "t
     return sorted(vocabulary, key=lambda w: (seen.get(w, 0), w))
 
 
+def width_of(template: str, threshold: float = THRESHOLD) -> int:
+    """Words of a block that is compared with the template."""
+    return math.floor(round(len(template.split()) / threshold, 9))
+
+
 def block_matches(
     docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, text: str = "text"
 ) -> DataFrame:
-    """Rows (digest, block, label, shared, containment) of every match; ``block`` is the
-    line's number from 0, ``digest`` that of the text."""
+    """Rows (digest, block, template, label, width, shared, containment) of every match;
+    ``block`` is the place of the block's first word from 0, ``digest`` that of the text."""
     spark = docs.sparkSession
     order = word_order(docs, templates, text)
     rank = {w: i for i, w in enumerate(order)}
@@ -117,44 +124,59 @@ def block_matches(
     for n, (label, t) in enumerate(templates):
         own = sorted(_words(t), key=rank.__getitem__)
         need = math.ceil(round(threshold * len(own), 9))
-        index += [(own[i], n, label, own, i, need) for i in range(len(own) - need + 1)]
-    schema = "word string, template int, label string, own array<string>, i int, need int"
+        width = width_of(t, threshold)
+        index += [(own[i], n, label, own, i, need, width) for i in range(len(own) - need + 1)]
+    schema = "word string, template int, label string, own array<string>, i int, need int, width int"
     prefixes = spark.createDataFrame(index, schema)
     first = F.array(*[F.lit(w) for w in sorted({x[0] for x in index})])
     ordered = F.array(*[F.lit(w) for w in order])
 
     texts = docs.select(F.col(text).alias("text")).filter(F.arrays_overlap(words_of(F.col("text")), first))
-    blocks = texts.select(
-        F.sha1(F.col("text").cast("binary")).alias("digest"), F.posexplode(F.split("text", "\n")).alias("block", "line")
-    )
-    # The block's words that any template has, in the common order.
-    blocks = blocks.select("digest", "block", F.array_intersect(ordered, words_of(F.col("line"))).alias("words"))
-    blocks = blocks.filter(F.arrays_overlap("words", first))
-    held = blocks.select("*", F.posexplode("words").alias("j", "word"))
+    # The text's words that any template has, in the common order.
+    texts = texts.select("text", F.array_intersect(ordered, words_of(F.col("text"))).alias("words"))
+    held = texts.select("*", F.posexplode("words").alias("j", "word"))
     pairs = held.join(F.broadcast(prefixes), "word")  # as large as the templates
     size, need = F.size("words"), F.col("need")
     bound = F.least("i", "j") + 1 + F.least(F.size("own") - F.col("i") - 1, size - F.col("j") - 1)
     pairs = pairs.filter((size >= need) & (bound >= need))
-    shared = pairs.withColumn("shared", F.array_intersect("own", "words")).filter(F.size("shared") >= need)
-    return shared.select(
-        "digest", "block", "template", "label", "shared", (F.size("shared") / F.size("own")).alias("containment")
-    ).distinct()
-
-
-def best_labels(matches: DataFrame) -> DataFrame:
-    """Per text the labels of its blocks, without those that a better match of the same
-    block explains: one that shares all their words and is more complete, or longer."""
-    one = F.struct("containment", F.size("shared").alias("size"), "label", "shared")
-    per_block = matches.groupBy("digest", "block").agg(F.collect_set(one).alias("found"))  # at most the templates
+    pairs = pairs.filter(F.size(F.array_intersect("own", "words")) >= need)
+    # A pair is taken up once, at the first of the template's words that the text has.
+    pairs = pairs.filter(F.col("word") == F.element_at(F.array_intersect("own", "words"), 1))
+
+    pairs = pairs.withColumn("all", words_of(F.col("text")))
+    places = F.array_compact(F.transform("all", lambda w, at: F.when(F.array_contains("own", w), at)))
+
+    def block(at: Column) -> Column:
+        shared = F.array_intersect("own", F.slice("all", at + 1, F.col("width")))
+        return F.struct(at.alias("block"), shared.alias("shared"))
+
+    full = F.filter(F.transform(places, block), lambda b: F.size(b["shared"]) >= F.col("need"))
+    digest = F.sha1(F.col("text").cast("binary")).alias("digest")
+    found = pairs.select(digest, "template", "label", "width", "own", F.inline(full))
+    containment = (F.size("shared") / F.size("own")).alias("containment")
+    return found.select("digest", "block", "template", "label", "width", "shared", containment).distinct()
+
+
+def best_labels(matches: DataFrame, widest: int) -> DataFrame:
+    """Per text the labels of its blocks, without those that a better match of an
+    overlapping block explains: one that shares all their words and is more complete, or longer.
+    ``widest`` is the largest width; blocks further apart than that do not overlap."""
+    one = F.struct("containment", F.size("shared").alias("size"), "label", "shared", "block", "width", "cell")
+    cell = F.floor(F.col("block") / widest)
+    near = matches.withColumn("cell", cell).withColumn("at", F.explode(F.array(*[F.col("cell") + i for i in (-1, 0, 1)])))
+    # At most 3 * widest places and each template.
+    per_cell = near.groupBy("digest", "at").agg(F.collect_set(one).alias("found"))
 
     def better(a: Column, b: Column) -> Column:
         higher = (b["containment"] > a["containment"]) | (
             (b["containment"] == a["containment"]) & (b["size"] > a["size"])
         )
-        return higher & (F.size(F.array_except(a["shared"], b["shared"])) == 0)
+        overlap = (a["block"] < b["block"] + b["width"]) & (b["block"] < a["block"] + a["width"])
+        return higher & overlap & (F.size(F.array_except(a["shared"], b["shared"])) == 0)
 
-    kept = F.filter("found", lambda a: ~F.exists("found", lambda b: better(a, b)))
-    rows = per_block.select("digest", F.explode(kept).alias("m"))
+    own = F.filter("found", lambda a: a["cell"] == F.col("at"))
+    kept = F.filter(own, lambda a: ~F.exists("found", lambda b: better(a, b)))
+    rows = per_cell.select("digest", F.explode(kept).alias("m"))
     return rows.groupBy("digest").agg(
         F.collect_set("m.label").alias("found_labels"), F.max("m.containment").alias("containment")
     )
@@ -162,7 +184,8 @@ def best_labels(matches: DataFrame) -> DataFrame:
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per text: key, n_words, places of phrases, base_labels, labels, score."""
-    labels = stored(best_labels(block_matches(docs, text=text)), "license-labels")
+    labels = block_matches(docs, text=text)
+    labels = stored(best_labels(labels, max(width_of(t) for _, t in TEMPLATES)), "license-labels")
     rows = docs.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text"))
     rows = rows.withColumn("words", words_of(F.col("text")))
     rows = rows.select(
