@@ -13,6 +13,7 @@ from tillmetrics.llm import (
     jaccard_join,
     language,
     licenses,
+    merkle,
     rule_ensemble,
     secret_scan,
     suffix_pieces,
@@ -123,6 +124,29 @@ def op8_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.groups_of(table(spark, folder, "documents"), jaccard_join.Rule(words=3, percent=90))
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document's leaf and witness in a manifest by language, checked after tampering."""
+    docs = table(spark, folder, "documents")
+    named = ["doc_id", "source", "lang", "n_chars", "text"]
+    # A longer n_chars stays null where it is null, so such a leaf is unchanged.
+    other = [F.col("n_chars") + 1 if c == "n_chars" else F.col(c) for c in named]
+    leaves = docs.select(
+        "doc_id",
+        "lang",
+        merkle.leaf_of([F.col(c) for c in named]).alias("digest"),
+        F.when(in_fold(F.col("doc_id"), 7, 0), merkle.leaf_of(other)).alias("tampered"),
+    )
+    path = merkle.witnesses(leaves, "lang", ["doc_id"])
+    found = merkle.verified(path, F.coalesce("row.tampered", "digest"))
+    return found.select(
+        "row.doc_id",
+        *[merkle.hex_text(F.col(c)).alias(n) for c, n in (("digest", "leaf"), ("subroot", "subroot"), ("root", "root"))],
+        F.sha2(merkle.hex_text(F.col("siblings")).cast("binary"), 256).alias("proof_sha256"),
+        merkle.hex_text(F.col("folded_root")).alias("folded_root"),
+        "verified",
+    )
+
+
 _PAYLOADS = """
 WITH p AS (
   SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
@@ -170,6 +194,55 @@ SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
 FROM b JOIN z ON b.source IS NOT DISTINCT FROM z.source
 """
 
+_MERKLE = """
+WITH RECURSIVE p AS (
+  SELECT *, CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END
+            || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+            || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS front,
+         CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS behind,
+         list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+           lambda c: [ord(c), 0, 0, 0, 0, 0, 0, 0]))), lambda a, x:
+           CASE WHEN xor(a, x) % 2 = 1 THEN xor(xor(a, x) // 2, 3988292384) ELSE xor(a, x) // 2 END) AS crc
+  FROM documents),
+t AS (SELECT doc_id, lang,
+             sha256(front || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END
+                    || behind) AS leaf,
+             sha256(front || CASE WHEN n_chars IS NULL THEN '-'
+                    ELSE strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1) END || behind) AS changed,
+             coalesce(xor(crc, 4294967295) % 7 = 0, false) AS tampered FROM p),
+l AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+             count(*) OVER (PARTITION BY lang) AS n FROM t),
+a(lang, level, i, n, h) AS (
+  SELECT lang, 0, i, n, leaf FROM l
+  UNION ALL
+  SELECT lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM a WHERE n > 1
+  GROUP BY lang, level, i // 2, n),
+s AS (SELECT lang, h AS subroot, level AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i,
+             count(*) OVER () AS n FROM a WHERE n = 1),
+b(level, i, n, h) AS (
+  SELECT 0, i, n, subroot FROM s
+  UNION ALL
+  SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM b WHERE n > 1
+  GROUP BY level, i // 2, n),
+r AS (SELECT h AS root, level AS height FROM b WHERE n = 1),
+f(lang, i, tampered, changed, level, pos, h, proof) AS (
+  SELECT lang, i, tampered, changed, 0, i, CASE WHEN tampered THEN changed ELSE leaf END, '' FROM l
+  UNION ALL
+  SELECT f.lang, f.i, f.tampered, f.changed, f.level + 1, f.pos // 2,
+         sha256(CASE WHEN f.pos % 2 = 1 THEN o.h || f.h ELSE f.h || coalesce(o.h, '') END), f.proof || coalesce(o.h, '')
+  FROM f JOIN s ON s.lang IS NOT DISTINCT FROM f.lang AND f.level < s.height
+  LEFT JOIN a AS o ON o.lang IS NOT DISTINCT FROM f.lang AND o.level = f.level AND o.i = xor(f.pos, 1)),
+g(lang, i, level, pos, h, proof) AS (
+  SELECT f.lang, f.i, 0, s.i, f.h, f.proof FROM f JOIN s ON s.lang IS NOT DISTINCT FROM f.lang AND f.level = s.height
+  UNION ALL
+  SELECT g.lang, g.i, g.level + 1, g.pos // 2,
+         sha256(CASE WHEN g.pos % 2 = 1 THEN o.h || g.h ELSE g.h || coalesce(o.h, '') END), g.proof || coalesce(o.h, '')
+  FROM g JOIN r ON g.level < r.height LEFT JOIN b AS o ON o.level = g.level AND o.i = xor(g.pos, 1))
+SELECT l.doc_id, l.leaf, s.subroot, r.root, sha256(g.proof) AS proof_sha256, g.h AS folded_root, g.h = r.root AS verified
+FROM l JOIN s ON s.lang IS NOT DISTINCT FROM l.lang CROSS JOIN r
+JOIN g ON g.lang IS NOT DISTINCT FROM l.lang AND g.i = l.i AND g.level = r.height
+"""
+
 
 def _license_sql() -> str:
     """Every template against every line, without any filter."""
@@ -225,10 +298,12 @@ QUERIES: dict[str, Query] = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_quality": op9_quality,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_merkle": op11_merkle,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": _PAYLOADS,
     "op4_host_rules": _HOST_RULES,
     "op5_licenses": _license_sql(),
+    "op11_merkle": _MERKLE,
 }
