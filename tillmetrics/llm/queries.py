@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillmetrics.llm import (
     decontaminate,
+    hard_negatives,
     host_rules,
     jaccard_join,
     language,
@@ -147,6 +148,14 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of other labels in a window of scores below each positive of every hundredth vector."""
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = hard_negatives.usable(table(spark, folder, "embeddings"), vec_id, moved, F.col("embedding"))
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
 _PAYLOADS = """
 WITH p AS (
   SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
@@ -243,6 +252,24 @@ FROM l JOIN s ON s.lang IS NOT DISTINCT FROM l.lang CROSS JOIN r
 JOIN g ON g.lang IS NOT DISTINCT FROM l.lang AND g.i = l.i AND g.level = r.height
 """
 
+_HARD_NEGATIVES = """
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike,
+             CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM e AS a JOIN e AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+p AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) AS place FROM s WHERE alike
+      QUALIFY place <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, p.score AS positive_score, s.id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY s.score DESC, s.id) AS rank
+      FROM p JOIN s ON s.anchor = p.anchor AND NOT s.alike
+       AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 10
+"""
+
 
 def _license_sql() -> str:
     """Every template against every line, without any filter."""
@@ -299,6 +326,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_merkle": op11_merkle,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -306,4 +334,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_host_rules": _HOST_RULES,
     "op5_licenses": _license_sql(),
     "op11_merkle": _MERKLE,
+    "op13_hard_negatives": _HARD_NEGATIVES,
 }
