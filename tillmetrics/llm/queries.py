@@ -19,6 +19,7 @@ from tillmetrics.llm import (
     secret_scan,
     suffix_pieces,
     token_counts,
+    toxicity,
     warc,
 )
 from tillmetrics.llm.tables import in_fold, stored, table
@@ -148,6 +149,20 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity score of each document, learned from four folds of five."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, folder, "labels").filter(~in_fold(F.col("doc_id"), 5, 0)))
+    found = docs.select("doc_id", toxicity.judge(model, F.col("text")).alias("found"))
+    return found.select(
+        "doc_id",
+        in_fold(F.col("doc_id"), 5, 0).alias("held_out"),
+        "found.score",
+        F.when(F.col("found.score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"),
+        F.size("found.passages").alias("n_passages"),
+    )
+
+
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of other labels in a window of scores below each positive of every hundredth vector."""
     vec_id, label = F.col("vec_id"), F.col("label")
@@ -326,6 +341,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_merkle": op11_merkle,
+    "op12_toxicity": op12_toxicity,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
