@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from tests import comparing
+from tillmetrics import oracle, registry
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.all_queries()
+SQL = oracle.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -28,5 +29,9 @@ def test_equals_sql(spark, duck, name):
     assert comparing.difference(mine, comparing.duck_table(duck, SQL[name])) == ""
 
 
+def test_entry_offers_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert {r.customer_segment for r in entry.entry(spark).collect()} == {"VIP", "Regular", "New"}
