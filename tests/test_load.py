@@ -81,7 +81,7 @@ def test_load_stores_all_tables(spark, tmp_path):
     assert [s.row_count for s in statuses] == [1, 1, 2, 1, 1]
     stored = parquet_files.stored_tables(spark, root)
     assert len(stored) == 5 and rows(stored["customers"])[0]["email"] == "user1@example.com"
-    assert {p.name for p in Path(root, "orders").glob("order_month=*")} == {
+    assert {p.name for p in Path(root, "orders").glob("data/*/order_month=*")} == {
         "order_month=2023-03",
         "order_month=2023-04",
     }

@@ -23,7 +23,8 @@ from tillmetrics.quality.rows import (
 )
 from tillmetrics.schemas import TABLES, Table
 from tillmetrics.session import shared_folder
-from tillmetrics.sources import TableSet, csv_files, parquet_files
+from tillmetrics.sources import TableSet, csv_files, key_index, parquet_files
+from tillmetrics.sources.snapshots import EMPTY, Conflict, Part
 
 REPLACE = "overwrite"
 APPEND = "append"
@@ -50,14 +51,11 @@ def gate_rules(table: Table, df: DataFrame) -> list[Rule]:
     return [*rules, Rule("rows", "*", "true")]
 
 
-def validate(df: DataFrame, table: Table, stored: DataFrame | None = None) -> DataFrame:
-    """The load checks of one table; its keys must also be new to ``stored`` rows."""
+def validate(df: DataFrame, table: Table) -> DataFrame:
+    """The load checks of one table."""
     frames = [count_violations(df, table.name, gate_rules(table, df))]
     for column in (table.primary_key, *table.unique):
-        keys = df.select(column)
-        if stored is not None:
-            keys = keys.unionByName(stored.select(column))
-        frames.append(unique_violations(keys, table.name, column))
+        frames.append(unique_violations(df.select(column), table.name, column))
     return stack(frames)
 
 
@@ -91,23 +89,45 @@ def load_table(
 ) -> LoadStatus:
     """Store ``df`` under ``root`` if every check holds, else nothing of it.
 
-    Rows appear only when all tasks of a write have finished, and a replacement
-    only then takes the place of the stored table.
+    Rows are written first, beside the table; the checks of single rows are counted on the
+    way, keys are checked on what was written, those of an append against the index of the
+    stored keys. Only then do the rows become part of the table, in one step. Should another
+    writer have been faster, keys are checked against what it stored.
     """
     spark = df.sparkSession
-    appending = mode == APPEND and parquet_files.is_stored(spark, root, table)
-    stored = parquet_files.read_table(spark, root, table) if appending else None
-    checks = validate(df, table, stored).collect()  # a few dozen rows
-    rows = next(c["violations"] for c in checks if c["check_name"] == "rows")
-    failed = [
-        f"{c['check_name']}({c['column_name']})={c['violations']}"
-        for c in checks
-        if c["check_name"] != "rows" and not c["passed"]
-    ]
-    if failed:
-        return LoadStatus(table.name, False, rows, ", ".join(sorted(failed)))
-    parquet_files.write_table(df, root, table, mode, partitions)
-    return LoadStatus(table.name, True, rows, "")
+    rules = {f"{r.check}({r.column})": r.violated for r in gate_rules(table, df) if r.check != "rows"}
+    part, counts = parquet_files.write_part(df, root, table, partitions, rules)
+    published = False
+    try:
+        part = parquet_files.indexed(spark, root, table, part)
+        rows = parquet_files.read_part(spark, root, table, part)
+        repeated = _surplus(rows, part, table)
+        while not published:
+            base = parquet_files.version(spark, root, table)
+            stored = base if mode == APPEND else EMPTY
+            for column in (table.primary_key, *table.unique):
+                again = key_index.stored_again(
+                    table, f"{root}/{table.name}", stored, column, rows, part.keys.get(column)
+                )
+                counts[f"unique({column})"] = repeated[column] + again
+            failed = sorted(f"{name}={n}" for name, n in counts.items() if n)
+            if failed:
+                return LoadStatus(table.name, False, part.rows, ", ".join(failed))
+            try:
+                parquet_files.publish_part(spark, root, table, base, part, mode)
+                published = True
+            except Conflict:
+                continue
+        return LoadStatus(table.name, True, part.rows, "")
+    finally:
+        if not published:
+            parquet_files.discard_part(spark, root, table, part)
+
+
+def _surplus(rows: DataFrame, part: Part, table: Table) -> dict[str, int]:
+    """Per unique column, the rows beyond the first of each key."""
+    checks = stack([unique_violations(rows, table.name, c) for c in (table.primary_key, *table.unique)])
+    return {r["column_name"]: r["violations"] for r in checks.collect()}  # one row per column
 
 
 def load_tables(

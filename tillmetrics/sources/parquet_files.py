@@ -1,17 +1,18 @@
-"""Published tables: one Parquet folder per table under a root folder."""
+"""Published tables: one folder per table under a root folder, of Parquet files in versions."""
 
 from __future__ import annotations
 
-import uuid
+from dataclasses import replace
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmetrics.functions.dates import year_month
 from tillmetrics.schemas import TABLES, Table
-from tillmetrics.sources import TableSet
+from tillmetrics.sources import TableSet, key_index, snapshots
+from tillmetrics.sources.snapshots import Part, Version, remove
 
 # Where a table is cut into folders, and what its files are ordered by. File and row-group
 # statistics on the leading columns then let scans skip, which is what indexes are for.
@@ -25,7 +26,10 @@ ORDERED_BY = {
 }
 
 
-def declared_columns(df: DataFrame, table: Table) -> DataFrame:
+_FLAGS = "_flags"  # of each row, a bit per condition it meets
+
+
+def declared_columns(df: DataFrame, table: Table, *more: Column) -> DataFrame:
     """Only the declared columns, in order and type; NaN becomes NULL."""
     columns = []
     for f in table.schema.fields:
@@ -33,22 +37,30 @@ def declared_columns(df: DataFrame, table: Table) -> DataFrame:
         if isinstance(f.dataType, T.DoubleType):
             c = F.when(~F.isnan(c), c)
         columns.append(c.alias(f.name))
-    return df.select(*columns)
+    return df.select(*columns, *more)
 
 
-def write_table(
-    df: DataFrame, root: str, table: Table, mode: str = "overwrite", partitions: int | None = None
-) -> None:
-    """Write the declared columns in the table's layout.
+def write_part(
+    df: DataFrame,
+    root: str,
+    table: Table,
+    partitions: int | None = None,
+    rules: dict[str, str] | None = None,
+) -> tuple[Part, dict[str, int]]:
+    """Write the declared columns in the table's layout, in a folder no version lists yet.
 
     Range partitioning on a key that ends in a unique column splits a hot month
     or customer over many tasks and still gives each month few files. Without
     ``partitions`` the session's number of shuffle partitions applies.
 
-    A replacement is written beside the table and takes its place when it is complete,
-    so a failed one leaves the stored rows as they were.
+    ``rules`` are conditions on the rows of ``df`` by name; how many rows meet each is
+    counted while they are written, so that it takes no scan of its own.
     """
-    out = declared_columns(df, table)
+    spark = df.sparkSession
+    rules = rules or {}
+    met = [F.expr(f"IF({condition}, 1L, 0L)") * F.lit(1 << i) for i, condition in enumerate(rules.values())]
+    flags = reduce(lambda a, b: a + b, met, F.lit(0).cast("bigint"))
+    out = declared_columns(df, table, flags.alias(_FLAGS))
     order = ORDERED_BY[table.name]
     folder_column = None
     if table.name in MONTH:
@@ -56,52 +68,71 @@ def write_table(
         out = out.withColumn(folder_column, year_month(moment))
         order = [folder_column, *order]
     keys = order if partitions is None else [partitions, *order]
-    writer = out.repartitionByRange(*keys).sortWithinPartitions(*order).write.mode(mode)
-    # Files appear when the whole job commits, not task by task.
-    writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "1")
+    # Observed behind the exchange, where each row passes once: range partitioning samples what is before.
+    counted = Observation()
+    flag = [F.count_if(F.col(_FLAGS).bitwiseAND(1 << i) != 0).alias(f"rule_{i}") for i in range(len(rules))]
+    dealt = out.repartitionByRange(*keys).sortWithinPartitions(*order)
+    dealt = dealt.observe(counted, F.count("*").alias("rows"), *flag).drop(_FLAGS)
+    writer = dealt.write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "1")
     if folder_column:
         writer = writer.partitionBy(folder_column)
-    target = f"{root}/{table.name}"
-    if mode != "overwrite":
-        writer.parquet(target)
-        return
-    version = f"{root}/.{table.name}-{uuid.uuid4().hex}"
+    folder = snapshots.new_folder()
     try:
-        writer.parquet(version)
-        _take_place(df.sparkSession, version, target)
-    finally:
-        remove(df.sparkSession, version)  # gone already, unless something failed
+        writer.parquet(f"{root}/{table.name}/{folder}")
+    except Exception:
+        remove(spark, f"{root}/{table.name}/{folder}")
+        raise
+    found = counted.get
+    return Part(folder, found["rows"]), {name: found[f"rule_{i}"] for i, name in enumerate(rules)}
 
 
-def _file_system(spark: SparkSession, path: str) -> tuple:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+def discard_part(spark: SparkSession, root: str, table: Table, part: Part) -> None:
+    remove(spark, f"{root}/{table.name}/{part.folder}")
+    remove(spark, f"{root}/{table.name}/{snapshots.index_folder(part)}")
 
 
-def _take_place(spark: SparkSession, version: str, target: str) -> None:
-    """Rename ``version`` to ``target``, whose former folder is removed afterwards.
+def read_part(spark: SparkSession, root: str, table: Table, part: Part) -> DataFrame:
+    return _read(spark, root, table, (part,))
 
-    Should the driver be lost between the two renames, the former folder is
-    ``<version>-former`` and needs renaming back by hand.
-    """
-    files, new = _file_system(spark, version)
-    _, place = _file_system(spark, target)
-    _, former = _file_system(spark, f"{version}-former")
-    replaces = files.exists(place)
-    if replaces and not files.rename(place, former):
-        raise OSError(f"{target} cannot be replaced")
-    if not files.rename(new, place):
-        if replaces:
-            files.rename(former, place)
-        raise OSError(f"{version} cannot be renamed to {target}")
-    if replaces:
-        files.delete(former, True)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of intermediate files, if it exists."""
-    files, place = _file_system(spark, path)
-    files.delete(place, True)
+
+def indexed(spark: SparkSession, root: str, table: Table, part: Part) -> Part:
+    """The part with the ranges of its keys, their index written beside it."""
+    rows = read_part(spark, root, table, part)
+    keys = key_index.ranges(rows, (table.primary_key, *table.unique))
+    key_index.write(rows, keys, f"{root}/{table.name}/{snapshots.index_folder(part)}")
+    return replace(part, keys=keys)
+
+
+def publish_part(
+    spark: SparkSession, root: str, table: Table, base: Version, part: Part, mode: str = "overwrite"
+) -> Version:
+    """Let the part take the table's place, or join its rows, in one step."""
+    parts = (part,) if mode == "overwrite" else (*base.parts, part)
+    return snapshots.publish(spark, f"{root}/{table.name}", base, parts)
+
+
+def write_table(
+    df: DataFrame, root: str, table: Table, mode: str = "overwrite", partitions: int | None = None
+) -> None:
+    """Store rows without any check; ``load.load_table`` checks them first."""
+    spark = df.sparkSession
+    part = indexed(spark, root, table, write_part(df, root, table, partitions)[0])
+    try:
+        publish_part(spark, root, table, version(spark, root, table), part, mode)
+    except snapshots.Conflict:
+        discard_part(spark, root, table, part)
+        raise
+
+
+def version(spark: SparkSession, root: str, table: Table) -> Version:
+    """What readers of the table see now."""
+    return snapshots.newest(spark, f"{root}/{table.name}")
+
+
+def vacuum(spark: SparkSession, root: str, hours: float = 24.0) -> None:
+    """Remove rows that were replaced, and what failed writes left, longer ago than ``hours``."""
+    for name in TABLES:
+        snapshots.vacuum(spark, f"{root}/{name}", hours)
 
 
 def staged(df: DataFrame, path: str) -> DataFrame:
@@ -110,11 +141,19 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
+def _read(spark: SparkSession, root: str, table: Table, parts: tuple[Part, ...]) -> DataFrame:
     schema = T.StructType(list(table.schema.fields))
     if table.name in MONTH:
         schema = schema.add(MONTH[table.name][0], T.StringType())
-    return spark.read.schema(schema).parquet(f"{root}/{table.name}")
+    return snapshots.read(spark, f"{root}/{table.name}", parts, schema)
+
+
+def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    """The table's rows as of now; later versions do not change what the frame reads."""
+    now = version(spark, root, table)
+    if not now.parts:
+        raise FileNotFoundError(f"{root}/{table.name} is not stored")
+    return _read(spark, root, table, now.parts)
 
 
 def stored_tables(spark: SparkSession, root: str) -> TableSet:
@@ -122,31 +161,22 @@ def stored_tables(spark: SparkSession, root: str) -> TableSet:
 
 
 def is_stored(spark: SparkSession, root: str, table: Table) -> bool:
-    try:
-        read_table(spark, root, table)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+    return bool(version(spark, root, table).parts)
 
 
-def create_tables(spark: SparkSession, root: str, database: str = "default") -> None:
-    """Declare the five tables in the catalog over ``root``, where they do not exist yet."""
+def create_tables(
+    spark: SparkSession, root: str, database: str = "default", refresh: bool = False
+) -> None:
+    """Declare the five tables in the catalog over ``root``, where they do not exist yet.
+
+    They are views of the versions that are stored now, empty ones of tables that are
+    not; ``refresh`` moves existing ones to the newest versions.
+    """
+    create = "CREATE OR REPLACE VIEW" if refresh else "CREATE VIEW IF NOT EXISTS"
     for table in TABLES.values():
-        fields = [
-            f"`{f.name}` {f.dataType.simpleString()}" + ("" if f.nullable else " NOT NULL")
-            for f in table.schema.fields
-        ]
-        partition = ""
-        if table.name in MONTH:
-            column = MONTH[table.name][0]
-            fields.append(f"`{column}` string")
-            partition = f" PARTITIONED BY (`{column}`)"
-        name = f"`{database}`.`{table.name}`"
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(fields)}) USING parquet{partition} "
-            f"COMMENT '{table.description}' LOCATION '{root}/{table.name}'"
-        )
-        if partition and is_stored(spark, root, table):
-            spark.sql(f"MSCK REPAIR TABLE {name}")
+        columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in table.schema.fields)
+        missing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in table.schema.fields)
+        parts = [p for p in version(spark, root, table).parts if p.rows]
+        selects = [f"SELECT {columns} FROM parquet.`{root}/{table.name}/{p.folder}`" for p in parts]
+        body = " UNION ALL ".join(selects) or f"SELECT {missing} WHERE false"
+        spark.sql(f"{create} `{database}`.`{table.name}` COMMENT '{table.description}' AS {body}")
