@@ -20,15 +20,20 @@ TABLE_SQL = {
                c_custkey % 10 <> 0 AS is_active
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "products": """
-        SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
-               p_brand AS subcategory, CAST(p_retailprice AS DECIMAL(18,2)) AS price,
-               CAST(CAST(p_retailprice AS DECIMAL(18,2))
-                    * CAST(0.5 * (1 + p_partkey % 5) AS DECIMAL(4,1)) AS DECIMAL(18,2))
+        SELECT p_partkey AS product_id, p_name AS product_name, category,
+               p_brand AS subcategory, price,
+               CAST(price * CAST(0.5 * (1 + p_partkey % 5) AS DECIMAL(4,1)) AS DECIMAL(18,2))
                  AS cost_price,
-               p_size * 100 AS stock_quantity, p_brand AS supplier,
+               p_size * 10 AS stock_quantity, p_brand AS supplier,
                CAST('1995-01-01' AS DATE) + CAST(p_partkey % 365 AS INT) AS creation_date,
                p_partkey % 20 <> 0 AS is_active
-        FROM part""",
+        FROM (SELECT *, CAST(p_retailprice / CASE WHEN category = 'Electronics' AND p_partkey % 4 = 0
+                             THEN 10 ELSE 1 END AS DECIMAL(18,2)) AS price
+              FROM (SELECT *, CASE p_type WHEN 'LARGE' THEN 'Electronics' WHEN 'STANDARD' THEN 'Clothing'
+                                          WHEN 'MEDIUM' THEN 'Home & Garden' WHEN 'ECONOMY' THEN 'Books'
+                                          WHEN 'PROMO' THEN CASE WHEN p_partkey % 2 = 0 THEN 'Sports'
+                                                                 ELSE 'Outlet' END
+                                          ELSE 'Beauty' END AS category FROM part))""",
     "orders": """
         SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_date,
                CASE o_orderstatus WHEN 'P' THEN 'cancelled' WHEN 'F' THEN 'delivered'

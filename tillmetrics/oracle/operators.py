@@ -207,16 +207,16 @@ SELECT product_id, substr(product_name, 1, 16) AS short_name,
        replace(subcategory, 'Brand#', '') AS brand_number
 FROM v_products""",
     "scalar_lookup_default": """
-WITH rules(category, low, high, tenths) AS (VALUES
-  ('Electronics', 10, 100, 12), ('Clothing', 20, 200, 10), ('Books', 50, 500, 7),
-  ('Sports', 10, 100, 9), ('Home & Garden', 15, 150, 8), ('Beauty', 25, 250, 11))
+WITH rules(category, multiplier, low, high) AS (VALUES
+  ('Electronics', 1.2, 10, 100), ('Clothing', 1.0, 20, 200), ('Books', 0.7, 50, 500),
+  ('Sports', 0.9, 10, 100), ('Home & Garden', 0.8, 15, 150), ('Beauty', 1.1, 25, 250))
 SELECT p.product_id,
        CASE WHEN p.category = 'Electronics' AND p.price > 100 THEN 5
             ELSE coalesce(r.low, 10) END AS least_stock,
        CASE WHEN p.category = 'Electronics' AND p.price > 100 THEN 50
             ELSE coalesce(r.high, 100) END AS stock_below,
-       CAST(coalesce(r.tenths, 10) AS DOUBLE) / 2 AS lowest_price,
-       CAST(coalesce(r.tenths, 10) AS DOUBLE) * 50 AS highest_price
+       CAST(5 * coalesce(r.multiplier, 1.0) AS DOUBLE) AS lowest_price,
+       CAST(500 * coalesce(r.multiplier, 1.0) AS DOUBLE) AS highest_price
 FROM v_products p LEFT JOIN rules r ON p.category = r.category""",
     "scalar_null_test": """
 SELECT customer_tier, count(*) FILTER (loyalty_score IS NULL OR isnan(loyalty_score)) AS missing,

@@ -4,21 +4,62 @@ from __future__ import annotations
 
 # What each table must keep, written out for the SQL.
 _CRITICAL = {
-    "customers": "customer_id email first_name last_name",
-    "products": "product_id product_name price",
-    "orders": "order_id customer_id order_date total_amount",
-    "order_items": "order_item_id order_id product_id quantity",
-    "payments": "payment_id order_id amount payment_status",
+    "customers": ["customer_id", "email", "first_name", "last_name"],
+    "products": ["product_id", "product_name", "price"],
+    "orders": ["order_id", "customer_id", "order_date", "total_amount"],
+    "order_items": ["order_item_id", "order_id", "product_id", "quantity"],
+    "payments": ["payment_id", "order_id", "amount", "payment_status"],
 }
 _REQUIRED = {
-    "customers": "customer_id first_name last_name email signup_date customer_tier country city "
-    "loyalty_score",
-    "products": "product_id product_name category subcategory price cost_price stock_quantity "
-    "supplier creation_date",
-    "orders": "order_id customer_id order_date status shipping_country shipping_city total_amount",
-    "order_items": "order_item_id order_id product_id quantity unit_price subtotal",
-    "payments": "payment_id order_id payment_method amount payment_status payment_date "
-    "transaction_id risk_score",
+    "customers": [
+        "customer_id",
+        "first_name",
+        "last_name",
+        "email",
+        "signup_date",
+        "customer_tier",
+        "country",
+        "city",
+        "loyalty_score",
+    ],
+    "products": [
+        "product_id",
+        "product_name",
+        "category",
+        "subcategory",
+        "price",
+        "cost_price",
+        "stock_quantity",
+        "supplier",
+        "creation_date",
+    ],
+    "orders": [
+        "order_id",
+        "customer_id",
+        "order_date",
+        "status",
+        "shipping_country",
+        "shipping_city",
+        "total_amount",
+    ],
+    "order_items": [
+        "order_item_id",
+        "order_id",
+        "product_id",
+        "quantity",
+        "unit_price",
+        "subtotal",
+    ],
+    "payments": [
+        "payment_id",
+        "order_id",
+        "payment_method",
+        "amount",
+        "payment_status",
+        "payment_date",
+        "transaction_id",
+        "risk_score",
+    ],
 }
 _LENGTHS = {
     "customers": {
@@ -80,9 +121,9 @@ def _count(table: str, check: str, column: str, condition: str) -> str:
     return _check(table, check, column, f"count(*) FILTER ({condition})", _view(table))
 
 
-def _nulls(columns: dict[str, str], check: str) -> list[str]:
+def _nulls(columns: dict[str, list[str]], check: str) -> list[str]:
     return [
-        _count(t, check, c, f"{c} IS NULL") for t, names in columns.items() for c in names.split()
+        _count(t, check, c, f"{c} IS NULL") for t, names in columns.items() for c in names
     ]
 
 
@@ -101,20 +142,59 @@ def _reference(table: str, column: str, parent: str) -> str:
     return _check(table, "reference", column, "count(*)", f"({orphan})")
 
 
+# Columns and types of the tables.
 _TYPES = {
-    "customers": "customer_id bigint, first_name string, last_name string, email string, "
-    "signup_date date, customer_tier string, country string, city string, loyalty_score double, "
-    "is_active boolean",
-    "products": "product_id bigint, product_name string, category string, subcategory string, "
-    "price decimal(18.2), cost_price decimal(18.2), stock_quantity int, supplier string, "
-    "creation_date date, is_active boolean",
-    "orders": "order_id bigint, customer_id bigint, order_date timestamp_ntz, status string, "
-    "shipping_country string, shipping_city string, total_amount decimal(18.2)",
-    "order_items": "order_item_id bigint, order_id bigint, product_id bigint, quantity int, "
-    "unit_price decimal(18.2), subtotal decimal(18.2)",
-    "payments": "payment_id bigint, order_id bigint, payment_method string, "
-    "amount decimal(18.2), payment_status string, payment_date timestamp_ntz, "
-    "transaction_id string, risk_score double",
+    "customers": [
+        ("customer_id", "bigint"),
+        ("first_name", "string"),
+        ("last_name", "string"),
+        ("email", "string"),
+        ("signup_date", "date"),
+        ("customer_tier", "string"),
+        ("country", "string"),
+        ("city", "string"),
+        ("loyalty_score", "double"),
+        ("is_active", "boolean"),
+    ],
+    "products": [
+        ("product_id", "bigint"),
+        ("product_name", "string"),
+        ("category", "string"),
+        ("subcategory", "string"),
+        ("price", "decimal(18,2)"),
+        ("cost_price", "decimal(18,2)"),
+        ("stock_quantity", "int"),
+        ("supplier", "string"),
+        ("creation_date", "date"),
+        ("is_active", "boolean"),
+    ],
+    "orders": [
+        ("order_id", "bigint"),
+        ("customer_id", "bigint"),
+        ("order_date", "timestamp_ntz"),
+        ("status", "string"),
+        ("shipping_country", "string"),
+        ("shipping_city", "string"),
+        ("total_amount", "decimal(18,2)"),
+    ],
+    "order_items": [
+        ("order_item_id", "bigint"),
+        ("order_id", "bigint"),
+        ("product_id", "bigint"),
+        ("quantity", "int"),
+        ("unit_price", "decimal(18,2)"),
+        ("subtotal", "decimal(18,2)"),
+    ],
+    "payments": [
+        ("payment_id", "bigint"),
+        ("order_id", "bigint"),
+        ("payment_method", "string"),
+        ("amount", "decimal(18,2)"),
+        ("payment_status", "string"),
+        ("payment_date", "timestamp_ntz"),
+        ("transaction_id", "string"),
+        ("risk_score", "double"),
+    ],
 }
 _DESCRIPTIONS = {
     "customers": "One row per customer with contact, place, tier and loyalty score",
@@ -125,13 +205,8 @@ _DESCRIPTIONS = {
 }
 
 
-def _columns(table: str) -> list[tuple[str, str]]:
-    pairs = [c.split() for c in _TYPES[table].split(", ")]
-    return [(name, kind.replace("18.2", "18,2")) for name, kind in pairs]
-
-
 def _profile(table: str) -> list[str]:
-    columns = _columns(table)
+    columns = _TYPES[table]
     return [
         f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS total_rows, "
         f"{len(columns)} AS total_columns, count(*) FILTER ({c} IS NULL) AS null_count "
@@ -145,7 +220,7 @@ def _document(table: str) -> list[str]:
         f"SELECT '{table}' AS table_name, {i + 1} AS position, '{c}' AS column_name, "
         f"'{kind}' AS data_type, count(*) AS row_count, "
         f"'{_DESCRIPTIONS[table]}' AS description FROM {_view(table)}"
-        for i, (c, kind) in enumerate(_columns(table))
+        for i, (c, kind) in enumerate(_TYPES[table])
     ]
 
 
@@ -201,18 +276,32 @@ def _priced(table: str, check: str, column: str, condition: str) -> str:
     return _check(table, check, column, f"count(*) FILTER ({condition})", source)
 
 
-# The files' categories are none of the six, so the default price and stock ranges apply.
+# What price and stock of a category keep to, and those of any other category.
+_CATEGORY_RULES = """
+rules(category, multiplier, low, high) AS (VALUES
+  ('Electronics', 1.2, 10, 100), ('Clothing', 1.0, 20, 200), ('Books', 0.7, 50, 500),
+  ('Sports', 0.9, 10, 100), ('Home & Garden', 0.8, 15, 150), ('Beauty', 1.1, 25, 250))"""
+# Every product with its multiplier and stock range; dear electronics have one of their own.
+_RULED = """(
+  SELECT p.*, coalesce(multiplier, 1.0) AS multiplier,
+         CASE WHEN p.category = 'Electronics' AND price > 100 THEN 5 ELSE coalesce(low, 10) END AS low,
+         CASE WHEN p.category = 'Electronics' AND price > 100 THEN 50 ELSE coalesce(high, 100) END AS high
+  FROM v_products p LEFT JOIN rules r ON r.category = p.category)"""
+
+
+def _ruled(check: str, column: str, condition: str) -> str:
+    return _check("products", check, column, f"count(*) FILTER ({condition})", _RULED)
+
+
 _PRICING = [
-    _priced("products", "price_range", "price", "price NOT BETWEEN 5 AND 500"),
+    _ruled("price_range", "price", "price < 5 * multiplier OR price > 500 * multiplier"),
     _priced(
         "products",
         "cost_range",
         "cost_price",
         "cost_price < price * 0.3 - 0.005 OR cost_price > price * 0.7 + 0.005",
     ),
-    _priced(
-        "products", "stock_range", "stock_quantity", "stock_quantity < 10 OR stock_quantity >= 100"
-    ),
+    _ruled("stock_range", "stock_quantity", "stock_quantity < low OR stock_quantity >= high"),
     _priced(
         "order_items",
         "discount_range",
@@ -221,15 +310,27 @@ _PRICING = [
     ),
 ]
 
+
+def issues(table: str, only: str = "true") -> str:
+    """What keeps a table from being loaded, as text; empty if nothing does."""
+    counts = [(f"null({c})", f"count(*) FILTER ({c} IS NULL)") for c in _CRITICAL[table]]
+    counts += [(f"required({c})", f"count(*) FILTER ({c} IS NULL)") for c in _REQUIRED[table]]
+    counts += [
+        (f"range({c})", f"count(*) FILTER ({condition})")
+        for t, check, c, condition in _RANGES
+        if t == table and check == "range"
+    ]
+    counts += [(f"unique({c})", f"(count({c}) - count(DISTINCT {c}))") for t, c in _UNIQUE if t == table]
+    found = ", ".join(f"CASE WHEN {n} > 0 THEN '{name}=' || {n} END" for name, n in counts)
+    return f"array_to_string(list_sort(list_filter([{found}], lambda x: x IS NOT NULL)), ', ')"
+
+
 def _validation(table: str) -> str:
-    """Every load check holds in the files, except that line ids repeat."""
-    columns = [c for c, _ in _columns(table)]
+    columns = [c for c, _ in _TYPES[table]]
     nulls = " + ".join(f"count(*) FILTER ({c} IS NULL)" for c in columns)
-    repeated = "(count(*) - count(DISTINCT order_item_id))" if table == "order_items" else "0"
     return (
-        f"SELECT '{table}' AS table_name, {repeated} = 0 AS is_valid, "
-        f"CASE WHEN {repeated} > 0 THEN 'unique(order_item_id)=' || {repeated} ELSE '' END "
-        f"AS issues, count(*) AS total_rows, {len(columns)} AS total_columns, "
+        f"SELECT '{table}' AS table_name, {issues(table)} = '' AS is_valid, "
+        f"{issues(table)} AS issues, count(*) AS total_rows, {len(columns)} AS total_columns, "
         f"CAST({nulls} AS BIGINT) AS null_values FROM {_view(table)}"
     )
 
@@ -270,7 +371,7 @@ SELECT verdict, count(*) AS order_count FROM reconciled GROUP BY verdict""",
     "dq_payment_reconciliation": _all(
         [_payment(check, column, c) for (check, column), c in _PAYMENT_RULES.items()]
     ),
-    "dq_pricing": _all(_PRICING),
+    "dq_pricing": f"WITH {_CATEGORY_RULES} {_all(_PRICING)}",
     "dq_violating_payments": _violating_payments(),
     "dq_duplicate_keys": """
 SELECT order_item_id, count(*) AS copies FROM v_order_items

@@ -24,8 +24,8 @@ lived AS (
   FROM per_customer),
 ltv AS (
   SELECT *, total_revenue / NULLIF(customer_lifetime_days, 0) * 365 AS estimated_annual_clv,
-         CASE WHEN total_orders < 2 THEN 'New' WHEN total_orders < 5 THEN 'Regular'
-              ELSE 'VIP' END AS customer_segment
+         CASE WHEN total_orders >= 5 THEN 'VIP' WHEN total_orders >= 2 THEN 'Regular'
+              ELSE 'New' END AS customer_segment
   FROM lived)
 """
 

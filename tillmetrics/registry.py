@@ -21,9 +21,9 @@ from tillmetrics.plans import (
     trends,
 )
 from tillmetrics.quality import integrity, keys, profile, reconcile, rows, stack
-from tillmetrics.schemas import CUSTOMERS, ORDERS, PAYMENTS, PRODUCTS, TABLES, Table
+from tillmetrics.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS, PAYMENTS, PRODUCTS, TABLES, Table
 from tillmetrics.session import shared_folder
-from tillmetrics.sources import csv_files, parquet_files
+from tillmetrics.sources import TableSet, csv_files, parquet_files
 from tillmetrics.sources.star_files import star_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,6 +200,79 @@ def _load_report(spark: SparkSession, folder: str) -> DataFrame:
     return load.status_frame(spark, load.load_tables(star_tables(spark, folder, True), root))
 
 
+def _load_report_json(spark: SparkSession, folder: str) -> DataFrame:
+    """The report that a load writes, read back: a row per table."""
+    root = shared_folder(spark, "load")
+    statuses = load.load_tables(star_tables(spark, folder, True), root)
+    load.write_report(spark, statuses, root, f"{root}-report")
+    report = spark.read.schema(
+        "success_rate string, summary string, tables map<string,boolean>"
+    ).json(f"{root}-report")
+    return report.select(F.explode("tables").alias("table_name", "ok"), "success_rate", "summary")
+
+
+def _append_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Store the orders of even ids, append the others, read all."""
+    root = shared_folder(spark, "stored")
+    orders = star_tables(spark, folder, shipping=True)["orders"]
+    statuses = [
+        load.load_table(orders.filter("order_id % 2 = 0"), ORDERS, root),
+        load.load_table(orders.filter("order_id % 2 = 1"), ORDERS, root, load.APPEND),
+    ]
+    load.require_all(statuses)
+    return _as_doubles(parquet_files.read_table(spark, root, ORDERS))
+
+
+def _load_refused(spark: SparkSession, folder: str) -> DataFrame:
+    """Loads that must fail, one by one: why, and what is stored afterwards."""
+    root = shared_folder(spark, "stored")
+    tables = star_tables(spark, folder, shipping=True)
+    faulty = [
+        ("orders", ORDERS, lambda: tables["orders"]),
+        ("orders again", ORDERS, lambda: tables["orders"].filter("order_id % 3 = 0")),
+        (
+            "customers without city",
+            CUSTOMERS,
+            lambda: tables["customers"].withColumn("city", F.expr("IF(customer_id % 11 <> 0, city, NULL)")),
+        ),
+        (
+            "products below zero",
+            PRODUCTS,
+            lambda: tables["products"].withColumn("price", F.expr("IF(product_id % 7 = 0, -price, price)")),
+        ),
+        (
+            "payments from a file that is not there",
+            PAYMENTS,
+            lambda: csv_files.read_csv(spark, f"{root}/nowhere.csv", PAYMENTS),
+        ),
+    ]
+    found = []
+    for step, table, rows_of in faulty:
+        source = TableSet({table.name: rows_of})
+        (status,) = load.load_tables(source, root, load.APPEND, names=[table.name])
+        stored = parquet_files.version(spark, root, table)
+        found.append((step, status.ok, status.row_count, status.reason, sum(p.rows for p in stored.parts)))
+    return spark.createDataFrame(
+        found, "step string, ok boolean, row_count bigint, reason string, stored_rows bigint"
+    )
+
+
+def _catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Declare stored tables in the catalog and ask them in SQL."""
+    root = shared_folder(spark, "stored")
+    tables = star_tables(spark, folder, shipping=True)
+    for table in (CUSTOMERS, ORDERS):
+        parquet_files.write_table(tables[table.name], root, table)
+    database = f"tillmetrics_{root.rsplit('-', 1)[-1]}"
+    spark.sql(f"CREATE DATABASE {database}")
+    parquet_files.create_tables(spark, root, database)
+    return spark.sql(
+        "SELECT c.country, o.status, count(*) AS order_count, CAST(sum(o.total_amount) AS DOUBLE) AS revenue "
+        f"FROM {database}.customers c JOIN {database}.orders o ON c.customer_id = o.customer_id "
+        "GROUP BY c.country, o.status"
+    )
+
+
 def _load_then_segments(spark: SparkSession, folder: str) -> DataFrame:
     """Load the tables a report needs, then run it on the stored ones."""
     root = shared_folder(spark, "load")
@@ -224,9 +297,18 @@ FILES: dict[str, Query] = {
     "csv_round_trip_customers": _csv_round_trip(CUSTOMERS),
     "csv_round_trip_products": _csv_round_trip(PRODUCTS),
     "csv_round_trip_orders": _csv_round_trip(ORDERS),
+    "csv_round_trip_order_items": _csv_round_trip(ORDER_ITEMS),
+    "csv_round_trip_payments": _csv_round_trip(PAYMENTS),
+    "stored_customers": _stored(CUSTOMERS),
+    "stored_products": _stored(PRODUCTS),
     "stored_orders": _stored(ORDERS),
+    "stored_order_items": _stored(ORDER_ITEMS),
     "stored_payments": _stored(PAYMENTS),
+    "append_orders": _append_orders,
+    "load_refused": _load_refused,
     "load_report": _load_report,
+    "load_report_json": _load_report_json,
+    "catalog_tables": _catalog_tables,
     "load_then_segments": _load_then_segments,
     "sql_text": _sql_text,
 }

@@ -51,16 +51,28 @@ def star_tables(spark: SparkSession, folder: str, shipping: bool = False) -> Tab
         )
 
     def products() -> DataFrame:
-        priced = read("part").withColumn("price", F.expr("CAST(p_retailprice AS decimal(18,2))"))
+        # Every category, one that is none of them, and electronics below 100 as well as above.
+        named = read("part").withColumn(
+            "category",
+            F.expr(
+                "CASE p_type WHEN 'LARGE' THEN 'Electronics' WHEN 'STANDARD' THEN 'Clothing' "
+                "WHEN 'MEDIUM' THEN 'Home & Garden' WHEN 'ECONOMY' THEN 'Books' "
+                "WHEN 'PROMO' THEN IF(p_partkey % 2 = 0, 'Sports', 'Outlet') ELSE 'Beauty' END"
+            ),
+        )
+        cheap = "category = 'Electronics' AND p_partkey % 4 = 0"
+        priced = named.withColumn(
+            "price", F.expr(f"CAST(p_retailprice / IF({cheap}, 10, 1) AS decimal(18,2))")
+        )
         return priced.selectExpr(
             "p_partkey AS product_id",
             "p_name AS product_name",
-            "p_type AS category",
+            "category",
             "p_brand AS subcategory",
             "price",
             "CAST(price * CAST(0.5 * (1 + p_partkey % 5) AS decimal(4,1)) AS decimal(18,2)) "
             "AS cost_price",
-            "p_size * 100 AS stock_quantity",
+            "p_size * 10 AS stock_quantity",
             "p_brand AS supplier",
             "DATE'1995-01-01' + CAST(p_partkey % 365 AS int) AS creation_date",
             "p_partkey % 20 <> 0 AS is_active",
