@@ -31,7 +31,9 @@ def test_run_writes_all_reports(spark, folder):
     )
     assert [s.reason for s in statuses] == [""] * 5
     found = {p.name for p in Path(folder, "out").iterdir()}
-    assert len(found) == 12 and {"load", "schema", "kpi_dashboard", "tier_summary"} <= found
+    assert len(found) == 13 and {"load", "schema", "integrity", "kpi_dashboard", "tier_summary"} <= found
+    lost = spark.read.parquet(f"{folder}/out/integrity").filter("check_name = 'reference'")
+    assert lost.count() == 4 and lost.filter("NOT passed").count() > 0  # the files hold orphans
     best = spark.read.parquet(f"{folder}/out/top_products")
     assert best.count() == 5
     (part,) = Path(folder, "out", "schema").glob("part-*.json")

@@ -42,17 +42,44 @@ def order_lines(tables: Tables) -> DataFrame:
     )
 
 
-def left_join_split(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+HOT_ROWS = 1_000_000  # fewer rows of a key are no burden to one task
+_TRACKED = 1 << 16  # keys that a sketch follows; it misses none with a ten-thousandth of the rows
+_LISTED = 1000  # keys that a sketch returns
+
+
+def frequent_keys(df: DataFrame, key: str, least_rows: int) -> dict[object, int]:
+    """Keys with about ``least_rows`` rows or more, and how many, from one pass over the key.
+
+    The sketch (of the Misra-Gries kind) keeps a bounded number of counters per task.
+    A key with a ten-thousandth of all rows is always among them.
+    """
+    top = F.expr(f"approx_top_k(`{key}`, {_LISTED}, {_TRACKED})").alias("top")
+    found = df.filter(F.col(key).isNotNull()).agg(top).first()["top"]
+    return {r["item"]: r["count"] for r in found or [] if r["count"] >= least_rows}
+
+
+def left_join_split(
+    left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Left join for a right side whose rows may pile up on one key.
 
-    Spark splits a hot key of either side of an inner join, but not of the
-    optional side of an outer one. So the rows with a partner are joined inner,
-    and those without are found against the distinct keys. Apart from the key
-    the two sides must not share column names.
+    Spark splits a hot key of either side of an inner join, but not of the optional side of an
+    outer one. So hot keys are found first, and the right side's rows of just these are dealt to
+    salts, as many as a key has shares of ``hot_rows``; the left side's rows of these keys
+    meet every salt. Each has a partner under some salt, hence those without one are no
+    result. Both sides are read once. Apart from the key they must not share column names.
     """
-    matched = left.join(right, key)
-    alone = left.join(right.select(key).distinct(), key, "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
+    shares = {k: -(-n // hot_rows) for k, n in frequent_keys(right, key, hot_rows).items()}
+    shares = {k: n for k, n in shares.items() if n > 1}
+    if not shares:
+        return left.join(right, key, "left")
+    pairs = [F.lit(x).cast(t) for k, n in shares.items() for x, t in ((k, right.schema[key].dataType), (n, "int"))]
+    salts = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(key)), F.lit(1))
+    dealt = right.withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), salts).cast("int"))
+    dealt = dealt.withColumn("_met", F.lit(True))
+    spread = left.withColumn("_salts", salts).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
+    joined = spread.join(dealt, [key, "_salt"], "left")
+    return joined.filter((F.col("_salts") == 1) | F.col("_met")).drop("_salt", "_salts", "_met")
 
 
 def orders_with_payments(tables: Tables) -> DataFrame:

@@ -6,10 +6,13 @@ no join or window downstream ever meets its raw rows.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmetrics.functions.amounts import sum_cents
+from tillmetrics.schemas import TABLES
 
 CANCELLED = "cancelled"
 
@@ -29,6 +32,20 @@ def count_key(column: Column | str, unique_keys: bool) -> Column:
     return F.count(column) if unique_keys else F.count_distinct(column)
 
 
+def parent(tables: Mapping[str, DataFrame], name: str, unique_keys: bool) -> DataFrame:
+    """A table that others refer to by its key.
+
+    A key on two of its rows would join every child twice. Loading makes sure there is
+    none; tables from elsewhere (``unique_keys=False``) are looked through, and refused.
+    """
+    df, key = tables[name], TABLES[name].primary_key
+    if not unique_keys:
+        repeated = df.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").first()
+        if repeated:
+            raise ValueError(f"{name}.{key} {repeated[key]} is on {repeated['count']} rows; it must be unique")
+    return df
+
+
 def orders_by_customer(orders: DataFrame, unique_keys: bool = True) -> DataFrame:
     return orders.groupBy("customer_id").agg(
         count_key("order_id", unique_keys).alias("total_orders"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillmetrics import load
 from tillmetrics.plans import Tables, cohorts, customers, kpi, payments, products, trends
+from tillmetrics.quality.integrity import check_integrity
 from tillmetrics.quality.profile import schema_document
 from tillmetrics.sources.parquet_files import stored_tables
 
@@ -51,11 +52,17 @@ def run(
     mode: str = load.REPLACE,
     multi_line: bool = False,
 ) -> list[load.LoadStatus]:
-    """Load, then report; raises when a table was refused, after writing the load report."""
+    """Load, check the tables against each other, then report.
+
+    Raises when a table was refused, after writing the load report. Lost references and unsound
+    values stop nothing: they are written as ``integrity``, a row per check, beside the reports
+    from whose inner joins such rows are missing.
+    """
     statuses = load.load_csv_folder(spark, csv_folder, root, mode, multi_line=multi_line)
     load.write_report(spark, statuses, root, f"{report_folder}/load")
     load.require_all(statuses)
     tables = stored_tables(spark, root)
+    check_integrity(tables).coalesce(1).write.mode("overwrite").parquet(f"{report_folder}/integrity")
     write_schema_document(tables, f"{report_folder}/schema")
     for name, report in all_reports(tables, as_of).items():
         report.write.mode("overwrite").parquet(f"{report_folder}/{name}")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillmetrics.functions.amounts import rounded_percent, sum_cents, to_amount
 from tillmetrics.functions.dates import year_month
 from tillmetrics.functions.labels import full_name
-from tillmetrics.operators.rollups import count_key, live
+from tillmetrics.operators.rollups import count_key, live, parent
 from tillmetrics.plans import Tables
 
 
@@ -33,7 +33,7 @@ def _activity(tables: Tables, unique_keys: bool) -> DataFrame:
 def customer_monthly_activity(tables: Tables, unique_keys: bool = True) -> DataFrame:
     return (
         _activity(tables, unique_keys)
-        .join(tables["customers"], "customer_id")
+        .join(parent(tables, "customers", unique_keys), "customer_id")
         .select(
             "customer_id",
             full_name().alias("customer_name"),
@@ -52,7 +52,7 @@ def cohort_activity(tables: Tables, unique_keys: bool = True) -> DataFrame:
     Activity has one row per customer and month, so customers are counted by rows.
     """
     known = _activity(tables, unique_keys).join(
-        tables["customers"].select("customer_id"), "customer_id", "left_semi"
+        parent(tables, "customers", unique_keys).select("customer_id"), "customer_id", "left_semi"
     )
     return known.groupBy(
         F.col("first_order_month").alias("cohort_month"),

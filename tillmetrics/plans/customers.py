@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillmetrics.functions.amounts import ratio, rounded_amount, to_amount
 from tillmetrics.functions.dates import days_between
 from tillmetrics.functions.labels import customer_segment, full_name
-from tillmetrics.operators.rollups import count_key, live, orders_by_customer
+from tillmetrics.operators.rollups import count_key, live, orders_by_customer, parent
 from tillmetrics.plans import Tables
 
 
@@ -18,7 +18,7 @@ def customer_ltv(tables: Tables, unique_keys: bool = True) -> DataFrame:
     A customer with a single order time has no lifetime, hence no yearly value.
     """
     per_customer = orders_by_customer(live(tables["orders"]), unique_keys)
-    joined = per_customer.join(tables["customers"], "customer_id")
+    joined = per_customer.join(parent(tables, "customers", unique_keys), "customer_id")
     measured = joined.select(
         "customer_id",
         full_name().alias("customer_name"),
@@ -64,7 +64,7 @@ def customer_geography(
 ) -> DataFrame:
     """Customers, orders and revenue per city; customers without orders count too."""
     per_customer = orders_by_customer(live(tables["orders"]), unique_keys)
-    customers = tables["customers"].select("customer_id", "country", "city")
+    customers = parent(tables, "customers", unique_keys).select("customer_id", "country", "city")
     revenue = F.sum("revenue_cents")
     customer_count = count_key("customer_id", unique_keys)
     return (

@@ -20,6 +20,7 @@ from tillmetrics.operators.rollups import (
     count_key,
     live,
     live_sales_by_product,
+    parent,
     sales_by_product,
 )
 from tillmetrics.plans import REFERENCE, Tables, is_corrected
@@ -154,7 +155,7 @@ def sales_by_category_tier(tables: Tables, unique_keys: bool = True) -> DataFram
     are counted at those grains instead of by two distinct counts over all lines.
     ``avg_order_value`` is customarily the mean amount of a line.
     """
-    catalogue = tables["products"].select(
+    catalogue = parent(tables, "products", unique_keys).select(
         "product_id", "category", (cents("price") - cents("cost_price")).alias("unit_profit")
     )
     by_order = (
@@ -168,14 +169,17 @@ def sales_by_category_tier(tables: Tables, unique_keys: bool = True) -> DataFram
             F.sum(F.col("quantity") * F.col("unit_profit")).alias("profit"),
         )
     )
-    sold = by_order.join(live(tables["orders"]).select("order_id", "customer_id"), "order_id")
+    orders = live(parent(tables, "orders", unique_keys)).select("order_id", "customer_id")
+    sold = by_order.join(orders, "order_id")
     by_customer = sold.groupBy("customer_id", "category").agg(
         count_key("order_id", unique_keys).alias("orders"),
         *[F.sum(c).alias(c) for c in ("lines", "units", "revenue", "profit")],
     )
     revenue, profit = F.sum("revenue"), F.sum("profit")
     return (
-        by_customer.join(tables["customers"].select("customer_id", "customer_tier"), "customer_id")
+        by_customer.join(
+            parent(tables, "customers", unique_keys).select("customer_id", "customer_tier"), "customer_id"
+        )
         .groupBy("category", "customer_tier")
         .agg(
             F.sum("orders").alias("order_count"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmetrics.schemas import TABLES, Table
-from tillmetrics.sources import TableSet
+from tillmetrics.sources import TableSet, csv_records
 
 # The texts that stand for a missing value in the input files.
 MISSING = (
@@ -34,14 +34,9 @@ def read_csv(
     its type; ``keep_malformed`` adds a count of the latter for validation, in which a
     row with more or fewer fields than the header counts as well. All files of a folder
     must have the same header; reading fails at one that differs.
-    ``multi_line`` accepts line breaks inside quotes but makes files unsplittable.
+    ``multi_line`` accepts line breaks inside quotes; files are then read twice, by many tasks.
     """
-    raw = spark.read.options(**_FORMAT, multiLine=multi_line).csv(path)
-    present = set(raw.columns)
-    if present:  # the first header found holds for every file
-        schema = raw.schema.add(_BROKEN, T.StringType()) if keep_malformed else raw.schema
-        options = {**_FORMAT, "multiLine": multi_line, "columnNameOfCorruptRecord": _BROKEN}
-        raw = spark.read.schema(schema).options(**options, enforceSchema=False).csv(path)
+    raw, present = _quoted_lines(spark, path) if multi_line else _plain_lines(spark, path, keep_malformed)
     typed, bad = [], []
     for f in table.schema.fields:
         if f.name not in present:
@@ -60,6 +55,29 @@ def read_csv(
     return raw.select(*typed)
 
 
+def _plain_lines(spark: SparkSession, path: str, keep_malformed: bool) -> tuple[DataFrame, set[str]]:
+    """Rows as texts of files without line breaks inside quotes, and the columns they have."""
+    raw = spark.read.options(**_FORMAT).csv(path)
+    present = set(raw.columns)
+    if present:  # the first header found holds for every file
+        schema = raw.schema.add(_BROKEN, T.StringType()) if keep_malformed else raw.schema
+        options = {**_FORMAT, "columnNameOfCorruptRecord": _BROKEN}
+        raw = spark.read.schema(schema).options(**options, enforceSchema=False).csv(path)
+    return raw, present
+
+
+def _quoted_lines(spark: SparkSession, path: str) -> tuple[DataFrame, set[str]]:
+    """The same of files whose quoted fields may hold line breaks."""
+    names, found = csv_records.with_header(csv_records.records(spark, path))
+    fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]
+    schema = T.StructType([*fields, T.StructField(_BROKEN, T.StringType())])
+    options = {**_FORMAT, "header": "false", "columnNameOfCorruptRecord": _BROKEN}
+    row = F.from_csv("text", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+    parsed = found.select(row.alias("row"))
+    columns = [F.col(f"row.c{i}").alias(n) for i, n in enumerate(names)]
+    return parsed.select(*columns, F.col(f"row.{_BROKEN}").alias(_BROKEN)), set(names)
+
+
 def _parse(text: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.StringType):
         return text
