@@ -9,7 +9,9 @@ characters becomes a constant table in a column expression, so scanning is one p
 built-in functions without shuffle or Python.
 
 Places are counted in code points, ends are exclusive. Spans of one kind do not overlap;
-a span that the models add overlaps no span of a pattern.
+a span that the models add overlaps no span of a pattern. Of a token around such a span the
+parts outside are judged each, from four characters on. The work on a text grows with its length and
+its matches, not with their square.
 
 Defined results: null and empty texts have no spans. Characters outside the table end a
 token. Without any sample text the ordinary words are those of a fixed list of
@@ -19,6 +21,7 @@ identifiers alone. Repeated rows are each scanned; other columns are not looked
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,7 +40,8 @@ MODEL_KIND = "random"
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN_CHARS = 16
-TOKEN = "[A-Za-z0-9+/_=-]{16,}"
+EDGE_CHARS = 4  # of a token's part that borders a pattern's span
+TOKEN = "[A-Za-z0-9+/_=-]{16,}|^[A-Za-z0-9+/_=-]{4,}|[A-Za-z0-9+/_=-]{4,}$"
 MIN_RATIO = 10.0  # natural logarithm of the likelihoods' ratio of a token
 MIN_RATIO_PER_CHAR = 0.6
 
@@ -45,6 +49,8 @@ SAMPLE_TEXTS = 500  # about as many texts are taken as samples of ordinary words
 SAMPLE_RANDOM = 400  # digests, each in several spellings
 SMOOTHING = 0.5
 PLACEHOLDER = "[SECRET]"
+CHUNK = 256  # elements of an array that grows
+BLOCK = 1024  # code points of a text that are walked through to cut a piece out of it
 
 # Identifiers as they stand in code and settings.
 IDENTIFIERS = (
@@ -65,11 +71,56 @@ class Model:
     ratios: list[float]  # by 'first * len(ALPHABET) + second'
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _before(values: Column, of: Callable[[Column], Column], combine: Callable[[Column, Column], Column]) -> Column:
+    """For each element, what its predecessors come to (a number, 0 at first).
+
+    An array that grows element by element is copied each time, so only chunks of ``CHUNK`` grow,
+    and one of the chunks' totals: this keeps long arrays from costing their square.
+    """
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def grown(chunk: Column, at: Column, value: Callable[[Column], Column]) -> Column:
+        begin = F.struct(at.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(
+            chunk,
+            begin,
+            lambda acc, x: F.struct(
+                combine(acc["at"], value(x)).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")
+            ),
+            lambda acc: acc["out"],
+        )
+
+    def parts(whole: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(whole) - 1, F.lit(0)), F.lit(CHUNK))
+        return F.transform(starts, lambda i: F.slice(whole, i + 1, F.lit(CHUNK)))
+
+    def heads(chunks: Column) -> Column:
+        totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda acc, x: combine(acc, of(x))))
+        return grown(totals, zero["at"], lambda x: x)
+
+    return _bound(
+        values,
+        lambda whole: _bound(
+            parts(whole),
+            lambda chunks: F.flatten(F.zip_with(chunks, heads(chunks), lambda c, h: grown(c, h, of))),
+        ),
+    )
+
+
+def _add(a: Column, b: Column) -> Column:
+    return a + b
+
+
 def _spans(text: Column, pattern: str, kind: str, value_chars: int = 0) -> Column:
     """Every match of a pattern as start, place in the kinds' order, end and kind.
 
-    Text between matches and the matches themselves alternate, so their lengths give
-    the places. ``value_chars``: a match counts if its second group has as many.
+    Text between matches and the matches themselves alternate, so the running sum of their
+    lengths gives the places. ``value_chars``: a match counts if its second group has as many.
     """
     place = (*BASE_KINDS, MODEL_KIND).index(kind)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -78,20 +129,58 @@ def _spans(text: Column, pattern: str, kind: str, value_chars: int = 0) -> Colum
         F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
         F.transform(found, F.length).alias("size"),
         F.transform(value, F.length).alias("value"),
-    )
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
-
-    def step(acc: Column, part: Column) -> Column:
-        start = acc["at"] + part["gap"]
-        end = start + F.coalesce(part["size"], F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(place).alias("place"), end.alias("end"), F.lit(kind).alias("kind"))
-        counts = part["size"].isNotNull() & (part["value"] >= value_chars)
-        return F.struct(
-            end.alias("at"), F.when(counts, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out")
-        )
+    )  # one gap more than matches
+
+    def span(part: Column, before: Column) -> Column:
+        start = before + part["gap"]
+        end = start + part["size"]
+        fields = [start.alias("start"), F.lit(place).alias("place"), end.alias("end"), F.lit(kind).alias("kind")]
+        return F.when(part["size"].isNotNull() & (part["value"] >= value_chars), F.struct(*fields))
+
+    def length(part: Column) -> Column:
+        return part["gap"] + F.coalesce(part["size"], F.lit(0))
+
+    all_of_them = _bound(parts, lambda p: F.array_compact(F.zip_with(p, _before(p, length, _add), span)))
+    return F.when(text.rlike(pattern), all_of_them.cast(_SPAN)).otherwise(F.array().cast(_SPAN))
+
+
+def _blocks(text: Column) -> Column:
+    """The text in pieces of ``BLOCK`` code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
 
-    all_of_them = F.aggregate(parts, begin, step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), all_of_them).otherwise(F.array().cast(_SPAN))
+def _cut(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points from ``start`` to ``end``, without a walk from the start of the text."""
+    first = F.floor(start / BLOCK).cast("int")
+    last = F.floor(F.greatest(end - 1, start) / BLOCK).cast("int")
+    near = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+    return F.when(end > start, F.substring(near, start - first * BLOCK + 1, end - start)).otherwise("")
+
+
+def _regions(spans: Column) -> Column:
+    """The stretches that spans cover: (start, end), those that overlap as one."""
+
+    def opened(ordered: Column) -> Column:
+        ends = _before(ordered, lambda s: s["end"], F.greatest)
+        pairs = F.zip_with(ordered, ends, lambda s, e: F.struct(s["start"].alias("start"), s["end"].alias("end"), e.alias("reach")))
+        return F.transform(F.array(pairs), closed)[0]
+
+    def closed(pairs: Column) -> Column:
+        # A span that starts where all before it have ended opens a region, which ends at what
+        # the next one that does has before it, the last region at the farthest end of all.
+        opening = F.filter(pairs, lambda p: p["start"] >= p["reach"])
+        farthest = F.aggregate(pairs, F.lit(0), lambda acc, p: F.greatest(acc, p["end"]))
+        reaches = F.concat(F.slice(F.transform(opening, lambda p: p["reach"]), F.lit(2), F.size(opening)), F.array(farthest))
+        return F.zip_with(opening, reaches, lambda p, e: F.struct(p["start"].alias("start"), e.alias("end")))
+
+    return _bound(F.array_sort(spans), opened)
+
+
+def _outside(regions: Column, length: Column) -> Column:
+    """What lies in front of, between and behind regions: (start, end), empty ones included."""
+    starts = F.concat(F.array(F.lit(0)), F.transform(regions, lambda r: r["end"]))
+    ends = F.concat(F.transform(regions, lambda r: r["start"]), F.array(length))
+    return F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
 
 
 def base_spans(text: Column) -> Column:
@@ -114,18 +203,51 @@ def _ratio_of(model: Model, token: Column) -> Column:
 
 
 def model_spans(text: Column, base: Column, model: Model) -> Column:
-    """Tokens that look random and touch no span of ``base``."""
+    """Tokens outside the spans of ``base`` that look random.
+
+    What a token has in front of or behind a span is judged by itself, from ``EDGE_CHARS`` on.
+    """
     text = F.coalesce(text, F.lit(""))
 
-    def random(s: Column) -> Column:
-        token = F.substring(text, s["start"] + 1, s["end"] - s["start"])
-        ratio = _ratio_of(model, token)
-        return (ratio >= MIN_RATIO) & (ratio >= MIN_RATIO_PER_CHAR * (s["end"] - s["start"]))
+    def random(token: Column) -> Column:
+        size = F.length(token)
+        return _bound(
+            _ratio_of(model, token),
+            lambda ratio: (ratio >= MIN_RATIO_PER_CHAR * size) & ((size < TOKEN_CHARS) | (ratio >= MIN_RATIO)),
+        )
+
+    def found(stretch: Column, start: Column, size: Column, length: Column) -> Column:
+        """Random tokens of a stretch of ``size`` code points from ``start``, of a text of ``length``."""
+
+        def judged(s: Column) -> Column:
+            whole = s["end"] - s["start"] >= TOKEN_CHARS
+            return whole | ((start > 0) & (s["start"] == 0)) | ((start + size < length) & (s["end"] == size))
+
+        def looks_random(blocks: Column) -> Column:
+            tokens = F.filter(_spans(stretch, TOKEN, MODEL_KIND), judged)
+            return F.filter(tokens, lambda s: random(_cut(blocks, s["start"], s["end"])))
+
+        def moved(s: Column) -> Column:
+            places = [(s["start"] + start).alias("start"), s["place"].alias("place"), (s["end"] + start).alias("end")]
+            return F.struct(*places, s["kind"].alias("kind"))
+
+        tokens = F.transform(_bound(_blocks(stretch), looks_random), moved)
+        return F.when(stretch.rlike(TOKEN), tokens).otherwise(F.array().cast(_SPAN))
 
-    def free(s: Column) -> Column:
-        return ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    def between(blocks: Column, length: Column) -> Column:
+        free = F.filter(_outside(_regions(base), length), lambda r: r["end"] > r["start"])
 
-    return F.filter(_spans(text, TOKEN, MODEL_KIND), lambda s: free(s) & random(s))
+        def tokens(r: Column) -> Column:
+            cut = _cut(blocks, r["start"], r["end"])
+            return _bound(cut, lambda stretch: found(stretch, r["start"], r["end"] - r["start"], length))
+
+        return F.flatten(F.transform(free, tokens))
+
+    def anywhere(length: Column) -> Column:  # the length takes a walk through the text, so it is bound
+        apart = _bound(_blocks(text), lambda blocks: between(blocks, length))
+        return F.when(F.size(base) == 0, found(text, F.lit(0), length, length)).otherwise(apart)
+
+    return _bound(F.length(text), anywhere).cast(_SPAN)
 
 
 def count_of(spans: Column, kind: str) -> Column:
@@ -204,15 +326,9 @@ def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 def redacted(text: Column, spans: Column) -> Column:
     """``text`` with every span replaced by a placeholder, overlapping ones by one."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        new = s["start"] >= acc["at"]
-        kept = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(PLACEHOLDER))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(new, kept).otherwise(acc["out"]).alias("out"))
-
-    whole = F.aggregate(
-        F.array_sort(spans), begin, step,
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
-    )
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+
+    def kept(blocks: Column) -> Column:
+        pieces = F.transform(_outside(_regions(spans), F.length(text)), lambda r: _cut(blocks, r["start"], r["end"]))
+        return F.array_join(pieces, PLACEHOLDER)
+
+    return F.when(F.size(spans) > 0, _bound(_blocks(text), kept)).otherwise(text)
