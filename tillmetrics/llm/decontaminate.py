@@ -11,12 +11,16 @@ place in the item) at most ``k`` apart. Bands of ``2 * (k + 1)`` diagonals that
 half hold every such group whole. So an item's q-grams are counted per band, the windows
 whose own q-grams reach the bound are kept, and each is verified by alignment within the band.
 
+An item of fewer than ``SHORT`` letters and digits says little by its letters alone, which also run
+over the words of other sentences. It is found where its words stand one after another as whole
+words, without edits; scripts without spaces are one word up to the next sign.
+
 Items are cut into pieces of at most ``STARTS`` windows, so that each window is in one
 piece. Every text is read whole and against every piece, in blocks of about
 ``WINDOWS_AT_ONCE`` pieces.
 
-Defined results: a null or empty text has no leaks, and neither have items of fewer
-than ``LEAST`` letters and digits. Repeated items and rows are each reported. Of equally
+Defined results: a null or empty text has no leaks, and neither have items without
+letters and digits. Repeated items and rows are each reported. Of equally
 good places in a text the first is reported. Other columns are not looked at.
 """
 
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -37,7 +42,7 @@ from pyspark.sql import types as T
 WINDOW = 50  # letters and digits
 STARTS = 207  # windows that begin in a piece
 Q = 6
-LEAST = 10  # letters and digits of an item
+SHORT = 30  # letters and digits; shorter items are found as whole words only
 EDIT_SHARE = 0.12  # edits a window may have, as a share of its length
 WINDOWS_AT_ONCE = 20_000  # pieces
 CHARS_AT_ONCE = 400_000
@@ -47,6 +52,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BITS = np.uint64(22)
 _SLOTS = 1 << 20
 _MIX = 0x9E3779B1  # spreads pieces over the slots of a count
+_WORD = re.compile(r"[^\W_]+")
 _BREAK = "￿"  # stands between texts; equals nothing in an item
 
 
@@ -123,12 +129,18 @@ class Index:
     starts: np.ndarray  # of each gram's places in `piece` and `place`
     piece: np.ndarray
     place: np.ndarray
+    short: dict[str, list[tuple[list[str], list]]]  # first word -> words and items that have them
 
 
 def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """The pieces of every item that hold its windows, as rows of item and folded text."""
+    """The pieces of every item that hold its windows, as rows of item and folded text.
+
+    Of a short item (``short``) the pattern is its words instead.
+    """
     rows = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text"))
-    schema = T.StructType([rows.schema["item"], T.StructField("pattern", T.StringType())])
+    schema = T.StructType(
+        [rows.schema["item"], T.StructField("pattern", T.StringType()), T.StructField("short", T.BooleanType())]
+    )
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = _fold_table()
@@ -136,20 +148,27 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
             out = []
             for name, value in zip(batch["item"], batch["text"]):
                 seq, _ = folded((value or "").replace(_BREAK, " "), table)
-                if len(seq) < LEAST:
+                if len(seq) < SHORT:
+                    if len(seq):
+                        out.append((name, " ".join(_WORD.findall(value.lower())), True))
                     continue
                 for at in range(0, max(1, len(seq) - WINDOW + 1), STARTS):
                     part = seq[at : at + STARTS + WINDOW - 1]
-                    out.append((name, part.tobytes().decode("utf-32-le", "surrogatepass")))
-            yield pd.DataFrame(out, columns=["item", "pattern"])
+                    out.append((name, part.tobytes().decode("utf-32-le", "surrogatepass"), False))
+            yield pd.DataFrame(out, columns=["item", "pattern", "short"])
 
     return rows.mapInPandas(cut, schema).distinct()
 
 
 def build_index(rows: list) -> Index:
     by_pattern: dict[str, list] = {}
-    for item, pattern in rows:
-        by_pattern.setdefault(pattern, []).append(item)
+    by_words: dict[str, list] = {}
+    for item, pattern, is_short in rows:
+        (by_words if is_short else by_pattern).setdefault(pattern, []).append(item)
+    short: dict[str, list] = {}
+    for pattern, items in by_words.items():
+        if words := pattern.split():
+            short.setdefault(words[0], []).append((words, items))
     pieces = [
         np.frombuffer(p.encode("utf-32-le", "surrogatepass"), np.uint32) for p in sorted(by_pattern)
     ]
@@ -157,9 +176,9 @@ def build_index(rows: list) -> Index:
     widths = np.minimum(lengths, WINDOW)
     budgets = np.array([edit_budget(int(m)) for m in widths], np.int64)
     hashes = [_grams(p) for p in pieces]
-    flat = np.concatenate(hashes)
+    flat = np.concatenate([np.zeros(0, np.uint64), *hashes])
     piece = np.repeat(np.arange(len(pieces), dtype=np.int32), [len(h) for h in hashes])
-    place = np.concatenate([np.arange(len(h), dtype=np.int32) for h in hashes])
+    place = np.concatenate([np.zeros(0, np.int32), *[np.arange(len(h), dtype=np.int32) for h in hashes]])
     order = np.argsort(flat, kind="stable")
     grams, starts = np.unique(flat[order], return_index=True)
     bitmap = np.zeros(1 << int(_BITS), np.bool_)
@@ -167,7 +186,7 @@ def build_index(rows: list) -> Index:
     return Index(
         _fold_table(),
         [by_pattern[p] for p in sorted(by_pattern)],
-        np.concatenate(pieces),
+        np.concatenate([np.zeros(0, np.uint32), *pieces]),
         np.concatenate([[0], np.cumsum(lengths)]),
         widths,
         budgets,
@@ -177,9 +196,23 @@ def build_index(rows: list) -> Index:
         np.append(starts, len(flat)),
         piece[order],
         place[order],
+        short,
     )
 
 
+def short_leaks(index: Index, text: str) -> dict:
+    """Of the short items that a text holds as whole words: (first place, number of places)."""
+    found: dict = {}
+    words = [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
+    for i, (word, start, _) in enumerate(words):
+        for own, items in index.short.get(word, ()):
+            if [w for w, _, _ in words[i : i + len(own)]] == own:
+                for item in items:
+                    place, n = found.get(item, ((0, start, words[i + len(own) - 1][2]), 0))
+                    found[item] = (place, n + 1)
+    return found
+
+
 def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     """first[0], first[0] + 1, ..., n[0] of them, then those of first[1], ..."""
     return np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
@@ -323,8 +356,9 @@ def scan(index: Index, texts: list[str | None]) -> list[list[tuple]]:
             at += 1
         if not part:
             continue
-        for i, found in zip(part, _find(index, [texts[i] for i in part])):
-            by_item: dict = {}
+        own = [texts[i] for i in part]
+        for i, found in zip(part, _find(index, own) if index.items else [{}] * len(own)):
+            by_item: dict = short_leaks(index, texts[i]) if index.short else {}
             for p, (place, windows) in found.items():
                 for item in index.items[p]:
                     best, n = by_item.get(item, (place, 0))
@@ -347,9 +381,16 @@ def _merged(parts: Iterable[list[tuple]]) -> list[tuple]:
     return _in_order((item, p[1], p[2], p[0], n) for item, (p, n) in by_item.items())
 
 
-def indexes(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> tuple[list[Broadcast], T.DataType]:
-    """Indexes over all items, each of about WINDOWS_AT_ONCE pieces, and the items' type."""
+def indexes(
+    benchmark: DataFrame, item: str = "item_id", text: str = "text", short_items: bool = True
+) -> tuple[list[Broadcast], T.DataType]:
+    """Indexes over all items, each of about WINDOWS_AT_ONCE pieces, and the items' type.
+
+    ``short_items=False`` leaves out those that any text may hold by chance.
+    """
     windows = benchmark_windows(benchmark, item, text)
+    if not short_items:
+        windows = windows.filter("not short")
     blocks = max(1, math.ceil(windows.count() / WINDOWS_AT_ONCE))
     share = windows.sparkSession.sparkContext.broadcast
     out = []
