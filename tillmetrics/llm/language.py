@@ -31,7 +31,6 @@ BYTES_AT_ONCE = 1_000_000  # of windows, though always one whole text
 
 MIN_SCORE = 0.3  # below it a text is of no learned language
 
-MAX_LANGUAGES = 256  # learned: the most frequent ones
 TEXTS_PER_LANGUAGE = 600  # about as many texts of each are trained on
 WINDOWS_PER_TEXT = 4
 
@@ -145,13 +144,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     rows = labelled.select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")
     ).filter("lang is not null and text is not null and text <> ''")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    counts = {r["lang"]: r["count"] for r in counts.collect()}  # MAX_LANGUAGES rows at most
+    counts = rows.groupBy("lang").count()
+    counts = {r["lang"]: r["count"] for r in counts.collect()}  # a row per language
     if not counts:
         return None
-    share = F.lit(0.0)
-    for name, count in counts.items():
-        share = F.when(F.col("lang") == name, TEXTS_PER_LANGUAGE / count).otherwise(share)
+    pairs = [F.lit(x) for name, count in counts.items() for x in (name, TEXTS_PER_LANGUAGE / count)]
+    share = F.try_element_at(F.create_map(*pairs), F.col("lang"))
     draw = F.pmod(F.xxhash64("key"), F.lit(1_000_003)) / 1_000_003
     span = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
     places = [F.pmod(F.xxhash64("key", F.lit(i)), span) + 1 for i in range(WINDOWS_PER_TEXT)]
