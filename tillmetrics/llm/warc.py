@@ -37,6 +37,7 @@ from tillmetrics.session import shared_folder
 REVISIT_BYTES = 1000
 FRAME_BYTES = 1 << 20  # plain bytes after which a frame is closed
 BUNDLE_BYTES = 64 << 20  # compressed bytes after which a bundle is closed
+READ_BYTES = 32 << 20  # compressed bytes that a task reads back
 LEVEL = 3
 
 # Fixed values of zstd's seekable format.
@@ -182,8 +183,14 @@ def _frame_of(rows: list[tuple], names: list[str]) -> pd.DataFrame:
     return pd.DataFrame(columns)
 
 
-def _as_uri(folder: str) -> str:
-    return folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+def _as_uri(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme: that of the default file system, where it names none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    uri = system.makeQualified(place).toString()
+    if uri.startswith("file:/") and not uri.startswith("file:///"):
+        uri = "file://" + uri.removeprefix("file:")
+    return "s3://" + uri.removeprefix("s3a://") if uri.startswith("s3a://") else uri  # as pyarrow calls it
 
 
 def with_roles(records: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
@@ -215,7 +222,7 @@ def with_roles(records: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
 
 def write_bundles(records: DataFrame, folder: str) -> DataFrame:
     """Write records (as ``with_roles`` has them) below ``folder``; returns the stored index."""
-    target = _as_uri(folder)
+    target = _as_uri(records.sparkSession, folder)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = INDEX_SCHEMA.replace(",", "").split()[::2]
@@ -241,6 +248,9 @@ def read_bundles(spark: SparkSession, index: DataFrame) -> DataFrame:
     from pyarrow import fs
 
     frames = index.select("bundle", "frame", "frame_at", "frame_bytes").distinct()
+    # The index is short whatever the archive is: tasks are as many as the frames' bytes ask for.
+    whole = frames.agg(F.sum("frame_bytes")).first()[0] or 0
+    frames = frames.repartitionByRange(max(1, -(-whole // READ_BYTES)), "bundle", "frame_at")
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
