@@ -300,8 +300,9 @@ def key_edges(sets: DataFrame, stars: DataFrame, rule: Rule) -> DataFrame:
         done: set = set()
         for places in part.groupby("key", sort=False).indices.values():
             found = _joining(sizes[places], [marks[i] for i in places], labels[places], rule.percent)
-            out += [e for x, y in found if (e := (int(docs[places[x]]), int(docs[places[y]]))) not in done]
-            done.update(out)
+            edges = {(int(docs[places[x]]), int(docs[places[y]])) for x, y in found}
+            out += edges - done
+            done |= edges
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return rows.groupBy("tile").applyInPandas(run, LINK_SCHEMA).distinct()
