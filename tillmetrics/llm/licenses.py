@@ -26,6 +26,7 @@ each answered. Without templates only the phrases count. Other columns are not l
 from __future__ import annotations
 
 import math
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,7 +64,8 @@ TEMPLATES = [
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), BETWEEN), lambda w: w != "")
+    lowered = F.translate(text, ascii_uppercase, ascii_lowercase)  # A-Z only
+    return F.filter(F.split(lowered, BETWEEN), lambda w: w != "")
 
 
 def _words(text: str) -> list[str]:
