@@ -392,7 +392,10 @@ def test_empty_tables(spark, docs, bench, tmp_path):
     docs.limit(0).write.parquet(f"{folder}/documents.parquet")
     bench.write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame([], "page_id bigint, url string, html string").write.parquet(f"{folder}/pages.parquet")
-    spark.createDataFrame([], "doc_id bigint, quality int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int").write.parquet(
+        f"{folder}/embeddings.parquet"
+    )
     for name, query in QUERIES.items():
         assert query(spark, folder).count() == 0, name
     assert corpus_pipeline.run(spark, folder).count() == 0
