@@ -3,6 +3,11 @@
 Each stage takes the documents that its predecessor left and the folder of the tables.
 Between stages the documents are written to the shared folder and read again, so what a
 lost executor held is read from there.
+
+Defined results: a document without text or without a letter goes in the first stage. Rows with
+a null id are documents of their own, whose copies are not looked for. Repeated rows of one id
+are one document to the second stage. Further columns of the documents, whatever their
+names, pass all stages as they are. An empty table stays one.
 """
 
 from __future__ import annotations
@@ -26,8 +31,11 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a passage of a benchmark item go."""
-    blocks = decontaminate.indexes(table(spark, sf_dir, "benchmark"))
+    """Documents with a passage of a benchmark item go.
+
+    Items of a few words are no passage: they are in many documents that leak nothing.
+    """
+    blocks = decontaminate.indexes(table(spark, sf_dir, "benchmark"), short_items=False)
     return docs.filter(F.size(decontaminate.leaks(blocks, F.col("text"))) == 0)
 
 
@@ -43,11 +51,22 @@ def redacted_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its piece ids, and whether they decode to its text."""
+    """Every document with its piece ids, and whether they decode to its text.
+
+    Columns of the documents keep their names; ``ids`` and ``round_trip`` take a number behind
+    theirs where the documents have such columns.
+    """
     vocabulary = suffix_pieces.shared(spark, tokenizer_file("piece_bpe_32k.model"))
-    found = docs.withColumn("found", suffix_pieces.round_trip(vocabulary, F.col("text")))
-    own = [c for c in docs.columns if c not in ("ids", "round_trip", "found")]
-    return found.select(*own, F.col("found.ids").alias("ids"), F.col("found.same").alias("round_trip"))
+    row = F.struct(*docs.columns).alias("row")
+    found = docs.select(row, suffix_pieces.round_trip(vocabulary, F.col("text")).alias("found"))
+    taken = {c.lower() for c in docs.columns}
+
+    def free(name: str) -> str:
+        names = [name, *[f"{name}_{i}" for i in range(2, len(taken) + 3)]]
+        return next(n for n in names if n not in taken)
+
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns]
+    return found.select(*own, F.col("found.ids").alias(free("ids")), F.col("found.same").alias(free("round_trip")))
 
 
 STAGES = [
