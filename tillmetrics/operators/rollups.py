@@ -46,8 +46,10 @@ def parent(tables: Mapping[str, DataFrame], name: str, unique_keys: bool) -> Dat
     return df
 
 
-def orders_by_customer(orders: DataFrame, unique_keys: bool = True) -> DataFrame:
-    return orders.groupBy("customer_id").agg(
+def orders_by_customer(
+    orders: DataFrame, unique_keys: bool = True, keys: tuple[str, ...] = ("customer_id",)
+) -> DataFrame:
+    return orders.groupBy(*keys).agg(
         count_key("order_id", unique_keys).alias("total_orders"),
         F.count("*").alias("order_rows"),
         F.count("total_amount").alias("priced_orders"),

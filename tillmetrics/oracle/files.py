@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillmetrics.oracle.operators import OPERATOR_SQL
 from tillmetrics.oracle.quality import issues
 from tillmetrics.oracle.reports import REPORT_SQL
 
@@ -88,6 +89,14 @@ FROM v_order_items""",
 SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount),
        strftime(order_date, '%Y-%m') AS order_month
 FROM v_orders_full""",
+    "append_ltv_segments": REPORT_SQL["customer_ltv_segments"],
+    "append_cohort_activity": REPORT_SQL["cohort_activity"],
+    "append_distinct_buyers": """
+SELECT strftime(order_date, '%Y-%m') AS span, count(DISTINCT customer_id) AS buyers
+FROM v_orders WHERE status <> 'cancelled' GROUP BY 1
+UNION ALL
+SELECT strftime(order_date, '%Y'), count(DISTINCT customer_id) FROM v_orders WHERE status <> 'cancelled' GROUP BY 1""",
+    "bucketed_order_totals": OPERATOR_SQL["agg_totals_to_parent"],
     "load_refused": _REFUSED,
     "load_report_json": _LOAD_JSON,
     "catalog_tables": """

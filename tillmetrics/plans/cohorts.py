@@ -26,6 +26,10 @@ def _activity(tables: Tables, unique_keys: bool) -> DataFrame:
             sum_cents("total_amount").alias("spend_cents"),
         )
     )
+    return _with_first_month(monthly)
+
+
+def _with_first_month(monthly: DataFrame) -> DataFrame:
     per_customer = Window.partitionBy("customer_id")
     return monthly.withColumn("first_order_month", F.min("order_month").over(per_customer))
 
@@ -51,9 +55,19 @@ def cohort_activity(tables: Tables, unique_keys: bool = True) -> DataFrame:
 
     Activity has one row per customer and month, so customers are counted by rows.
     """
-    known = _activity(tables, unique_keys).join(
-        parent(tables, "customers", unique_keys).select("customer_id"), "customer_id", "left_semi"
+    return _cohorts(_activity(tables, unique_keys), parent(tables, "customers", unique_keys))
+
+
+def cohort_activity_of(customer_months: DataFrame, customers: DataFrame) -> DataFrame:
+    """The same from rows per customer and month, such as states keep."""
+    monthly = customer_months.select(
+        "customer_id", "order_month", F.col("revenue_cents").alias("spend_cents")
     )
+    return _cohorts(_with_first_month(monthly), customers)
+
+
+def _cohorts(activity: DataFrame, customers: DataFrame) -> DataFrame:
+    known = activity.join(customers.select("customer_id"), "customer_id", "left_semi")
     return known.groupBy(
         F.col("first_order_month").alias("cohort_month"),
         F.col("order_month").alias("activity_month"),

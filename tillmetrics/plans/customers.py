@@ -18,7 +18,12 @@ def customer_ltv(tables: Tables, unique_keys: bool = True) -> DataFrame:
     A customer with a single order time has no lifetime, hence no yearly value.
     """
     per_customer = orders_by_customer(live(tables["orders"]), unique_keys)
-    joined = per_customer.join(parent(tables, "customers", unique_keys), "customer_id")
+    return ltv_of(per_customer, parent(tables, "customers", unique_keys))
+
+
+def ltv_of(per_customer: DataFrame, customers: DataFrame) -> DataFrame:
+    """The same from ``orders_by_customer`` of the live orders, or states of them."""
+    joined = per_customer.join(customers, "customer_id")
     measured = joined.select(
         "customer_id",
         full_name().alias("customer_name"),
@@ -46,9 +51,12 @@ def customer_ltv(tables: Tables, unique_keys: bool = True) -> DataFrame:
 
 def customer_ltv_segments(tables: Tables, unique_keys: bool = True) -> DataFrame:
     """Customer means per segment, the order value being a mean of customer means."""
+    return segments_of(customer_ltv(tables, unique_keys))
+
+
+def segments_of(ltv: DataFrame) -> DataFrame:
     return (
-        customer_ltv(tables, unique_keys)
-        .groupBy("customer_segment")
+        ltv.groupBy("customer_segment")
         .agg(
             F.count("*").alias("customer_count"),
             F.round(F.avg("total_revenue"), 2).alias("avg_total_revenue"),

@@ -23,7 +23,7 @@ from tillmetrics.plans import (
 from tillmetrics.quality import integrity, keys, profile, reconcile, rows, stack
 from tillmetrics.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS, PAYMENTS, PRODUCTS, TABLES, Table
 from tillmetrics.session import shared_folder
-from tillmetrics.sources import TableSet, csv_files, parquet_files
+from tillmetrics.sources import TableSet, bucketed, csv_files, parquet_files, states
 from tillmetrics.sources.star_files import star_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,6 +223,30 @@ def _append_orders(spark: SparkSession, folder: str) -> DataFrame:
     return _as_doubles(parquet_files.read_table(spark, root, ORDERS))
 
 
+def _appended(report: Callable[[SparkSession, str, Tables], DataFrame], state: str) -> Query:
+    """A report from states: those of the first orders are made before the others are appended."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        root = shared_folder(spark, "stored")
+        tables = star_tables(spark, folder, shipping=True)
+        orders = tables["orders"]
+        load.require_all([load.load_table(orders.filter("order_id % 2 = 0"), ORDERS, root)])
+        states.refresh(spark, root, state)
+        load.require_all([load.load_table(orders.filter("order_id % 2 = 1"), ORDERS, root, load.APPEND)])
+        return report(spark, root, tables)
+
+    return query
+
+
+def _bucketed_order_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with the totals of their lines, from tables in buckets of the order id."""
+    root = shared_folder(spark, "bucketed")
+    database = f"tillmetrics_{root.rsplit('-', 1)[-1]}"
+    spark.sql(f"CREATE DATABASE {database}")
+    bucketed.store(star_tables(spark, folder, shipping=True), root, database, buckets=8)
+    return reconcile.orders_with_item_totals(bucketed.tables(spark, database))
+
+
 def _load_refused(spark: SparkSession, folder: str) -> DataFrame:
     """Loads that must fail, one by one: why, and what is stored afterwards."""
     root = shared_folder(spark, "stored")
@@ -305,6 +329,25 @@ FILES: dict[str, Query] = {
     "stored_order_items": _stored(ORDER_ITEMS),
     "stored_payments": _stored(PAYMENTS),
     "append_orders": _append_orders,
+    "append_ltv_segments": _appended(
+        lambda spark, root, tables: customers.segments_of(
+            customers.ltv_of(states.customers_orders(spark, root), tables["customers"])
+        ),
+        "customer_months",
+    ),
+    "append_cohort_activity": _appended(
+        lambda spark, root, tables: cohorts.cohort_activity_of(
+            states.customer_months(spark, root), tables["customers"]
+        ),
+        "customer_months",
+    ),
+    "append_distinct_buyers": _appended(
+        lambda spark, root, _: states.distinct_buyers(spark, root).union(
+            states.distinct_buyers(spark, root, chars=4)
+        ),
+        "buyer_bitmaps",
+    ),
+    "bucketed_order_totals": _bucketed_order_totals,
     "load_refused": _load_refused,
     "load_report": _load_report,
     "load_report_json": _load_report_json,
