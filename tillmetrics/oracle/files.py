@@ -97,6 +97,10 @@ FROM v_orders WHERE status <> 'cancelled' GROUP BY 1
 UNION ALL
 SELECT strftime(order_date, '%Y'), count(DISTINCT customer_id) FROM v_orders WHERE status <> 'cancelled' GROUP BY 1""",
     "bucketed_order_totals": OPERATOR_SQL["agg_totals_to_parent"],
+    "look_up_orders": """
+SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount),
+       strftime(order_date, '%Y-%m') AS order_month
+FROM v_orders_full WHERE customer_id BETWEEN 10 AND 60""",
     "load_refused": _REFUSED,
     "load_report_json": _LOAD_JSON,
     "catalog_tables": """

@@ -238,6 +238,14 @@ def _appended(report: Callable[[SparkSession, str, Tables], DataFrame], state: s
     return query
 
 
+def _look_up_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored orders of some customers, from the files that hold any."""
+    root = shared_folder(spark, "stored")
+    tables = star_tables(spark, folder, shipping=True)
+    parquet_files.write_table(tables["orders"], root, ORDERS)
+    return _as_doubles(parquet_files.look_up(spark, root, ORDERS, "customer_id", 10, 60))
+
+
 def _bucketed_order_totals(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with the totals of their lines, from tables in buckets of the order id."""
     root = shared_folder(spark, "bucketed")
@@ -348,6 +356,7 @@ FILES: dict[str, Query] = {
         "buyer_bitmaps",
     ),
     "bucketed_order_totals": _bucketed_order_totals,
+    "look_up_orders": _look_up_orders,
     "load_refused": _load_refused,
     "load_report": _load_report,
     "load_report_json": _load_report_json,

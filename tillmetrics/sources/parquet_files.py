@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,21 +12,14 @@ from pyspark.sql import types as T
 
 from tillmetrics.functions.dates import year_month
 from tillmetrics.schemas import TABLES, Table
-from tillmetrics.sources import TableSet, key_index, snapshots
+from tillmetrics.sources import TableSet, access, key_index, snapshots
 from tillmetrics.sources.snapshots import Part, Version, remove
 
-# Where a table is cut into folders, and what its files are ordered by. File and row-group
-# statistics on the leading columns then let scans skip, which is what indexes are for.
+# Where a table is cut into folders; within them rows follow a curve over the indexed columns.
+# Statistics of files and row groups on these then let scans skip, which is what indexes are for.
 MONTH = {"orders": ("order_month", "order_date"), "payments": ("payment_month", "payment_date")}
-ORDERED_BY = {
-    "customers": ["country", "customer_tier", "customer_id"],
-    "products": ["product_id"],
-    "orders": ["customer_id", "order_date", "order_id"],
-    "order_items": ["order_id", "product_id", "order_item_id"],
-    "payments": ["order_id", "payment_status", "payment_id"],
-}
-
 
+_PLACE = "_place"  # on the curve
 _FLAGS = "_flags"  # of each row, a bit per condition it meets
 
 
@@ -49,9 +43,10 @@ def write_part(
 ) -> tuple[Part, dict[str, int]]:
     """Write the declared columns in the table's layout, in a folder no version lists yet.
 
-    Range partitioning on a key that ends in a unique column splits a hot month
-    or customer over many tasks and still gives each month few files. Without
-    ``partitions`` the session's number of shuffle partitions applies.
+    Rows are ordered by month and place on a curve over the indexed columns, whose
+    ranks take a pass over these columns. Range partitioning on a key that ends in a unique
+    column splits a hot month or customer over many tasks and still gives each month few
+    files. Without ``partitions`` the session's number of shuffle partitions applies.
 
     ``rules`` are conditions on the rows of ``df`` by name; how many rows meet each is
     counted while they are written, so that it takes no scan of its own.
@@ -61,7 +56,9 @@ def write_part(
     met = [F.expr(f"IF({condition}, 1L, 0L)") * F.lit(1 << i) for i, condition in enumerate(rules.values())]
     flags = reduce(lambda a, b: a + b, met, F.lit(0).cast("bigint"))
     out = declared_columns(df, table, flags.alias(_FLAGS))
-    order = ORDERED_BY[table.name]
+    known = access.borders(out, access.INDEXED[table.name])
+    out = out.withColumn(_PLACE, access.curve_place(out, known))
+    order = [_PLACE, table.primary_key]
     folder_column = None
     if table.name in MONTH:
         folder_column, moment = MONTH[table.name]
@@ -72,7 +69,7 @@ def write_part(
     counted = Observation()
     flag = [F.count_if(F.col(_FLAGS).bitwiseAND(1 << i) != 0).alias(f"rule_{i}") for i in range(len(rules))]
     dealt = out.repartitionByRange(*keys).sortWithinPartitions(*order)
-    dealt = dealt.observe(counted, F.count("*").alias("rows"), *flag).drop(_FLAGS)
+    dealt = dealt.observe(counted, F.count("*").alias("rows"), *flag).drop(_FLAGS, _PLACE)
     writer = dealt.write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "1")
     if folder_column:
         writer = writer.partitionBy(folder_column)
@@ -87,8 +84,8 @@ def write_part(
 
 
 def discard_part(spark: SparkSession, root: str, table: Table, part: Part) -> None:
-    remove(spark, f"{root}/{table.name}/{part.folder}")
-    remove(spark, f"{root}/{table.name}/{snapshots.index_folder(part)}")
+    for folder in (part.folder, snapshots.index_folder(part), snapshots.beside(part, "files")):
+        remove(spark, f"{root}/{table.name}/{folder}")
 
 
 def read_part(spark: SparkSession, root: str, table: Table, part: Part) -> DataFrame:
@@ -96,8 +93,9 @@ def read_part(spark: SparkSession, root: str, table: Table, part: Part) -> DataF
 
 
 def indexed(spark: SparkSession, root: str, table: Table, part: Part) -> Part:
-    """The part with the ranges of its keys, their index written beside it."""
+    """The part with the ranges of its keys; their index and the files' ranges are written beside it."""
     rows = read_part(spark, root, table, part)
+    access.write_file_ranges(spark, rows, table, f"{root}/{table.name}/{snapshots.beside(part, 'files')}")
     keys = key_index.ranges(rows, (table.primary_key, *table.unique))
     key_index.write(rows, keys, f"{root}/{table.name}/{snapshots.index_folder(part)}")
     return replace(part, keys=keys)
@@ -141,11 +139,13 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _schema(table: Table) -> T.StructType:
+    months = [T.StructField(MONTH[table.name][0], T.StringType())] if table.name in MONTH else []
+    return T.StructType([*table.schema.fields, *months])
+
+
 def _read(spark: SparkSession, root: str, table: Table, parts: tuple[Part, ...]) -> DataFrame:
-    schema = T.StructType(list(table.schema.fields))
-    if table.name in MONTH:
-        schema = schema.add(MONTH[table.name][0], T.StringType())
-    return snapshots.read(spark, f"{root}/{table.name}", parts, schema)
+    return snapshots.read(spark, f"{root}/{table.name}", parts, _schema(table))
 
 
 def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
@@ -156,6 +156,26 @@ def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
     return _read(spark, root, table, now.parts)
 
 
+def look_up(
+    spark: SparkSession, root: str, table: Table, column: str, low: object, high: object = None
+) -> DataFrame:
+    """Rows whose ``column``, an indexed one, is from ``low`` to ``high``, or ``low``.
+
+    Only files whose range of the column meets that are opened.
+    """
+    high = low if high is None else high
+    now = version(spark, root, table)
+    if not now.parts:
+        raise FileNotFoundError(f"{root}/{table.name} is not stored")
+    ranges = access.file_ranges(spark, root, table, now.parts)
+    files = [r["file"] for r in access.files_with(ranges, column, low, high).select("file").collect()]
+    names = [unquote(f) for f in files]  # as the scan's own list of files, one name each
+    rows = snapshots.read_files(spark, f"{root}/{table.name}", names, _schema(table)) if names else None
+    if rows is None:
+        return spark.createDataFrame([], _schema(table))
+    return rows.filter(F.col(column).between(F.lit(low), F.lit(high)))
+
+
 def stored_tables(spark: SparkSession, root: str) -> TableSet:
     return TableSet({name: lambda t=t: read_table(spark, root, t) for name, t in TABLES.items()})
 
