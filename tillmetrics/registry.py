@@ -250,7 +250,7 @@ def _bucketed_order_totals(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with the totals of their lines, from tables in buckets of the order id."""
     root = shared_folder(spark, "bucketed")
     database = f"tillmetrics_{root.rsplit('-', 1)[-1]}"
-    spark.sql(f"CREATE DATABASE {database}")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/catalog'")
     bucketed.store(star_tables(spark, folder, shipping=True), root, database, buckets=8)
     return reconcile.orders_with_item_totals(bucketed.tables(spark, database))
 
@@ -296,7 +296,7 @@ def _catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
     for table in (CUSTOMERS, ORDERS):
         parquet_files.write_table(tables[table.name], root, table)
     database = f"tillmetrics_{root.rsplit('-', 1)[-1]}"
-    spark.sql(f"CREATE DATABASE {database}")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/catalog'")
     parquet_files.create_tables(spark, root, database)
     return spark.sql(
         "SELECT c.country, o.status, count(*) AS order_count, CAST(sum(o.total_amount) AS DOUBLE) AS revenue "
