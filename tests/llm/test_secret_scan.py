@@ -41,7 +41,7 @@ def plain_added(text, base, model):
     bounds = [0, *[x for r in regions(base) for x in r], len(text)]
     out = []
     for start, end in zip(bounds[::2], bounds[1::2]):
-        for m in re.finditer(secret_scan.TOKEN, text[start:end]):
+        for m in re.finditer(secret_scan.EDGE_TOKEN, text[start:end]):
             n = len(m[0])
             at_edge = (start > 0 and m.start() == 0) or (end < len(text) and m.end() == end - start)
             if n < 16 and not at_edge:

@@ -41,7 +41,8 @@ MODEL_KIND = "random"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN_CHARS = 16
 EDGE_CHARS = 4  # of a token's part that borders a pattern's span
-TOKEN = "[A-Za-z0-9+/_=-]{16,}|^[A-Za-z0-9+/_=-]{4,}|[A-Za-z0-9+/_=-]{4,}$"
+TOKEN = "[A-Za-z0-9+/_=-]{16,}"
+EDGE_TOKEN = f"{TOKEN}|^[A-Za-z0-9+/_=-]{{4,}}|[A-Za-z0-9+/_=-]{{4,}}$"  # of a stretch beside a span
 MIN_RATIO = 10.0  # natural logarithm of the likelihoods' ratio of a token
 MIN_RATIO_PER_CHAR = 0.6
 
@@ -216,7 +217,7 @@ def model_spans(text: Column, base: Column, model: Model) -> Column:
             lambda ratio: (ratio >= MIN_RATIO_PER_CHAR * size) & ((size < TOKEN_CHARS) | (ratio >= MIN_RATIO)),
         )
 
-    def found(stretch: Column, start: Column, size: Column, length: Column) -> Column:
+    def found(stretch: Column, start: Column, size: Column, length: Column, pattern: str) -> Column:
         """Random tokens of a stretch of ``size`` code points from ``start``, of a text of ``length``."""
 
         def judged(s: Column) -> Column:
@@ -224,7 +225,7 @@ def model_spans(text: Column, base: Column, model: Model) -> Column:
             return whole | ((start > 0) & (s["start"] == 0)) | ((start + size < length) & (s["end"] == size))
 
         def looks_random(blocks: Column) -> Column:
-            tokens = F.filter(_spans(stretch, TOKEN, MODEL_KIND), judged)
+            tokens = F.filter(_spans(stretch, pattern, MODEL_KIND), judged)
             return F.filter(tokens, lambda s: random(_cut(blocks, s["start"], s["end"])))
 
         def moved(s: Column) -> Column:
@@ -232,20 +233,20 @@ def model_spans(text: Column, base: Column, model: Model) -> Column:
             return F.struct(*places, s["kind"].alias("kind"))
 
         tokens = F.transform(_bound(_blocks(stretch), looks_random), moved)
-        return F.when(stretch.rlike(TOKEN), tokens).otherwise(F.array().cast(_SPAN))
+        return F.when(stretch.rlike(pattern), tokens).otherwise(F.array().cast(_SPAN))
 
     def between(blocks: Column, length: Column) -> Column:
         free = F.filter(_outside(_regions(base), length), lambda r: r["end"] > r["start"])
 
         def tokens(r: Column) -> Column:
             cut = _cut(blocks, r["start"], r["end"])
-            return _bound(cut, lambda stretch: found(stretch, r["start"], r["end"] - r["start"], length))
+            return _bound(cut, lambda stretch: found(stretch, r["start"], r["end"] - r["start"], length, EDGE_TOKEN))
 
         return F.flatten(F.transform(free, tokens))
 
     def anywhere(length: Column) -> Column:  # the length takes a walk through the text, so it is bound
         apart = _bound(_blocks(text), lambda blocks: between(blocks, length))
-        return F.when(F.size(base) == 0, found(text, F.lit(0), length, length)).otherwise(apart)
+        return F.when(F.size(base) == 0, found(text, F.lit(0), length, length, TOKEN)).otherwise(apart)
 
     return _bound(F.length(text), anywhere).cast(_SPAN)
 
