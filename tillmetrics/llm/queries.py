@@ -285,6 +285,23 @@ SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, posit
 FROM n WHERE rank <= 10
 """
 
+_JACCARD = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+g AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+             ELSE list_transform(range(len(words) - 2), lambda i: words[i + 1] || ' ' || words[i + 2] || ' ' || words[i + 3])
+             END) AS grams FROM w),
+x AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM g),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x AS a JOIN x AS b ON a.gram = b.gram AND a.doc_id < b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, reached) AS (
+  SELECT doc_id, doc_id FROM g UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached)
+SELECT g.doc_id, CAST(len(g.grams) AS BIGINT) AS n_shingles, min(r.reached) AS component_id
+FROM g JOIN r USING (doc_id) GROUP BY g.doc_id, g.grams
+"""
+
 
 def _license_sql() -> str:
     """Every template against every line, without any filter."""
@@ -349,6 +366,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_warc": _PAYLOADS,
     "op4_host_rules": _HOST_RULES,
     "op5_licenses": _license_sql(),
+    "op8_ngram_jaccard_join": _JACCARD,
     "op11_merkle": _MERKLE,
     "op13_hard_negatives": _HARD_NEGATIVES,
 }
