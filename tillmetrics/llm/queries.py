@@ -304,8 +304,10 @@ FROM g JOIN r USING (doc_id) GROUP BY g.doc_id, g.grams
 
 
 def _license_sql() -> str:
-    """Every template against every line, without any filter."""
-    templates = ",\n    ".join(f"({i}, '{label}', '{t}')" for i, (label, t) in enumerate(licenses.TEMPLATES))
+    """Every template against the block at every place of a word of its, without any filter."""
+    templates = ",\n    ".join(
+        f"({i}, '{label}', {licenses.width_of(t)}, '{t}')" for i, (label, t) in enumerate(licenses.TEMPLATES)
+    )
     phrases = ",\n    ".join(f"('{label}', '{p}')" for p, label in licenses.PHRASES.items())
     words = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -325,16 +327,18 @@ x AS (SELECT r, label, len(parts) - 1 AS n,
 base AS (SELECT x.r, CAST(sum(n) AS BIGINT) AS n_base, min(first_word) AS first_word,
                 max(len(w.words) - behind - size) AS last_word, list_sort(list_distinct(list(label))) AS labels
          FROM x JOIN w USING (r) GROUP BY x.r),
-l AS (SELECT r, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS b FROM t),
-lw AS (SELECT r, b, list_distinct({words.format("line")}) AS words FROM l),
-templates(id, label, template) AS (VALUES
+templates(id, label, width, template) AS (VALUES
     {templates}),
-tw AS (SELECT id, label, list_distinct(string_split(template, ' ')) AS own FROM templates),
-f AS (SELECT r, b, id, label, list_intersect(own, words) AS shared,
-             len(list_intersect(own, words)) / len(own) AS containment
-      FROM lw, tw WHERE len(list_intersect(own, words)) >= ceil(round({licenses.THRESHOLD} * len(own), 9))),
+tw AS (SELECT id, label, width, list_distinct(string_split(template, ' ')) AS own FROM templates),
+u AS (SELECT r, unnest(words) AS word, unnest(range(len(words))) AS b FROM w),
+s2 AS (SELECT u.r, u.b, id, label, width, len(own) AS size,
+              list_intersect(own, w.words[u.b + 1 : u.b + width]) AS shared
+       FROM u JOIN tw ON list_contains(own, u.word) JOIN w ON w.r = u.r),
+f AS (SELECT *, len(shared) / size AS containment FROM s2
+      WHERE len(shared) >= ceil(round({licenses.THRESHOLD} * size, 9))),
 best AS (SELECT f.r, f.label, f.containment FROM f WHERE NOT EXISTS (
-           SELECT 1 FROM f AS o WHERE o.r = f.r AND o.b = f.b AND len(list_intersect(f.shared, o.shared)) = len(f.shared)
+           SELECT 1 FROM f AS o WHERE o.r = f.r AND f.b < o.b + o.width AND o.b < f.b + f.width
+           AND len(list_intersect(f.shared, o.shared)) = len(f.shared)
            AND (o.containment > f.containment OR (o.containment = f.containment AND len(o.shared) > len(f.shared))))),
 m AS (SELECT r, list_distinct(list(label)) AS labels, max(containment) AS containment FROM best GROUP BY r)
 SELECT w.doc_id, len(w.words) AS n_words, coalesce(base.n_base, 0) AS n_base, base.first_word, base.last_word,
