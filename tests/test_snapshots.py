@@ -142,6 +142,21 @@ def test_every_repeated_key_is_found(spark, tmp_path, monkeypatch, buckets):
     assert sorted(r["order_id"] for r in rows(parquet_files.read_table(spark, root, ORDERS))) == sorted(ids)
 
 
+@pytest.mark.parametrize("portions", [32, 0])
+def test_absent_references_are_found(spark, tmp_path, monkeypatch, portions):
+    monkeypatch.setattr(key_index, "PORTIONS", portions)  # none: by a join
+    monkeypatch.setattr(key_index, "PORTION_BYTES", 16 * 200)
+    root = str(tmp_path)
+    stored_orders(spark, root, range(0, 3000, 3))
+    stored_orders(spark, root, range(10_000, 10_050), load.APPEND)
+    now = snapshots.newest(spark, f"{root}/orders")
+    references = spark.createDataFrame([(i,) for i in [None, *range(900), 10_001, 10_001, 99_999, -4]], "key bigint")
+    found = key_index.absent(ORDERS, f"{root}/orders", now, "order_id", references)
+    assert sorted(r["key"] for r in found.collect()) == sorted([i for i in range(900) if i % 3] + [99_999, -4])
+    nothing = key_index.absent(ORDERS, f"{root}/none", snapshots.EMPTY, "order_id", references)
+    assert nothing.count() == 903
+
+
 def test_few_new_keys_are_suspect(spark, tmp_path):
     root = str(tmp_path)
     stored_orders(spark, root, range(0, 40_000, 2))

@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmetrics.quality import stack
+from tillmetrics.quality import CHECK_COLUMNS, check_row, stack, unfold
 from tillmetrics.quality.keys import unique_violations
 from tillmetrics.quality.profile import profile
 from tillmetrics.quality.rows import (
@@ -130,6 +130,25 @@ def _surplus(rows: DataFrame, part: Part, table: Table) -> dict[str, int]:
     return {r["column_name"]: r["violations"] for r in checks.collect()}  # one row per column
 
 
+def appended_references(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    """The newest part's references to stored parents: a check row per column, as ``check_references``.
+
+    Parents are asked by the index of their keys, so after an append its rows alone are read whole.
+    """
+    part = parquet_files.version(spark, root, table).parts[-1]
+    rows = parquet_files.read_part(spark, root, table, part)
+    frames = []
+    for column, name in table.foreign_keys.items():
+        parent = TABLES[name]
+        held = rows.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("key"))
+        held = held.agg(F.count("*").alias("child_rows"))
+        now = parquet_files.version(spark, root, parent)
+        lost = key_index.absent(parent, f"{root}/{name}", now, parent.primary_key, held)
+        total = held.join(lost, "key").selectExpr("coalesce(sum(child_rows), 0) AS lost")
+        frames.append(unfold(total, [check_row(table.name, "reference", column, "lost")], CHECK_COLUMNS))
+    return stack(frames)
+
+
 def load_tables(
     tables: Mapping[str, DataFrame],
     root: str,

@@ -96,6 +96,10 @@ SELECT strftime(order_date, '%Y-%m') AS span, count(DISTINCT customer_id) AS buy
 FROM v_orders WHERE status <> 'cancelled' GROUP BY 1
 UNION ALL
 SELECT strftime(order_date, '%Y'), count(DISTINCT customer_id) FROM v_orders WHERE status <> 'cancelled' GROUP BY 1""",
+    "append_references": """
+SELECT 'orders' AS table_name, 'reference' AS check_name, 'customer_id' AS column_name,
+       count(*) AS violations, count(*) = 0 AS passed
+FROM v_orders_full WHERE order_id % 2 = 1 AND (customer_id % 7 = 0 OR customer_id NOT IN (SELECT customer_id FROM v_customers))""",
     "bucketed_order_totals": OPERATOR_SQL["agg_totals_to_parent"],
     "look_up_orders": """
 SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount),

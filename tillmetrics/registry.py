@@ -238,6 +238,17 @@ def _appended(report: Callable[[SparkSession, str, Tables], DataFrame], state: s
     return query
 
 
+def _append_references(spark: SparkSession, folder: str) -> DataFrame:
+    """The references of appended orders to stored customers, some of whom are missing."""
+    root = shared_folder(spark, "stored")
+    tables = star_tables(spark, folder, shipping=True)
+    orders = tables["orders"]
+    known = [(tables["customers"].filter("customer_id % 7 <> 0"), CUSTOMERS), (orders.filter("order_id % 2 = 0"), ORDERS)]
+    load.require_all([load.load_table(df, table, root) for df, table in known])
+    load.require_all([load.load_table(orders.filter("order_id % 2 = 1"), ORDERS, root, load.APPEND)])
+    return load.appended_references(spark, root, ORDERS)
+
+
 def _look_up_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Stored orders of some customers, from the files that hold any."""
     root = shared_folder(spark, "stored")
@@ -355,6 +366,7 @@ FILES: dict[str, Query] = {
         ),
         "buyer_bitmaps",
     ),
+    "append_references": _append_references,
     "bucketed_order_totals": _bucketed_order_totals,
     "look_up_orders": _look_up_orders,
     "load_refused": _load_refused,

@@ -25,6 +25,7 @@ BUCKET_BITS = 32768  # what bitmap_construct_agg makes
 KEYS_PER_BUCKET = 2048  # 16 bits a key
 BITS = 8  # set per key
 PORTION_BYTES = 16 << 20  # of suspects sent to every task at once
+PORTIONS = 32  # that are worth a pass over the stored keys each
 
 
 def _bucket(key: Column, buckets: Column | int) -> Column:
@@ -101,6 +102,37 @@ def looked_up(stored_keys: DataFrame, some: DataFrame) -> DataFrame:
     return stored_keys.join(F.broadcast(some), "key", "left_semi").distinct()
 
 
+def _held(table: Table, table_folder: str, parts: list[Part], column: str, found: DataFrame) -> list[DataFrame]:
+    """Those of the keys ``found`` (written, distinct) that the parts hold, in portions looked up one by one."""
+    spark = found.sparkSession
+    stored = snapshots.read(spark, table_folder, parts, T.StructType([table.schema[column]]))
+    stored = stored.select(F.col(column).alias("key"))
+    portions = math.ceil(found.count() * _key_bytes(table, column) / PORTION_BYTES)
+    if portions > PORTIONS:  # so many keys are met in a join
+        return [stored.join(found, "key", "left_semi").distinct()]
+    of = F.pmod(F.xxhash64("key", F.lit("portion")), F.lit(max(1, portions)))
+    return [looked_up(stored, found.filter(of == i)) for i in range(portions)]
+
+
+def absent(table: Table, table_folder: str, version: Version, column: str, references: DataFrame) -> DataFrame:
+    """The distinct ``key``s of ``references`` that no row of the version has.
+
+    What the index does not know is absent without a look at the rows; the rest is looked up where
+    the rows lie, so the table referred to is not shuffled but for very many references.
+    """
+    spark = references.sparkSession
+    keys = references.select("key").filter("key IS NOT NULL").distinct()
+    parts = [p for p in version.parts if column in p.keys]
+    if not parts:
+        return keys
+    folder = shared_folder(spark, "references")
+    suspects(spark, table_folder, parts, column, keys).write.parquet(folder)
+    out = keys
+    for held in _held(table, table_folder, parts, column, spark.read.parquet(folder)):
+        out = out.join(held, "key", "left_anti")
+    return out
+
+
 def stored_again(table: Table, table_folder: str, version: Version, column: str, rows: DataFrame, new: KeyRange | None) -> int:
     """How many distinct keys of ``rows`` the version holds already."""
     parts = _overlapping(version, column, new) if new else []
@@ -111,13 +143,7 @@ def stored_again(table: Table, table_folder: str, version: Version, column: str,
     folder = shared_folder(spark, "suspects")
     try:
         suspects(spark, table_folder, parts, column, keys).write.parquet(folder)
-        found = spark.read.parquet(folder)
-        portions = math.ceil(found.count() * _key_bytes(table, column) / PORTION_BYTES)
-        stored = snapshots.read(spark, table_folder, parts, T.StructType([table.schema[column]]))
-        stored = stored.select(F.col(column).alias("key"))
-        return sum(
-            looked_up(stored, found.filter(F.pmod(F.xxhash64("key", F.lit("portion")), F.lit(portions)) == i)).count()
-            for i in range(portions)
-        )
+        held = _held(table, table_folder, parts, column, spark.read.parquet(folder))
+        return sum(keys.count() for keys in held)
     finally:
         snapshots.remove(spark, folder)
