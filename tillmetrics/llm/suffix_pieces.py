@@ -13,6 +13,11 @@ that ends where the edge begins. Two pieces keep their border if undoing their m
 latest first, never shows a merge across the border that would have come earlier. So
 ids are those of the sentencepiece library, whatever the text.
 
+Words of a batch are relaxed together, all edges of one depth and length in a step. A word of
+``LONG_WORD`` characters or more would take a step for each of its places, with few edges in
+it; its edges are relaxed one by one instead, in windows of its text that take in what reaches
+over their end, so that time grows with the word's length and memory by some bytes a character.
+
 Characters that are no piece become their UTF-8 bytes. Runs of spaces are merged last,
 from the left. The model has to be of this kind: identity normalization, a space mark
 put in front, pieces with the mark only as first character or of nothing else.
@@ -24,6 +29,7 @@ text counts as a space, as in the library.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,7 +46,10 @@ LONGEST = 16  # characters of a piece
 CHARS_AT_ONCE = 250_000  # of text, though always one whole text
 TEXTS_AT_ONCE = 1000
 WORD_CHARS_AT_ONCE = 100_000  # of distinct words in a suffix array
-WORDS_KEPT = 100_000  # in a task, before its table of known words starts anew
+WORDS_KEPT = 100_000  # in a task, before its table of known words starts anew ...
+IDS_KEPT = 4_000_000  # ... or before their ids take more than this
+LONG_WORD = 1000  # characters; such a word is relaxed edge by edge, in windows of its text
+BORDERS_KEPT = 1_000_000  # pairs of pieces in long words whose border is known
 _NEVER = np.int64(1) << 40
 
 
@@ -245,6 +254,9 @@ class Encoder:
         self.slots = 1 << 20
         self.known = np.full(self.slots, -1, np.int64)  # pairs of pieces, by hash ...
         self.keeps = np.zeros(self.slots, bool)  # ... and whether they keep their border
+        self.borders: dict[int, bool] = {}  # the same of pairs in long words, by key
+        self.pair_rank: dict[int, int] = {}  # the vocabulary's pairs and parts, once a long word asks
+        self.parts: list[tuple[int, int, int]] = []
         self._forget()
 
     def _forget(self) -> None:
@@ -289,13 +301,16 @@ class Encoder:
             a, b = np.where(of_a, v.right[a], a), np.where(of_a, b, v.left[b])
         return out
 
+    def _coded(self, chars: np.ndarray) -> np.ndarray:
+        return np.array([self.v.alphabet.get(chr(c), 0) for c in chars.tolist()], np.int64)
+
     def _solve(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of some words, one after the other, and how many each has."""
         v, cut = self.v, np.array([len(w) for w in words])
         joined = "\x00".join(words) + "\x00"
         chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         seen, which = np.unique(chars, return_inverse=True)
-        codes = np.array([v.alphabet.get(chr(c), 0) for c in seen.tolist()], np.int64)[which]
+        codes = self._coded(seen)[which]
         ends = np.cumsum(cut + 1) - 1
         codes[ends] = 0  # between words
         begins = ends - cut
@@ -314,10 +329,11 @@ class Encoder:
         base[marks] = marks
         base = np.maximum.accumulate(base)
         depth = start + lengths - base[start]
-        turn = depth * (LONGEST + 1) + (LONGEST - lengths)
+        # At most LONG_WORD * (LONGEST + 1), which numpy sorts by counting.
+        turn = (depth * (LONGEST + 1) + (LONGEST - lengths)).astype(np.uint16)
         order = np.argsort(turn, kind="stable")
         start, piece, lengths, turn = start[order], piece[order], lengths[order], turn[order]
-        first = np.flatnonzero(np.diff(turn, prepend=-1))
+        first = np.flatnonzero(np.diff(turn.astype(np.int32), prepend=-1))
         for lo, hi in zip(first, np.append(first[1:], len(turn))):
             s, p = start[lo:hi], piece[lo:hi]
             end = s + lengths[lo]
@@ -359,8 +375,73 @@ class Encoder:
                 ids[p : p + len(x)] = x
         return ids.astype(np.int32), np.bincount(word, minlength=len(words))
 
+    def _stays(self, a: int, b: int) -> bool:
+        """``border_kept`` of one pair."""
+        key = a * len(self.v.pieces) + b
+        out = self.borders.get(key)
+        if out is None:
+            if len(self.borders) >= BORDERS_KEPT:
+                self.borders.clear()
+            out = self.borders[key] = self._undo_pair(a, b)
+        return out
+
+    def _undo_pair(self, a: int, b: int) -> bool:
+        if not self.pair_rank:
+            v = self.v
+            self.pair_rank = dict(zip(v.pairs.tolist(), v.pair_rank.tolist()))
+            self.parts = list(zip(v.rank.tolist(), v.left.tolist(), v.right.tolist()))
+        n, limit = len(self.v.pieces), int(_NEVER)
+        while True:
+            if self.pair_rank.get(a * n + b, limit) < limit:
+                return False
+            (ra, _, right), (rb, left, _) = self.parts[a], self.parts[b]
+            if ra < 0 and rb < 0:
+                return True
+            if ra > rb:
+                limit, a = ra, right
+            else:
+                limit, b = rb + 1, left
+
+    def _solve_long(self, word: str) -> np.ndarray:
+        """Ids of one long word."""
+        v, n = self.v, len(word)
+        chars = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32)
+        seen = np.unique(chars)
+        coded = self._coded(seen)
+        # last[p]: as in `_solve`; -1 where a stretch begins.
+        last = array("i", [-1]) * (n + 1)
+        for at in range(0, n, WORD_CHARS_AT_ONCE):
+            stop = min(n, at + WORD_CHARS_AT_ONCE)
+            window = coded[np.searchsorted(seen, chars[at : stop + LONGEST])]
+            start, piece = occurrences(v, window)
+            own = start < stop - at
+            start, piece = start[own], piece[own]
+            end = start + v.length[piece]
+            order = np.argsort(end * n + start)  # the longest first
+            edges = zip((start[order] + at).tolist(), piece[order].tolist(), (end[order] + at).tolist())
+            for s, p, e in edges:
+                if last[e] < 0 and (last[s] < 0 or self._stays(last[s], p)):
+                    last[e] = p
+        out, at = array("i"), n  # from the word's end back
+        length = v.length.tolist()
+        while at:
+            p = last[at]
+            if p < 0:  # no piece ends with a character that is none
+                out.extend([v.byte_ids[x] for x in reversed(word[at - 1].encode("utf-8", "surrogatepass"))])
+                at -= 1
+            else:
+                out.append(p)
+                at -= length[p]
+        return np.array(out, np.int32)[::-1]
+
     def _learn(self, words: list[str]) -> None:
-        ids, counts = self._solve(words)
+        self._keep(words, *self._solve(words))
+
+    def _learn_long(self, word: str) -> None:
+        ids = self._solve_long(word)
+        self._keep([word], ids, np.array([len(ids)]))
+
+    def _keep(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         base = len(self.word_at)
         need = base + len(words)
         if need > len(self.start):
@@ -391,11 +472,15 @@ class Encoder:
             else:
                 counts.append(0)
                 spaced.append(False)
-        if len(self.word_at) > WORDS_KEPT:
+        if len(self.word_at) > WORDS_KEPT or self.used > IDS_KEPT:
             self._forget()
         new, size = [], 0
         for w in dict.fromkeys(words):
-            if w not in self.word_at:
+            if w in self.word_at:
+                continue
+            if len(w) >= LONG_WORD:
+                self._learn_long(w)
+            else:
                 new.append(w)
                 size += len(w) + 1
                 if size >= WORD_CHARS_AT_ONCE:
