@@ -46,7 +46,7 @@ LONGEST = 16  # characters of a piece
 CHARS_AT_ONCE = 250_000  # of text, though always one whole text
 TEXTS_AT_ONCE = 1000
 WORD_CHARS_AT_ONCE = 100_000  # of distinct words in a suffix array
-WORDS_KEPT = 100_000  # in a task, before its table of known words starts anew ...
+WORDS_KEPT = 250_000  # in a task, before its table of known words starts anew ...
 IDS_KEPT = 4_000_000  # ... or before their ids take more than this
 LONG_WORD = 1000  # characters; such a word is relaxed edge by edge, in windows of its text
 BORDERS_KEPT = 1_000_000  # pairs of pieces in long words whose border is known
@@ -200,7 +200,7 @@ def occurrences(v: Vocabulary, text: np.ndarray) -> tuple[np.ndarray, np.ndarray
     four, r4 = _ranks(packed)
     eight, r8 = _ranks((r4 << 32) | _shifted(r4, 4))
     sixteen = (r8 << 32) | _shifted(r8, 8)
-    suffixes = np.argsort(sixteen, kind="stable")
+    suffixes = np.argsort(sixteen)
     sorted16 = sixteen[suffixes]
     length = v.length[v.ids]
 
