@@ -9,9 +9,9 @@ from tests.shop import rows, shop
 from tests.test_random import random_shop
 from tillmetrics import load
 from tillmetrics.operators.rollups import live, orders_by_customer
-from tillmetrics.plans import cohorts, customers
+from tillmetrics.plans import CORRECTED, cohorts, customers, trends
 from tillmetrics.quality import reconcile
-from tillmetrics.schemas import ORDERS
+from tillmetrics.schemas import ORDERS, PAYMENTS
 from tillmetrics.sources import bucketed, parquet_files, snapshots, states
 
 
@@ -77,6 +77,57 @@ def test_an_append_reads_only_new_rows(spark, stored, monkeypatch):
     assert states.refresh(spark, root, "customer_months") == [new] and seen == [new]
 
 
+@pytest.fixture
+def paid(spark, stored):
+    """Payments stored in two parts beside the orders; some are of orders that are not there."""
+    root, tables = stored
+    payments = tables["payments"].dropna(subset=list(PAYMENTS.required)).dropDuplicates(["transaction_id"]).cache()
+    for i in range(2):
+        mode = load.APPEND if i else load.REPLACE
+        assert load.load_table(payments.filter(f"payment_id % 2 = {i}"), PAYMENTS, root, mode).ok
+    yield root, {**tables, "payments": payments}
+    payments.unpersist()
+
+
+def test_daily_trends_from_states_equal_a_full_run(spark, paid):
+    root, tables = paid
+    full = trends.daily_metrics(live(tables["orders"]), tables["payments"], CORRECTED)
+    same(states.daily_figures(spark, root), full)
+    for days in (3, 30):
+        found = trends.trends_of(states.daily_figures(spark, root, days + trends.WEEK), CORRECTED, days)
+        same(found, trends.daily_trends(tables, CORRECTED, days))
+
+
+def test_appended_payments_meet_all_orders_and_the_reverse(spark, paid, monkeypatch):
+    root, tables = paid
+    assert len(states.refresh_day_payments(spark, root)) == 6
+    assert states.refresh_day_payments(spark, root) == []
+    more = tables["payments"].selectExpr(
+        *[f"payment_id + 1000000 AS {c}" if c == "payment_id" else f"concat({c}, 'x') AS {c}" if c == "transaction_id" else c
+          for c in PAYMENTS.columns]
+    )
+    assert load.load_table(more, PAYMENTS, root, load.APPEND).ok
+    new = parquet_files.version(spark, root, PAYMENTS).parts[-1]
+    read, seen = parquet_files.read_part, []
+    monkeypatch.setattr(parquet_files, "read_part", lambda s, r, t, part: seen.append((t.name, part)) or read(s, r, t, part))
+    assert [p for p, _ in states.refresh_day_payments(spark, root)] == [new] * 3
+    assert [part for name, part in seen if name == "payments"] == [new]
+    orders = shop(spark, orders=[{"order_id": 9_000_000 + i, "customer_id": 1} for i in range(3)])["orders"]
+    assert load.load_table(orders, ORDERS, root, load.APPEND).ok
+    all_orders = tables["orders"].select(*ORDERS.columns).union(orders.select(*ORDERS.columns))
+    full = trends.daily_metrics(live(all_orders), tables["payments"].select(*PAYMENTS.columns).union(more), CORRECTED)
+    same(states.daily_figures(spark, root), full)
+
+
+def test_daily_figures_without_payments(spark, stored):
+    root, _ = stored
+    with pytest.raises(FileNotFoundError):
+        states.daily_figures(spark, root)
+    nothing = shop(spark, payments=[{}])["payments"].limit(0)
+    assert load.load_table(nothing, PAYMENTS, root).ok
+    assert {r["failed_payments"] for r in states.daily_figures(spark, root).collect()} == {0}
+
+
 def test_a_state_half_written_is_made_anew_and_a_replaced_one_removed(spark, stored):
     root, tables = stored
     first = states.refresh(spark, root, "customer_months")[0]

@@ -96,6 +96,7 @@ SELECT strftime(order_date, '%Y-%m') AS span, count(DISTINCT customer_id) AS buy
 FROM v_orders WHERE status <> 'cancelled' GROUP BY 1
 UNION ALL
 SELECT strftime(order_date, '%Y'), count(DISTINCT customer_id) FROM v_orders WHERE status <> 'cancelled' GROUP BY 1""",
+    "append_daily_trends": REPORT_SQL["daily_trends_corrected"],
     "append_references": """
 SELECT 'orders' AS table_name, 'reference' AS check_name, 'customer_id' AS column_name,
        count(*) AS violations, count(*) = 0 AS passed

@@ -122,7 +122,11 @@ def daily_trends(
     # Where order ids grow with time, this leaves out most payments before they are shuffled.
     first_id = recent.agg(F.min("order_id")).scalar()
     payments = tables["payments"].filter(F.col("order_id") >= first_id)
-    daily = daily_metrics(recent, payments, mode, unique_keys)
+    return trends_of(daily_metrics(recent, payments, mode, unique_keys), mode, days)
+
+
+def trends_of(daily: DataFrame, mode: str = REFERENCE, days: int = 30) -> DataFrame:
+    """``daily_trends`` from ``daily_metrics`` of the days they depend on, or states of them."""
     if is_corrected(mode):
         daily = _with_zero_days(daily)
     revenue, previous = F.col("revenue_cents"), F.col("previous_cents")

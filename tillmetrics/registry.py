@@ -238,6 +238,20 @@ def _appended(report: Callable[[SparkSession, str, Tables], DataFrame], state: s
     return query
 
 
+def _append_daily_trends(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily trends from states: those of half the orders and payments are made before the rest is appended."""
+    root = shared_folder(spark, "stored")
+    tables = star_tables(spark, folder, shipping=True)
+    for half, mode in ((0, load.REPLACE), (1, load.APPEND)):
+        parts = [
+            (tables["orders"].filter(f"order_id % 2 = {half}"), ORDERS),
+            (tables["payments"].filter(f"payment_id % 3 % 2 = {half}"), PAYMENTS),
+        ]
+        load.require_all([load.load_table(df, table, root, mode) for df, table in parts])
+        daily = states.daily_figures(spark, root, days=30 + trends.WEEK)
+    return trends.trends_of(daily, CORRECTED)
+
+
 def _append_references(spark: SparkSession, folder: str) -> DataFrame:
     """The references of appended orders to stored customers, some of whom are missing."""
     root = shared_folder(spark, "stored")
@@ -366,6 +380,7 @@ FILES: dict[str, Query] = {
         ),
         "buyer_bitmaps",
     ),
+    "append_daily_trends": _append_daily_trends,
     "append_references": _append_references,
     "bucketed_order_totals": _bucketed_order_totals,
     "look_up_orders": _look_up_orders,
