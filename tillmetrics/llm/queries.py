@@ -87,12 +87,14 @@ def tokenizer_file(name: str) -> str:
 
 
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Bytes and tokens of each document, counted by way of a cache of its own."""
+    """Bytes and tokens of each document, counted by way of a cache.
+
+    The cache is the session's ``spark.tillmetrics.tokenCache``, a folder that lasts, or else a new one.
+    """
     with open(tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as file:
         definition = file.read()
-    counts = token_counts.token_counts(
-        table(spark, folder, "documents"), definition, shared_folder(spark, "token-cache")
-    )
+    cache = spark.conf.get("spark.tillmetrics.tokenCache", None) or shared_folder(spark, "token-cache")
+    counts = token_counts.token_counts(table(spark, folder, "documents"), definition, cache)
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 

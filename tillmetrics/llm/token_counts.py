@@ -3,9 +3,12 @@
 A text is known by the digest of its content, a tokenizer by the digest of its file. The
 cache is a Parquet table of both digests and the count. Counting joins the texts'
 digests to it; only texts that it lacks are encoded, each distinct one once, and their
-counts are appended. Equal texts meet before any text is shuffled twice: Spark combines
-them by digest in each task first, so a text of which a third of all rows are copies
-is moved once per task.
+counts are appended. Digests alone are compared with a cache that holds some; texts that it
+has are dropped where they are read, by a bitmap of the missing digests' hashes (a bit of
+``BITS_PER_MISS`` each, ``BITMAPS`` of 4 KB in all at most), before any text is shuffled. The few
+that pass by chance are dropped by digest afterwards. Equal texts that are missing meet by
+digest: Spark combines them in each task first, so a text of which a third of all rows are
+copies is moved once per task.
 
 Counts are those of the ``tokenizers`` library for whole texts, special strings handled
 as it does by default, no special tokens added. A byte-level tokenizer splits in front of
@@ -29,9 +32,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmetrics.llm.tables import stored
+
 CACHE_SCHEMA = "tokenizer string, content binary, n_tokens bigint"
 STRETCHES_KEPT = 400_000  # in a task, before its table of known stretches starts anew
 BATCH_CHARS = 2_000_000
+BITMAP_BITS = 32768  # what bitmap_construct_agg makes
+BITS_PER_MISS = 16
+BITMAPS = 4096  # 16 MB, sent to every task; beyond 8 million misses fewer bits are left for each
 
 
 def content(text) -> object:
@@ -133,9 +141,38 @@ def fill_cache(docs: DataFrame, text: str, definition: str, path: str) -> None:
     texts = docs.select(content(F.col(text)).alias("text"))
     texts = texts.withColumn("content", F.unhex(F.sha2("text", 256)))
     known = read_cache(spark, path).filter(F.col("tokenizer") == digest).select("content")
-    distinct = texts.groupBy("content").agg(F.first("text").alias("text"))
-    misses = distinct.join(known.distinct(), "content", "left_anti")
-    misses.mapInPandas(count, CACHE_SCHEMA).write.mode("append").parquet(path)
+    misses = missing_texts(texts, known)
+    if misses is not None:
+        misses.mapInPandas(count, CACHE_SCHEMA).write.mode("append").parquet(path)
+
+
+def missing_texts(texts: DataFrame, known: DataFrame) -> DataFrame | None:
+    """One row (content, text) for each digest that ``known`` lacks; None if there is none."""
+    if known.isEmpty():
+        return _distinct(texts)
+    missed = stored(texts.select("content").distinct().join(known, "content", "left_anti"), "missing-digests")
+    n = missed.count()
+    if not n:
+        return None
+    return _distinct(_may_miss(texts, missed, n)).join(missed, "content", "left_semi")
+
+
+def _distinct(texts: DataFrame) -> DataFrame:
+    return texts.groupBy("content").agg(F.first("text").alias("text"))
+
+
+def _may_miss(texts: DataFrame, missed: DataFrame, n: int) -> DataFrame:
+    """Texts whose digest may be one of the ``n`` missed ones, all of those among them."""
+    bitmaps = min(BITMAPS, 1 + n * BITS_PER_MISS // BITMAP_BITS)
+    place = F.pmod(F.xxhash64("content"), F.lit(bitmaps * BITMAP_BITS))
+    block, bit = F.floor(place / BITMAP_BITS), place % BITMAP_BITS
+    sketch = missed.select(block.alias("block"), bit.alias("bit")).groupBy("block").agg(
+        F.bitmap_construct_agg("bit").alias("bitmap")
+    )
+    met = texts.select("*", block.alias("block"), bit.alias("bit")).join(F.broadcast(sketch), "block")
+    byte = F.substring("bitmap", (F.floor(F.col("bit") / 8) + 1).cast("int"), F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (F.col("bit") % 8).cast("int")) == 1
+    return met.filter(is_set).select(*texts.columns)
 
 
 def token_counts(docs: DataFrame, definition: str, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
