@@ -15,6 +15,10 @@ An item of fewer than ``SHORT`` letters and digits says little by its letters al
 over the words of other sentences. It is found where its words stand one after another as whole
 words, without edits; scripts without spaces are one word up to the next sign.
 
+Where many items share a passage, a text's q-grams are looked up for about ``POSTINGS_AT_ONCE``
+places of items at a time, in ranges of pieces, and windows of equal characters are aligned
+once for a band of a text, however many items they are of.
+
 Items are cut into pieces of at most ``STARTS`` windows, so that each window is in one
 piece. Every text is read whole and against every piece, in blocks of about
 ``WINDOWS_AT_ONCE`` pieces.
@@ -47,6 +51,7 @@ EDIT_SHARE = 0.12  # edits a window may have, as a share of its length
 WINDOWS_AT_ONCE = 20_000  # pieces
 CHARS_AT_ONCE = 400_000
 ALIGNED_AT_ONCE = 2048
+POSTINGS_AT_ONCE = 2_000_000  # places in pieces of a text's q-grams, though always one whole piece
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BITS = np.uint64(22)
@@ -218,17 +223,44 @@ def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
 
 
-def _candidates(index: Index, seq: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Piece, start in the piece, band and text of each window that reaches its bound."""
+def _postings(index: Index, seq: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Piece, place in it and place in the text of each q-gram in common, in ranges of pieces."""
     grams = _grams(seq)
     hits = np.flatnonzero(index.bitmap[_slot(grams)])
     at = np.searchsorted(index.grams, grams[hits])
     at = np.minimum(at, len(index.grams) - 1)
     true = index.grams[at] == grams[hits]
     hits, at = hits[true], at[true]
-    n = index.starts[at + 1] - index.starts[at]
-    post = _ranges(index.starts[at], n)
-    piece, place, hit = index.piece[post].astype(np.int64), index.place[post], np.repeat(hits, n)
+    first = index.starts[at]
+    n = index.starts[at + 1] - first
+
+    def expanded(hits: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        post = _ranges(first, n)
+        return index.piece[post].astype(np.int64), index.place[post], np.repeat(hits, n)
+
+    if n.sum() <= POSTINGS_AT_ONCE:
+        yield expanded(hits, first, n)
+        return
+    # What each piece has in common with the texts; those below their bound hold no window.
+    pieces = len(index.items)
+    shared = np.zeros(pieces, np.int64)
+    before = np.cumsum(n) // POSTINGS_AT_ONCE
+    for lo, hi in itertools.pairwise([0, *np.flatnonzero(np.diff(before)) + 1, len(n)]):
+        shared += np.bincount(index.piece[_ranges(first[lo:hi], n[lo:hi])], minlength=pieces)
+    shared[shared < index.bounds] = 0
+    share = np.cumsum(shared) // POSTINGS_AT_ONCE
+    # A q-gram's places are in order of their pieces.
+    number = np.repeat(np.arange(len(index.grams)), np.diff(index.starts)) * pieces + index.piece
+    for low, high in itertools.pairwise([0, *np.flatnonzero(np.diff(share)) + 1, pieces]):
+        if shared[low:high].any():
+            start = np.searchsorted(number, at * pieces + low)
+            yield expanded(hits, start, np.searchsorted(number, at * pieces + high) - start)
+
+
+def _candidates(
+    index: Index, piece: np.ndarray, place: np.ndarray, hit: np.ndarray, breaks: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """Piece, start in the piece, band and text of each window that reaches its bound."""
     band = (hit - place) // (index.budgets[piece] + 1)
     # Counts of bands that may share a slot: never less than the band's own.
     mask = _SLOTS - 1
@@ -266,6 +298,28 @@ def _candidates(index: Index, seq: np.ndarray, breaks: np.ndarray) -> tuple[np.n
     return np.repeat(piece[full], n), _ranges(low, n), np.repeat(band[full], n), np.repeat(text[full], n)
 
 
+def _alike(
+    index: Index, begins: np.ndarray, m: int, first: np.ndarray, text: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of windows equal in characters, band and text one that stands for them; for each window which."""
+    h = np.zeros(len(begins), np.uint64)
+    for j in range(m):
+        h = h * _BASE + index.codes[begins + j]
+    order = np.lexsort((h, first, text))
+    new = np.ones(len(order), np.bool_)
+    new[1:] = np.any([np.diff(x[order]) != 0 for x in (h, first, text)], axis=0)
+    which = np.zeros(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    stands = order[new]
+    model = begins[stands[which]]
+    same = np.ones(len(begins), np.bool_)
+    for j in range(m):
+        same &= index.codes[begins + j] == index.codes[model + j]
+    other = np.flatnonzero(~same)  # of the same hash by chance
+    which[other] = len(stands) + np.arange(len(other))
+    return np.concatenate([stands, other]), which
+
+
 def _align(
     patterns: np.ndarray, seq: np.ndarray, first: np.ndarray, low: np.ndarray, high: np.ndarray, width: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -310,22 +364,29 @@ def _find(index: Index, texts: list[str]) -> list[dict]:
     offset = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
     if len(seq) < Q:
         return found
-    piece, at, band, text = _candidates(index, seq, breaks)
     rows = []
-    for m in np.unique(index.widths[piece]):
-        own = np.flatnonzero(index.widths[piece] == m)
-        for part in np.array_split(own, math.ceil(len(own) / ALIGNED_AT_ONCE)):
+    for postings in _postings(index, seq):
+        piece, at, band, text = _candidates(index, *postings, breaks)
+        for m in np.unique(index.widths[piece]):
+            own = np.flatnonzero(index.widths[piece] == m)
             k = edit_budget(int(m))
-            edits, start, end = _align(
-                index.codes[(index.offsets[piece[part]] + at[part])[:, None] + np.arange(m)],
-                seq,
-                band[part] * (k + 1) + at[part],
-                begin[text[part]],
-                stop[text[part]],
-                2 * (k + 1),
-            )
+            begins = index.offsets[piece[own]] + at[own]
+            first = band[own] * (k + 1) + at[own]
+            stands, which = _alike(index, begins, int(m), first, text[own])
+            aligned = [
+                _align(
+                    index.codes[begins[part][:, None] + np.arange(m)],
+                    seq,
+                    first[part],
+                    begin[text[own[part]]],
+                    stop[text[own[part]]],
+                    2 * (k + 1),
+                )
+                for part in np.array_split(stands, math.ceil(len(stands) / ALIGNED_AT_ONCE))
+            ]
+            edits, start, end = (np.concatenate(x)[which] for x in zip(*aligned))
             good = edits <= k
-            hit = part[good]
+            hit = own[good]
             rows.append((text[hit], piece[hit], at[hit], edits[good], start[good], end[good]))
     if not rows:
         return found
