@@ -96,3 +96,17 @@ def test_texts_dates_and_nulls_have_places(spark):
     dated = spark.createDataFrame([(None,)], "order_date timestamp_ntz")
     assert access.borders(dated, ("order_date",)) == {"order_date": []}
     assert CUSTOMERS.name in access.INDEXED
+
+
+def test_places_are_found_without_lambdas(spark):
+    df = spark.range(500).selectExpr("IF(id % 7 = 0, NULL, id * 37 % 211) AS a", "id AS b")
+    known = access.borders(df, ("a", "b"))
+    placed = df.withColumn("p", access.curve_place(df, known))
+    assert "lambda" not in placed._jdf.queryExecution().toString()  # not compiled, run for each border
+    for r in placed.collect():
+        expected = 0
+        for i, c in enumerate(("a", "b")):
+            reached = 0 if r[c] is None else sum(v <= r[c] for v in known[c])
+            rank = reached * 64 // (len(known[c]) + 1)
+            expected += sum((rank >> bit & 1) << (2 * bit + i) for bit in range(6))
+        assert r["p"] == expected

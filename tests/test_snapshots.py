@@ -215,3 +215,20 @@ def test_views_follow_when_asked_to(spark, tmp_path):
     parquet_files.create_tables(spark, root, "till_views", refresh=True)
     assert spark.table("till_views.products").count() == 3
     spark.sql("DROP DATABASE till_views CASCADE")
+
+
+def test_an_index_sorts_each_key_once(spark, tmp_path, monkeypatch):
+    seen = []
+    made = key_index.F.bitmap_construct_agg
+    monkeypatch.setattr(key_index.F, "bitmap_construct_agg", lambda bit: seen.append(bit) or made(bit))
+    rows = spark.range(5000).withColumnRenamed("id", "order_id")
+    known = key_index.ranges(rows, ("order_id",))
+    key_index.write(rows, known, f"{tmp_path}/index")
+    assert len(seen) == key_index.BITS  # a bitmap per hash, not a row per bit
+    index = spark.read.parquet(f"{tmp_path}/index/column=order_id")
+    assert index.count() == known["order_id"].buckets
+    probes = rows.select(key_index._bucket(key_index.F.col("order_id"), known["order_id"].buckets).alias("bucket"), "order_id")
+    met = probes.join(index, "bucket")
+    for bit in key_index._bits(key_index.F.col("order_id")):
+        met = met.filter(key_index._is_set(key_index.F.col("bitmap"), bit))
+    assert met.count() == 5000
