@@ -16,17 +16,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmetrics.llm import decontaminate, jaccard_join, language, secret_scan, suffix_pieces
+from tillmetrics.llm.memory import small_batches
 from tillmetrics.llm.queries import tokenizer_file
 from tillmetrics.llm.tables import stored, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or of no learned language, go."""
+    small_batches(spark)
     return docs.filter(language.accepted(language.fit(docs), F.col("text")))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents alike in four fifths of their 5-word shingles, one stays."""
+    small_batches(spark)
     return jaccard_join.one_of_each_group(docs)
 
 
@@ -35,6 +38,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
     Items of a few words are no passage: they are in many documents that leak nothing.
     """
+    small_batches(spark)
     blocks = decontaminate.indexes(table(spark, sf_dir, "benchmark"), short_items=False)
     return docs.filter(F.size(decontaminate.leaks(blocks, F.col("text"))) == 0)
 
@@ -56,6 +60,7 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Columns of the documents keep their names; ``ids`` and ``round_trip`` take a number behind
     theirs where the documents have such columns.
     """
+    small_batches(spark)
     vocabulary = suffix_pieces.shared(spark, tokenizer_file("piece_bpe_32k.model"))
     row = F.struct(*docs.columns).alias("row")
     found = docs.select(row, suffix_pieces.round_trip(vocabulary, F.col("text")).alias("found"))

@@ -43,6 +43,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmetrics.llm.memory import trimmed
+
 WINDOW = 50  # letters and digits
 STARTS = 207  # windows that begin in a piece
 Q = 6
@@ -149,7 +151,7 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = _fold_table()
-        for batch in batches:
+        for batch in trimmed(batches):
             out = []
             for name, value in zip(batch["item"], batch["text"]):
                 seq, _ = folded((value or "").replace(_BREAK, " "), table)
@@ -478,7 +480,7 @@ def leaks(blocks: tuple[list[Broadcast], T.DataType], text: Column) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         names = [f.name for f in one.fields]
         blocks = [Index(**block.value) for block in shared]
-        for texts in batches:
+        for texts in trimmed(batches):
             rows = texts.tolist()
             found = map(_merged, zip(*[scan(index, rows) for index in blocks]))
             yield pd.Series([[dict(zip(names, x)) for x in row] for row in found], dtype=object)

@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmetrics.llm.components import components
+from tillmetrics.llm.memory import give_back, trimmed
 from tillmetrics.llm.tables import stored
 
 BAND_GROWTH = 5 / 4  # sizes of a band, from the least to the next band's least
@@ -187,7 +188,7 @@ def hot_grams(docs: DataFrame, rule: Rule) -> np.ndarray:
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in trimmed(batches):
             for at in range(0, len(batch), 500):
                 sets = gram_sets(batch["text"].iloc[at : at + 500].tolist(), rule.words)
                 yield pd.DataFrame({"gram": _signed(np.concatenate(sets))})
@@ -205,7 +206,7 @@ def describe(docs: DataFrame, rule: Rule) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: list[tuple] = []
-        for batch in batches:
+        for batch in trimmed(batches):
             at = 0
             ids = [None if x is None else int(x) for x in batch["doc_id"]]
             texts = batch["text"].tolist()
@@ -303,6 +304,7 @@ def key_edges(sets: DataFrame, stars: DataFrame, rule: Rule) -> DataFrame:
             edges = {(int(docs[places[x]]), int(docs[places[y]])) for x, y in found}
             out += edges - done
             done |= edges
+        give_back()
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return rows.groupBy("tile").applyInPandas(run, LINK_SCHEMA).distinct()
@@ -433,6 +435,7 @@ def tile_links(members: DataFrame, rule: Rule) -> DataFrame:
             places = np.sort(places)
             own = [sets[i] for i in places]
             out += [(docs[places[x]], docs[places[y]]) for x, y in _links(own, left[places], rule.percent, same[places])]
+        give_back()
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return members.groupBy("tile").applyInPandas(run, LINK_SCHEMA)

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillmetrics.llm.memory import trimmed
+
 UNKNOWN = "und"
 WINDOW = 128  # bytes
 WIDTHS = (2, 3, 4)
@@ -192,7 +194,7 @@ def predict(net: Network | None, text: Column) -> Column:
 
     @F.pandas_udf("lang string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+        for texts in trimmed(batches):
             yield _predict_batch(net, texts)
 
     return run(text)
@@ -206,7 +208,7 @@ def accepted(net: Network | None, text: Column) -> Column:
 
     @F.pandas_udf("boolean")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
+        for texts in trimmed(batches):
             if net is None:
                 yield pd.Series([t is not None and any(map(str.isalpha, t)) for t in texts], dtype=bool)
             else:

@@ -39,6 +39,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from tillmetrics.llm.memory import trimmed
+
 SPACE = "▁"
 LINE = "\n"
 CUT = "\ud800"  # stands in no text
@@ -539,7 +541,7 @@ def encoded(vocabulary: Broadcast, text: Column) -> Column:
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(Vocabulary(**vocabulary.value))
-        for texts in batches:
+        for texts in trimmed(batches):
             for part in portions(texts.tolist()):
                 yield pd.Series(encoder.encode(part), dtype=object)
 
@@ -552,7 +554,7 @@ def decoded(vocabulary: Broadcast, ids: Column) -> Column:
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         v = Vocabulary(**vocabulary.value)
-        for rows in batches:
+        for rows in trimmed(batches):
             yield pd.Series(["" if x is None else decode(v, list(x)) for x in rows], dtype=object)
 
     return run(ids)
@@ -565,7 +567,7 @@ def round_trip(vocabulary: Broadcast, text: Column) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         v = Vocabulary(**vocabulary.value)
         encoder = Encoder(v)
-        for texts in batches:
+        for texts in trimmed(batches):
             for part in portions(texts.tolist()):
                 rows = encoder.encode(part)
                 same = [decode(v, x.tolist()) == t.replace(SPACE, " ") for x, t in zip(rows, part)]
