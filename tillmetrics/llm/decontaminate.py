@@ -56,8 +56,8 @@ ALIGNED_AT_ONCE = 2048
 POSTINGS_AT_ONCE = 2_000_000  # places in pieces of a text's q-grams, though always one whole piece
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BITS = np.uint64(22)
-_SLOTS = 1 << 20
+_BITS = 22  # of the slots of q-grams, at most
+_COUNT_BITS = 20  # of the slots of a count, at most
 _MIX = 0x9E3779B1  # spreads pieces over the slots of a count
 _WORD = re.compile(r"[^\W_]+")
 _BREAK = "￿"  # stands between texts; equals nothing in an item
@@ -116,8 +116,9 @@ def _power(n: int) -> np.uint64:
     return np.uint64(pow(int(_BASE), n, 1 << 64))
 
 
-def _slot(h: np.ndarray) -> np.ndarray:
-    return ((h ^ (h >> np.uint64(29))) * _BASE) >> (np.uint64(64) - _BITS)
+def _slot(h: np.ndarray, slots: int) -> np.ndarray:
+    """A place for each hash among ``slots``, a power of two."""
+    return ((h ^ (h >> np.uint64(29))) * _BASE) >> np.uint64(65 - slots.bit_length())
 
 
 @dataclass(frozen=True)
@@ -131,11 +132,14 @@ class Index:
     widths: np.ndarray  # of each piece's windows
     budgets: np.ndarray
     bounds: np.ndarray  # q-grams a match shares at least
-    bitmap: np.ndarray
+    bitmap: np.ndarray  # whether a slot has a gram
+    gram_at: np.ndarray  # one gram of each slot, as its number
     grams: np.ndarray  # sorted, distinct
-    starts: np.ndarray  # of each gram's places in `piece` and `place`
+    starts: np.ndarray  # of each gram's places in `piece`, `place` and `key`
     piece: np.ndarray
     place: np.ndarray
+    step: int  # 1 << step diagonals are a step of a count, more than any budget
+    key: np.ndarray  # less `place`, and steps that tell pieces apart
     short: dict[str, list[tuple[list[str], list]]]  # first word -> words and items that have them
 
 
@@ -188,8 +192,13 @@ def build_index(rows: list) -> Index:
     place = np.concatenate([np.zeros(0, np.int32), *[np.arange(len(h), dtype=np.int32) for h in hashes]])
     order = np.argsort(flat, kind="stable")
     grams, starts = np.unique(flat[order], return_index=True)
-    bitmap = np.zeros(1 << int(_BITS), np.bool_)
-    bitmap[_slot(grams)] = True
+    slots = 1 << min(_BITS, max(10, (len(grams) * 32).bit_length()))
+    bitmap = np.zeros(slots, np.bool_)
+    bitmap[_slot(grams, slots)] = True
+    gram_at = np.zeros(slots, np.int32)
+    gram_at[_slot(grams, slots)] = np.arange(len(grams), dtype=np.int32)
+    step = int(budgets.max(initial=0)).bit_length()
+    key = (piece.astype(np.uint32) * np.uint32(_MIX) << np.uint32(step)) - place.astype(np.uint32)
     return Index(
         _fold_table(),
         [by_pattern[p] for p in sorted(by_pattern)],
@@ -199,10 +208,13 @@ def build_index(rows: list) -> Index:
         budgets,
         widths - Q + 1 - Q * budgets,
         bitmap,
+        gram_at,
         grams,
         np.append(starts, len(flat)),
         piece[order],
         place[order],
+        step,
+        key[order],
         short,
     )
 
@@ -225,20 +237,24 @@ def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
 
 
-def _postings(index: Index, seq: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """Piece, place in it and place in the text of each q-gram in common, in ranges of pieces."""
+def _postings(index: Index, seq: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Place in the index and place in the text of each q-gram in common, in ranges of pieces."""
     grams = _grams(seq)
-    hits = np.flatnonzero(index.bitmap[_slot(grams)])
-    at = np.searchsorted(index.grams, grams[hits])
-    at = np.minimum(at, len(index.grams) - 1)
-    true = index.grams[at] == grams[hits]
-    hits, at = hits[true], at[true]
+    slot = _slot(grams, len(index.bitmap))
+    hits = np.flatnonzero(index.bitmap[slot])
+    grams = grams[hits]
+    at = index.gram_at[slot[hits]].astype(np.int64)
+    other = np.flatnonzero(index.grams[at] != grams)  # not in the index, or one of several in a slot
+    if len(other):
+        at[other] = np.minimum(np.searchsorted(index.grams, grams[other]), len(index.grams) - 1)
+        true = np.ones(len(hits), np.bool_)
+        true[other] = index.grams[at[other]] == grams[other]
+        hits, at = hits[true], at[true]
     first = index.starts[at]
     n = index.starts[at + 1] - first
 
-    def expanded(hits: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-        post = _ranges(first, n)
-        return index.piece[post].astype(np.int64), index.place[post], np.repeat(hits, n)
+    def expanded(hits: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _ranges(first, n), np.repeat(hits, n)
 
     if n.sum() <= POSTINGS_AT_ONCE:
         yield expanded(hits, first, n)
@@ -260,18 +276,24 @@ def _postings(index: Index, seq: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]
 
 
 def _candidates(
-    index: Index, piece: np.ndarray, place: np.ndarray, hit: np.ndarray, breaks: np.ndarray
+    index: Index, post: np.ndarray, hit: np.ndarray, breaks: np.ndarray
 ) -> tuple[np.ndarray, ...]:
     """Piece, start in the piece, band and text of each window that reaches its bound."""
+    # A match's diagonals are of two adjacent steps. Steps may share a slot: it never counts too few.
+    slots = 1 << min(_COUNT_BITS, max(10, len(post).bit_length()))
+    slot = index.key[post]
+    slot += hit.astype(np.uint32)
+    slot >>= np.uint32(index.step)
+    slot &= np.uint32(slots - 1)
+    count = np.bincount(slot, minlength=slots)
+    count += np.roll(count, -1)
+    both = np.maximum(count, np.roll(count, 1))
+    keep = np.flatnonzero((both >= index.bounds.min())[slot])
+    keep = keep[both[slot[keep]] >= index.bounds[index.piece[post[keep]]]]
+    post, hit = post[keep], hit[keep]
+    piece, place = index.piece[post].astype(np.int64), index.place[post].astype(np.int64)
     band = (hit - place) // (index.budgets[piece] + 1)
-    # Counts of bands that may share a slot: never less than the band's own.
-    mask = _SLOTS - 1
-    slot = (piece * _MIX + band) & mask
-    count = np.bincount(slot, minlength=mask + 1)
-    both = np.maximum(count[slot] + count[(slot + 1) & mask], count[(slot - 1) & mask] + count[slot])
-    keep = both >= index.bounds[piece]
-    piece, place, band = piece[keep], place[keep].astype(np.int64), band[keep]
-    text = np.searchsorted(breaks, hit[keep])
+    text = np.searchsorted(breaks, hit)
 
     # Each hit is in the band that begins with its diagonals and in the one a step before.
     piece, place, text = (np.concatenate([x, x]) for x in (piece, place, text))
@@ -330,29 +352,62 @@ def _align(
     ``first`` is the band's first diagonal; only places from ``low`` up to ``high`` count.
     """
     n, m = patterns.shape
-    column = np.arange(width)[:, None]  # a row per diagonal, a column per pattern
-    far = np.int32(1 << 20)
-    cost = np.zeros((width, n), np.int32)
-    start = first + column
-    cost[(start < low) | (start > high)] = far
-    for i in range(1, m + 1):
-        at = first + (i - 1) + column  # the last character used
-        inside = (at >= low) & (at < high)
-        same = seq[np.clip(at, 0, len(seq) - 1)] == patterns[:, i - 1]
-        take = cost + np.where(inside, np.where(same, np.int32(0), np.int32(1)), far)
-        skip = np.full((width, n), far, np.int32)
-        skip[:-1] = cost[1:] + 1
-        better = skip < take
-        moved = np.concatenate([start[1:], start[-1:]])
-        start = np.where(better, moved, start)
-        cost = np.where(better, skip, take)
+    patterns = np.ascontiguousarray(patterns.T)  # a column per pattern
+    at = first + np.arange(m + width - 1)[:, None]
+    text = seq[np.clip(at, 0, len(seq) - 1)]
+    outside = (at < low) | (at >= high)
+    text[outside] = 0  # equals nothing in an item
+
+    edits = np.zeros(n, np.int32)
+    diagonal = np.full(n, -1)
+    for d in reversed(range(width)):  # of equal stretches the first
+        diagonal[(text[d : d + m] == patterns).all(axis=0)] = d
+    start, end = first + diagonal, first + m + diagonal
+    rest = np.flatnonzero(diagonal < 0)
+    if len(rest):
+        far = outside[:, rest] if outside[:, rest].any() else None
+        row = first[rest] + np.arange(width)[:, None]
+        barred = (row < low[rest]) | (row > high[rest])
+        edits[rest], begun, ended = _edits(patterns[:, rest], text[:, rest], barred, far)
+        start[rest], end[rest] = first[rest] + begun, first[rest] + m + ended
+    return edits, start, end
+
+
+def _edits(
+    patterns: np.ndarray, text: np.ndarray, barred: np.ndarray, outside: np.ndarray | None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Least edits of each column's pattern in a band of its text, first and last diagonal.
+
+    No match begins on a ``barred`` diagonal or uses a character ``outside``. A cell is one number:
+    edits less its diagonal, from high to low bits, then what wins among equals, then the first diagonal.
+    """
+    m, width = len(patterns), len(barred)
+    bits = width.bit_length()
+    column = np.arange(width, dtype=np.int32)[:, None]
+    one = np.int32(1 << 2 * bits + 1)  # edit
+    own = (width - column) << np.int32(bits + 1)  # of equal cells the later diagonal's
+    skipped = np.int32(1 << bits)  # after those that are not
+    clear = -one | np.int32(skipped - 1)
+    far = np.int32((m + 2 * width) * one)  # more edits than any cell's
+    cell = column - column * one + np.where(barred, far, np.int32(0))
+    for i in range(m):
+        take = (text[i : i + width] != patterns[i]) * one
+        take += cell
+        if outside is not None:
+            take[outside[i : i + width]] = far
+        skip = cell[1:] + (2 * one + skipped)  # an edit, and a diagonal less
+        np.minimum(take[:-1], skip, out=take[:-1])
+        take |= own
         for c in range(1, width):  # a character of the text that the pattern lacks
-            better = (cost[c - 1] + 1 < cost[c]) & inside[c]
-            cost[c] = np.where(better, cost[c - 1] + 1, cost[c])
-            start[c] = np.where(better, start[c - 1], start[c])
-    best = cost.argmin(axis=0)
-    row = np.arange(n)
-    return cost[best, row], start[best, row], first + m + best
+            before = take[c - 1] if outside is None else np.where(outside[i + c], far, take[c - 1])
+            np.minimum(take[c], before, out=take[c])
+        take &= clear
+        cell = take
+    cell += column * one
+    edits = cell >> np.int32(2 * bits + 1)
+    last = edits.argmin(axis=0)
+    best = np.arange(len(last))
+    return edits[last, best], cell[last, best] & (skipped - 1), last
 
 
 def _find(index: Index, texts: list[str]) -> list[dict]:
@@ -485,7 +540,8 @@ def leaks(blocks: tuple[list[Broadcast], T.DataType], text: Column) -> Column:
             found = map(_merged, zip(*[scan(index, rows) for index in blocks]))
             yield pd.Series([[dict(zip(names, x)) for x in row] for row in found], dtype=object)
 
-    return run(text)
+    # Else Spark also runs it in a filter that it makes of a later inline.
+    return run.asNondeterministic()(text)
 
 
 def leaked_rows(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
